@@ -1,0 +1,253 @@
+"""Selection modes: exact cases, laws, caps, seeds and independence of partitioning."""
+
+import hashlib
+import logging
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.functions.uniform import hash52, uniform
+from gleanery.operators.draws import draw_with_replacement, length_exponent
+from gleanery.operators.race import arrivals, estimate_cutoff, race_draw
+from gleanery.operators.selection import check_arguments, select_rows, select_sample, select_threshold
+from tests.util import draws, profile_of, scored_frame
+
+WOR, WR = "sample_without_replacement", "sample_with_replacement"
+
+
+def sample(spark, scores, n, mode=WR, seed=42, cap=None, parts=3):
+    return draws(select_sample(scored_frame(spark, scores, parts), mode, n, seed, profile_of(scores), cap).rows)
+
+
+def u(seed, *keys):
+    text = ":".join(map(str, (seed, *keys)))
+    return (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+
+
+def race_by_hand(scores, n, seed, cap, reorder):
+    """First n arrivals, computed row by row."""
+    every = []
+    for row, w in enumerate(scores):
+        t = 0.0
+        for k in range(1, cap + 1):
+            if w > 0:
+                t -= math.log(u(seed, row, k))
+                every.append((t / w, row, k))
+    first = sorted(every)[:n]
+    if reorder:
+        first.sort(key=lambda a: u(seed, "order", a[1], a[2]))
+    return [row for _, row, _ in first]
+
+
+def draws_by_hand(scores, n, seed):
+    found = profile_of(scores)
+    unit = 2.0 ** length_exponent(found)
+    lengths = [max(1, math.floor(w / found.weight_max * unit)) if w > 0 else 0 for w in scores]
+    ends = list(np.cumsum(np.array(lengths, dtype=object)))
+    total = ends[-1]
+    points = [min(math.floor(u(seed, "draw", j) * float(total)), total - 1) for j in range(n)]
+    return [next(i for i, end in enumerate(ends) if x < end) for x in points]
+
+
+class TestUniform:
+    def test_formula(self, spark):
+        got = spark.range(50).select("id", uniform(7, "tag", F.col("id")).alias("u"), hash52(7, F.col("id")).alias("h")).collect()
+        for row in got:
+            assert row["u"] == u(7, "tag", row["id"]) and 0 < row["u"] < 1
+            assert row["h"] == int(hashlib.md5(f"7:{row['id']}".encode()).hexdigest()[:13], 16)
+
+
+class TestThreshold:
+    def positions(self, spark, scores, t):
+        rows = select_threshold(scored_frame(spark, scores), t).collect()
+        return sorted(row["source_pos"] for row in rows)
+
+    def test_keeps_scores_above(self, spark):
+        assert self.positions(spark, [0.1, 0.5, 0.7, 0.9], 0.5) == [1, 2, 3]
+
+    def test_bound_is_inclusive(self, spark):
+        assert self.positions(spark, [0.5, 0.5, 0.4], 0.5) == [0, 1]
+
+    def test_too_high(self, spark):
+        assert self.positions(spark, [0.1, 0.2, 0.3], 0.9) == []
+
+    def test_nan_and_negative(self, spark):
+        assert self.positions(spark, [float("nan"), -0.2, -0.8], -0.5) == [1]
+
+
+class TestArguments:
+    def test_mode(self):
+        with pytest.raises(ValueError, match="Unknown mode: best"):
+            check_arguments("best", None, None)
+
+    @pytest.mark.parametrize("mode", ["threshold", WOR])
+    def test_cap_needs_replacement(self, mode):
+        with pytest.raises(ValueError, match="max_duplications is only valid"):
+            check_arguments(mode, 5, 3)
+
+    def test_cap_and_n_ranges(self):
+        with pytest.raises(ValueError, match="max_duplications must be >= 1"):
+            check_arguments(WR, 5, 0)
+        with pytest.raises(ValueError, match="negative"):
+            check_arguments(WR, -1, None)
+
+    def test_n_defaults_to_rows(self, spark):
+        scores = [0.5] * 9
+        for mode in (WOR, WR):
+            assert select_rows(scored_frame(spark, scores), mode, profile_of(scores)).size == 9
+
+    def test_all_zero(self, spark):
+        for n in (0, 2):
+            with pytest.raises(ValueError, match="All scores are zero"):
+                sample(spark, [0.0, -1.0, 0.0], n, WOR)
+
+    def test_zero_samples(self, spark):
+        for mode, cap in ((WOR, None), (WR, None), (WR, 2)):
+            assert sample(spark, [0.1, 0.5, 0.9], 0, mode, cap=cap) == []
+
+
+class TestWithoutReplacement:
+    def test_no_repeats(self, spark):
+        assert sorted(sample(spark, [0.5] * 4, 4, WOR)) == [0, 1, 2, 3]
+
+    def test_n_is_lowered(self, spark, caplog):
+        with caplog.at_level(logging.WARNING):
+            assert set(sample(spark, [0.0, 0.5, 0.0, 0.8], 10, WOR)) == {1, 3}
+        assert "lowered to 2" in caplog.text
+
+    def test_against_hand_computation(self, spark):
+        scores = list(np.random.default_rng(3).random(300))
+        assert sample(spark, scores, 120, WOR, seed=5) == race_by_hand(scores, 120, 5, 1, False)
+
+    def test_inclusion_rates(self, spark):
+        """Successive sampling: compare with the probabilities worked out by hand."""
+        w = [0.4, 0.3, 0.2, 0.1]
+        both = sum(w[0] * w[j] / (1 - w[0]) + w[j] * w[0] / (1 - w[j]) for j in (1,))
+        trials = 20_000
+        race = spark.range(trials).select(
+            F.col("id").alias("trial"), F.posexplode(F.array(*map(F.lit, w))).alias("row", "w"))
+        race = race.withColumn("t", -F.ln(uniform(1, F.col("trial"), F.col("row"), F.lit(1))) / F.col("w"))
+        pairs = race.groupBy("trial").agg(F.sort_array(F.collect_list(F.struct("t", "row"))).alias("s"))
+        hit = pairs.where(F.array_contains(F.expr("transform(slice(s, 1, 2), x -> x.row)"), 0)
+                          & F.array_contains(F.expr("transform(slice(s, 1, 2), x -> x.row)"), 1)).count()
+        assert hit / trials == pytest.approx(both, abs=0.01)
+
+
+class TestWithReplacement:
+    def test_single_row(self, spark):
+        assert sample(spark, [1.0, 0.0, 0.0, 0.0], 10) == [0] * 10
+        assert sample(spark, [0.0, 0.0, 1.0, 0.0], 5) == [2] * 5
+
+    def test_frequencies(self, spark):
+        counts = Counter(sample(spark, [0.1, 0.2, 0.3, 0.4], 100_000))
+        assert [counts[i] / 100_000 for i in range(4)] == pytest.approx([0.1, 0.2, 0.3, 0.4], abs=0.01)
+
+    def test_against_hand_computation(self, spark):
+        scores = [0.0, 1.0, 1e-12, 0.3, -2.0, 0.3] * 40
+        assert sample(spark, scores, 700, seed=9) == draws_by_hand(scores, 700, 9)
+
+    @pytest.mark.parametrize("block_rows,cell_draws", [(1, 1), (7, 3), (7, 10**6), (1000, 5)])
+    def test_blocks_and_cells_do_not_matter(self, spark, block_rows, cell_draws):
+        """A row with half of the weight covers many cells; many tiny rows share one."""
+        scores = [1e-9] * 60 + [50.0] + [0.5] * 60 + [0.0] * 10 + [1.0] * 20
+        got = draw_with_replacement(scored_frame(spark, scores), 500, 3, profile_of(scores), block_rows, cell_draws)
+        assert draws(got) == draws_by_hand(scores, 500, 3)
+
+    def test_tiny_weights_keep_their_share(self, spark):
+        """One row against 2000 rows of weight 1e-6: together they are as likely as 0.002."""
+        scores = [1.0] + [1e-6] * 2000
+        assert sum(x > 0 for x in sample(spark, scores, 50_000)) / 50_000 == pytest.approx(0.002, abs=0.001)
+
+
+class TestCapped:
+    SCORES = [0.1, 0.5, 0.9, 0.0, 0.7, 0.3]
+
+    def test_cap_holds(self, spark):
+        counts = Counter(sample(spark, self.SCORES, 200, cap=3, seed=0))
+        assert max(counts.values()) <= 3 and 3 not in counts
+
+    def test_infeasible_request(self, spark, caplog):
+        with caplog.at_level(logging.WARNING):
+            got = sample(spark, [0.1, 0.5, 0.9, 0.0, 0.7], 100, cap=2)
+        assert Counter(got) == {0: 2, 1: 2, 2: 2, 4: 2}
+        assert "lowered to 8" in caplog.text
+
+    def test_one_eligible(self, spark):
+        assert sample(spark, [0.0, 0.0, 0.5, 0.0], 5, cap=2) == [2, 2]
+
+    def test_cap_one_draws_the_rows_of_sampling_without_replacement(self, spark):
+        capped = sample(spark, self.SCORES, 3, cap=1)
+        assert sorted(capped) == sorted(sample(spark, self.SCORES, 3, WOR))
+        assert sorted(sample(spark, self.SCORES, 5, cap=1)) == [0, 1, 2, 4, 5]
+
+    def test_against_hand_computation(self, spark):
+        scores = list(np.random.default_rng(4).random(100))
+        assert sample(spark, scores, 150, cap=4, seed=6) == race_by_hand(scores, 150, 6, 4, True)
+
+    @pytest.mark.parametrize("scores,n,cap", [
+        ([0.4, 0.3, 0.2, 0.1], 6, 2), ([0.4, 0.3, 0.2, 0.1], 7, 2), ([0.6, 0.2, 0.15, 0.05], 5, 2)])
+    def test_marginals_match_rejection(self, spark, scores, n, cap):
+        trials = 8000
+        rng = np.random.default_rng(0)
+        p = np.array(scores) / sum(scores)
+        reference = np.zeros(len(scores))
+        for _ in range(trials):
+            counts = np.zeros(len(scores), dtype=int)
+            while counts.sum() < n:
+                i = rng.choice(len(scores), p=p)
+                counts[i] += counts[i] < cap
+            reference += counts
+        # All trials in one job: trial t is rows 4t..4t+3, each trial on its own clock.
+        rows = spark.range(trials * len(scores)).select(
+            F.col("id").alias("source_pos"),
+            F.element_at(F.array(*map(F.lit, scores)), (F.col("id") % len(scores) + 1).cast("int")).alias("score"))
+        every = arrivals(rows, 11, cap, None, max(scores)).withColumn("trial", F.floor(F.col("source_pos") / len(scores)))
+        first = every.groupBy("trial").agg(F.slice(F.sort_array(F.collect_list(F.struct("t", "source_pos"))), 1, n).alias("f"))
+        drawn = first.select(F.explode("f.source_pos").alias("pos")).groupBy(F.col("pos") % len(scores)).count().collect()
+        counts = {row[0]: row["count"] for row in drawn}
+        got = np.array([counts[i] for i in range(len(scores))])
+        np.testing.assert_allclose(got / got.sum(), reference / reference.sum(), atol=0.01)
+
+    @pytest.mark.parametrize("cap,n,reorder", [(1, 60, False), (1, 60, True), (3, 150, True), (300, 500, True), (1000, 900, True)])
+    def test_pruned_ranking_equals_full_sort(self, spark, cap, n, reorder):
+        """Force the large-n plan: cut-off, buckets, chunks."""
+        scores = [0.9] + list(np.random.default_rng(8).random(199) / 10)
+        held = []
+        got = race_draw(scored_frame(spark, scores), n, 2, cap, profile_of(scores), reorder, held, unpruned=0, top_k=0)
+        assert draws(got) == race_by_hand(scores, n, 2, cap, reorder)
+        assert len(held) == 1
+
+    def test_chunks_do_not_matter(self, spark):
+        rows = scored_frame(spark, [0.9, 0.2, 0.01])
+        whole = arrivals(rows, 1, 40, None, 0.9).collect()
+        split = arrivals(rows, 1, 40, None, 0.9, chunk=7).collect()
+        key = lambda r: (r["source_pos"], r["copy"])
+        assert [key(r) for r in sorted(whole, key=key)] == [key(r) for r in sorted(split, key=key)]
+        assert [r["t"] for r in sorted(split, key=key)] == pytest.approx([r["t"] for r in sorted(whole, key=key)], rel=1e-14)
+        assert len(whole) == 120
+
+    def test_cutoff_is_generous(self, spark):
+        rows = scored_frame(spark, [0.9] * 500 + [1e-5] * 500)
+        for n, cap in ((100, 1), (400, 1), (900, 3)):
+            cutoff = estimate_cutoff(rows, n, cap)
+            every = arrivals(rows, 1, cap, cutoff, 0.9)
+            assert every.count() >= n and every.where("cut_short").count() == 0
+        assert estimate_cutoff(rows, 1000, 1) is None
+
+
+class TestReproducible:
+    @pytest.mark.parametrize("mode,cap", [(WOR, None), (WR, None), (WR, 4)])
+    def test_seed_and_partitioning(self, spark, mode, cap):
+        scores = list(np.random.default_rng(1).random(60))
+        first = sample(spark, scores, 30, mode, cap=cap, parts=1)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        try:
+            for partitions, parts in (("1", 5), ("13", 2)):
+                spark.conf.set("spark.sql.shuffle.partitions", partitions)
+                assert sample(spark, scores, 30, mode, cap=cap, parts=parts) == first
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert sample(spark, scores, 30, mode, seed=43, cap=cap) != first
