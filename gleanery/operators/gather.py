@@ -136,11 +136,10 @@ def gather_ordered(
         slots = _source_slots(placed, per_shard)
     shards = max(1, -(-rows // per_shard))
     out_pos = F.explode("slots").alias("out_pos")
-    if rows * SLOT_BYTES <= broadcast_bytes:
-        met = source.join(F.broadcast(slots), "source_pos").repartitionById(shards, F.col("shard"))
-    elif by_draw:
-        met = source.join(slots, "source_pos").repartitionById(shards, F.col("shard"))
-    else:
+    broadcast = rows * SLOT_BYTES <= broadcast_bytes
+    if not (broadcast or by_draw or shards == 1):
         met = _co_shuffled(source, slots, shards)
         return met.select(*source.columns, "_score", out_pos), shards, rows
+    met = source.join(F.broadcast(slots) if broadcast else slots, "source_pos")
+    met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("shard"))
     return met.select(*source.columns, "_score", out_pos).sortWithinPartitions("out_pos"), shards, rows

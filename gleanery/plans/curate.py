@@ -18,7 +18,7 @@ from gleanery.rules import DEFAULT_SCORING_CONFIG, ScoringConfig
 from gleanery.runtime import BUCKET_ROWS, held, release
 from gleanery.sources.annotations import prune_annotations, scan_annotations
 from gleanery.sources.dataset import read_dataset
-from gleanery.sources.positions import attach_positions, file_offsets
+from gleanery.sources.positions import attach_positions, file_offsets, unfiltered
 
 # Smaller tables are not searched for hot ids: a task can hold all of one id.
 HOT_CHECK_ROWS = 20_000_000
@@ -78,8 +78,7 @@ def _positioned(dataset: DataFrame | str, spark: SparkSession, row_key, position
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
         return global_position(dataset, [F.col(key) for key in keys], "source_pos"), None, 1
     table = dataset if isinstance(dataset, DataFrame) else read_dataset(spark, dataset)
-    full = spark.read.parquet(*table.inputFiles()) if isinstance(dataset, DataFrame) else table
-    offsets = file_offsets(full)
+    offsets = file_offsets(unfiltered(table) if isinstance(dataset, DataFrame) else table)
     rows = sum(count for _, _, count in offsets)
     return attach_positions(table, offsets, "source_pos"), rows, max(1, len(offsets))
 

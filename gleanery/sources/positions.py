@@ -43,8 +43,12 @@ def attach_positions(df: DataFrame, offsets: list[tuple[str, int, int]], name: s
     )
 
 
+def unfiltered(df: DataFrame) -> DataFrame:
+    """All rows of the files behind a frame."""
+    return df.sparkSession.read.parquet(*[unquote(file) for file in df.inputFiles()])
+
+
 def with_source_pos(df: DataFrame, name: str = "source_pos") -> DataFrame:
     """Add positions to a parquet-backed frame. A frame already filtered keeps the
     positions of the full source table."""
-    source = df.sparkSession.read.parquet(*df.inputFiles())
-    return attach_positions(df, file_offsets(source), name)
+    return attach_positions(df, file_offsets(unfiltered(df)), name)
