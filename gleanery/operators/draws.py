@@ -42,7 +42,7 @@ def draw_with_replacement(
     length = F.floor(share * F.lit(float(2 ** length_exponent(found))))
     rows = scored.where(weight_column() > 0).select(
         "source_pos", "score",
-        F.floor(F.col("source_pos") / block_rows).alias("block"),
+        F.expr(f"source_pos div {block_rows}").alias("block"),
         F.greatest(length, F.lit(1)).cast("bigint").alias("length"),
     )
 

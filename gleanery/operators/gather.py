@@ -9,7 +9,7 @@ with the same number of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.operators.ranking import bucket_counts, starts_of
@@ -18,6 +18,7 @@ from gleanery.runtime import BROADCAST_BYTES, BUCKET_ROWS, small_frame
 
 SLOT_BYTES = 128
 RANGE_BYTES = 96
+BITMAP_ROWS = 32_768  # bits in one of Spark's bitmaps
 
 
 def gather_rows(source: DataFrame, selection: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def source_order(selection: DataFrame, may_repeat: bool = True, block_rows: int
         if may_repeat
         else selection.select("source_pos", F.col("score").alias("_score"), F.lit(1).cast("bigint").alias("copies"))
     )
-    block = F.floor(F.col("source_pos") / block_rows)
+    block = F.expr(f"source_pos div {block_rows}")
     counts = [
         (row["block"], row["rows"])
         for row in copies.groupBy(block.alias("block")).agg(F.sum("copies").alias("rows")).orderBy("block").collect()
@@ -91,41 +92,74 @@ def _draw_slots(selection: DataFrame, per_shard: int, may_repeat: bool) -> DataF
     )
 
 
-def _co_shuffled(source: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
+def _bitmap_blocks(positions: DataFrame, *by: str) -> DataFrame:
+    """``(_block, *by, _low, _high, _bits)``: which positions of each block of
+    BITMAP_ROWS occur, one bit each. Rows are brought together by block first, so
+    that no task holds a bitmap per block."""
+    placed = positions.withColumn("_block", _bitmap_block()).repartition("_block")
+    return placed.groupBy("_block", *by).agg(
+        F.min("source_pos").alias("_low"), F.max("source_pos").alias("_high"),
+        F.bitmap_construct_agg(_bit()).alias("_bits"),
+    )
+
+
+def _bitmap_block() -> Column:
+    return F.expr(f"source_pos div {BITMAP_ROWS}")
+
+
+def _bit() -> Column:
+    return F.expr(f"source_pos % {BITMAP_ROWS}")
+
+
+def _is_marked() -> Column:
+    octet = F.substring(F.col("_bits"), F.expr(f"cast(source_pos % {BITMAP_ROWS} div 8 + 1 as int)"), F.lit(1))
+    return F.getbit(F.conv(F.hex(octet), 16, 10).cast("int"), F.expr("cast(source_pos % 8 as int)")) == 1
+
+
+def _near(source: DataFrame, positions: DataFrame, blocks: int, budget: int, *by: str) -> DataFrame | None:
+    """Source rows that are selected, exactly, if a bitmap of the selection fits the
+    budget; else those between the first and last selected row of a block, if these
+    bounds fit; else None. Adds the ``by`` columns."""
+    marked = _bitmap_blocks(positions, *by)
+    inside = (F.col("source_pos") >= F.col("_low")) & (F.col("source_pos") <= F.col("_high"))
+    if blocks * (BITMAP_ROWS // 8 + RANGE_BYTES) <= budget:
+        inside = inside & _is_marked()
+    elif blocks * RANGE_BYTES <= budget:
+        marked = marked.drop("_bits")
+    else:
+        return None
+    return (
+        source.withColumn("_block", _bitmap_block())
+        .join(F.broadcast(marked), "_block").where(inside)
+        .select(*source.columns, *by)
+    )
+
+
+def _co_shuffled(sent: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
     """Join in source order with a single payload exchange. A shard then covers a
-    range of source positions, so the payload can be sent straight to its shard and
-    meet the selection there; the sort-merge join leaves each shard in order."""
-    ranges = slots.groupBy("shard").agg(
-        F.min("source_pos").alias("low"), F.max("source_pos").alias("high")
-    ).collect()
-    table = [
-        (block, row["shard"], row["low"], row["high"])
-        for row in ranges
-        for block in range(row["low"] // BUCKET_ROWS, row["high"] // BUCKET_ROWS + 1)
-    ]
-    near = small_frame(source.sparkSession, table, "_block bigint, shard int, _low bigint, _high bigint", RANGE_BYTES)
-    position = F.col("source_pos")
-    sent = (
-        source.withColumn("_block", F.floor(position / BUCKET_ROWS))
-        .join(near, "_block")
-        .where((position >= F.col("_low")) & (position <= F.col("_high")))
-        .drop("_block", "_low", "_high")
-        .repartitionById(shards, F.col("shard"))
+    range of source positions, so the payload (which knows its shard from that range)
+    goes straight to its shard and meets the selection there; the sort-merge join
+    leaves each shard in order."""
+    here = F.col("shard")
+    met = sent.repartitionById(shards, here).join(
+        slots.repartitionById(shards, here).hint("merge"), ["shard", "source_pos"]
     )
-    met = sent.join(slots.repartitionById(shards, F.col("shard")).hint("merge"), ["shard", "source_pos"])
     return met.sortWithinPartitions("shard", "source_pos")
 
 
 def gather_ordered(
     source: DataFrame, selection: Selection, per_shard: int, order: str = "draw",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    source_rows: int | None = None, broadcast_bytes: int = BROADCAST_BYTES,
+    bitmap_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, int, int]:
     """``(frame, shards, rows)``: the selected source rows plus ``_score`` and
     ``out_pos``. Partition i holds output rows ``i * per_shard`` onwards, sorted.
 
     A small selection is broadcast, so that only selected rows are shuffled, once.
-    A large one meets the payload by shuffle: once in source order, and in draw order
-    once by position and once by shard.
+    With a large one the payload is first reduced by a broadcast bitmap of the
+    selected positions (if ``source_rows`` is known and the bitmap fits), then meets
+    the selection by shuffle: once in source order; in draw order once by position
+    and once by shard.
     """
     by_draw = order == "draw" and selection.has_draw_order
     if by_draw:
@@ -136,10 +170,18 @@ def gather_ordered(
         slots = _source_slots(placed, per_shard)
     shards = max(1, -(-rows // per_shard))
     out_pos = F.explode("slots").alias("out_pos")
-    broadcast = rows * SLOT_BYTES <= broadcast_bytes
-    if not (broadcast or by_draw or shards == 1):
-        met = _co_shuffled(source, slots, shards)
-        return met.select(*source.columns, "_score", out_pos), shards, rows
-    met = source.join(F.broadcast(slots) if broadcast else slots, "source_pos")
+
+    if rows * SLOT_BYTES <= broadcast_bytes:
+        met = source.join(F.broadcast(slots), "source_pos")
+    else:
+        blocks = None if source_rows is None else source_rows // BITMAP_ROWS + 1
+        if not by_draw and shards > 1 and blocks is not None:
+            # Every block meets one shard more than it has shard borders.
+            sent = _near(source, slots, blocks + shards, bitmap_bytes, "shard")
+            if sent is not None:
+                met = _co_shuffled(sent, slots, shards)
+                return met.select(*source.columns, "_score", out_pos), shards, rows
+        near = None if blocks is None else _near(source, selection.rows, blocks, bitmap_bytes)
+        met = (source if near is None else near).join(slots, "source_pos")
     met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("shard"))
     return met.select(*source.columns, "_score", out_pos).sortWithinPartitions("out_pos"), shards, rows

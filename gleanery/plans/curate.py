@@ -28,6 +28,7 @@ HOT_CHECK_ROWS = 20_000_000
 class Curated:
     """Result of :func:`curate`. Frames are lazy; ``scored`` is materialised.
 
+    ``source_rows`` is the size of the source table where it is known without a scan.
     ``selection.rows`` has ``source_pos`` (position in the source table), ``score`` and
     in the sampling modes ``draw_pos``. ``source`` is the dataset plus ``source_pos``.
     """
@@ -39,12 +40,13 @@ class Curated:
     before: Profile
     source_files: int
     distinct_scores: int
+    source_rows: int | None
     _held: list = field(default_factory=list)
 
     def aligned(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
         """Source columns plus ``out_pos``, ``source_pos`` and ``score``, sorted by
         ``out_pos`` within and across partitions."""
-        rows, _, _ = gather_ordered(self.source, self.selection, per_shard, order)
+        rows, _, _ = gather_ordered(self.source, self.selection, per_shard, order, self.source_rows)
         return rows.select(*self.columns, "out_pos", "source_pos", F.col("_score").alias("score"))
 
     def data(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
@@ -53,7 +55,7 @@ class Curated:
 
     def shards(self, per_shard: int, order: str = "draw") -> tuple[DataFrame, int, int]:
         """``(rows, shards, count)``: partition i is shard i."""
-        rows, shards, count = gather_ordered(self.source, self.selection, per_shard, order)
+        rows, shards, count = gather_ordered(self.source, self.selection, per_shard, order, self.source_rows)
         if count == 0:
             return self.source.select(*self.columns).limit(0).repartition(1), 1, 0
         return rows.select(*self.columns), shards, count
@@ -136,4 +138,4 @@ def curate(
     columns = dataset.columns if isinstance(dataset, DataFrame) else [
         name for name in source.columns if name != "source_pos"
     ]
-    return Curated(source, columns, scored, selection, before, files, distinct, holding)
+    return Curated(source, columns, scored, selection, before, files, distinct, row_bound, holding)

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators.gather import check_positions, gather_ordered, gather_rows, order_source, source_order
+from gleanery.operators.gather import _near, check_positions, gather_ordered, gather_rows, order_source, source_order
 from gleanery.operators.ranking import bucket_counts, global_position, n_smallest, position_by_bucket
 from gleanery.operators.selection import Selection
 from gleanery.sources import read_dataset, with_source_pos
@@ -119,34 +119,48 @@ class TestGather:
     # A third of all rows are copies of one source row.
     REPEATED = [random.Random(5).randrange(200) for _ in range(200)] + [17] * 100
 
-    @pytest.mark.parametrize("budget", [1 << 20, 0])
+    # Selection broadcast; bitmap; position ranges (two sizes of budget); plain shuffle.
+    PLANS = [(1 << 20, 0), (0, 10 << 20), (0, 40_000), (0, 0)]
+
+    @pytest.mark.parametrize("budgets", PLANS)
     @pytest.mark.parametrize("per_shard", [1, 7, 50, 1000])
     @pytest.mark.parametrize("order", ["draw", "source"])
-    def test_repeated_rows(self, spark, source, order, per_shard, budget):
+    def test_repeated_rows(self, spark, source, order, per_shard, budgets):
         positions = list(self.REPEATED)
         random.Random(9).shuffle(positions)
-        frame, shards, rows = gather_ordered(source, self.selection(spark, positions), per_shard, order, budget)
+        frame, shards, rows = gather_ordered(source, self.selection(spark, positions), per_shard, order, 200, *budgets)
         assert (shards, rows) == (-(-300 // per_shard), 300)
         expected = positions if order == "draw" else sorted(positions)
         assert self.read(frame) == [
             (i // per_shard, i, pos, f"row{pos}", pos / 1000) for i, pos in enumerate(expected)]
 
-    @pytest.mark.parametrize("budget", [1 << 20, 0])
-    def test_threshold_selection_is_in_source_order(self, spark, source, budget):
+    @pytest.mark.parametrize("budgets", PLANS)
+    def test_threshold_selection_is_in_source_order(self, spark, source, budgets):
         positions = list(range(3, 200, 4))
         chosen = self.selection(spark, positions, draw_order=False, may_repeat=False)
-        frame, shards, rows = gather_ordered(source, chosen, 10, "draw", budget)
+        frame, shards, rows = gather_ordered(source, chosen, 10, "draw", 200, *budgets)
         assert [r[2] for r in self.read(frame)] == positions and (shards, rows) == (5, 50)
 
     def test_large_source_order_shuffles_the_payload_once(self, spark, source):
         chosen = self.selection(spark, list(range(0, 200, 2)), False, False)
-        frame, _, _ = gather_ordered(source, chosen, 10, "source", 0)
+        frame, _, _ = gather_ordered(source, chosen, 10, "source", 200, 0)
         plan = frame._jdf.queryExecution().executedPlan().toString()
         payload = [line for line in plan.splitlines() if "Exchange" in line and "passthrough" in line]
         assert len(payload) == 2 and plan.count("SortMergeJoin") == 1  # payload and selection
         joined = plan[: plan.index("SortMergeJoin")]
         assert "Sort [" not in joined and "Exchange" not in joined  # ordered as joined
 
+    @pytest.mark.parametrize("order", ["draw", "source"])
+    def test_bitmap_drops_other_rows_before_the_shuffle(self, spark, order):
+        """Positions over several bitmaps, on and off byte and block borders."""
+        positions = [0, 7, 8, 4095, 32767, 32768, 32769, 65535, 70_000, 99_999]
+        source = spark.range(100_000).select(F.col("id").alias("source_pos"), F.hex("id").alias("text"))
+        chosen = self.selection(spark, positions, may_repeat=False)
+        frame, _, _ = gather_ordered(source, chosen, 4, order, 100_000, 0, 1 << 20)
+        assert [r[2] for r in self.read(frame)] == positions
+        near = _near(source, chosen.rows, 4, 1 << 20)
+        assert sorted(r["source_pos"] for r in near.collect()) == positions
+
     def test_source_order_positions(self, spark):
         chosen = self.selection(spark, [5, 5, 199, 0, 5])
         placed, total = source_order(chosen.rows, block_rows=3)
