@@ -65,7 +65,8 @@ def draw_with_replacement(
             for block, start, end in blocks
             for number in range(start // step, (end - 1) // step + 1)
         ]
-        starts = small_frame(spark, table, "_step bigint, block bigint, _start bigint, _end bigint", BLOCK_BYTES)
+        columns = dict(zip(("_step", "block", "_start", "_end"), map(list, zip(*table))))
+        starts = small_frame(spark, columns, BLOCK_BYTES)
         points = (
             points.withColumn("_step", F.expr(f"x div {step}"))
             .join(starts, "_step")

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.operators.ranking import bucket_counts, starts_of
+from gleanery.operators.ranking import starts_frame
 from gleanery.operators.selection import Selection
-from gleanery.runtime import BROADCAST_BYTES, BUCKET_ROWS, small_frame
+from gleanery.runtime import BROADCAST_BYTES, BUCKET_ROWS
 
 SLOT_BYTES = 128
 RANGE_BYTES = 96
@@ -55,7 +55,7 @@ def source_order(selection: DataFrame, may_repeat: bool = True, block_rows: int
     ahead = F.coalesce(F.sum("copies").over(earlier), F.lit(0).cast("bigint"))
     placed = copies.withColumn("_block", block).withColumn("first", ahead)
     if len(counts) > 1:
-        starts = small_frame(selection.sparkSession, starts_of(counts), "_block bigint, _start bigint", 64)
+        starts = starts_frame(selection.sparkSession, counts, "_block")
         placed = placed.join(starts, "_block").withColumn("first", F.col("first") + F.col("_start"))
     return placed.select("source_pos", "_score", "first", "copies"), total
 
@@ -67,7 +67,12 @@ def order_source(selection: DataFrame, may_repeat: bool = True) -> DataFrame:
     return placed.select("source_pos", F.explode(places).alias("out_pos"))
 
 
-def _source_slots(placed: DataFrame, per_shard: int) -> DataFrame:
+def _source_slots(placed: DataFrame, per_shard: int, may_repeat: bool) -> DataFrame:
+    """``(source_pos, _score, shard)`` with ``out_pos``, or ``slots`` (several places in
+    the shard) where rows may repeat."""
+    if not may_repeat:
+        shard = F.expr(f"cast(first div {per_shard} as int)").alias("shard")
+        return placed.select("source_pos", "_score", shard, F.col("first").alias("out_pos"))
     last = F.col("first") + F.col("copies") - 1
     shards = F.expr(f"sequence(first div {per_shard}, (first + copies - 1) div {per_shard})")
     shard_start = F.col("shard") * per_shard
@@ -82,13 +87,13 @@ def _source_slots(placed: DataFrame, per_shard: int) -> DataFrame:
 def _draw_slots(selection: DataFrame, per_shard: int, may_repeat: bool) -> DataFrame:
     sharded = selection.select(
         "source_pos", F.col("score").alias("_score"),
-        F.expr(f"cast(draw_pos div {per_shard} as int)").alias("shard"), "draw_pos",
+        F.expr(f"cast(draw_pos div {per_shard} as int)").alias("shard"), F.col("draw_pos").alias("out_pos"),
     )
     if not may_repeat:
-        return sharded.select("source_pos", "_score", "shard", F.array("draw_pos").alias("slots"))
+        return sharded
     # A group is one row's places in one shard: never more than the shard's length.
     return sharded.groupBy("source_pos", "shard").agg(
-        F.first("_score").alias("_score"), F.sort_array(F.collect_list("draw_pos")).alias("slots")
+        F.first("_score").alias("_score"), F.sort_array(F.collect_list("out_pos")).alias("slots")
     )
 
 
@@ -167,9 +172,9 @@ def gather_ordered(
         slots = _draw_slots(selection.rows, per_shard, selection.may_repeat)
     else:
         placed, rows = source_order(selection.rows, selection.may_repeat)
-        slots = _source_slots(placed, per_shard)
+        slots = _source_slots(placed, per_shard, selection.may_repeat)
     shards = max(1, -(-rows // per_shard))
-    out_pos = F.explode("slots").alias("out_pos")
+    out_pos = F.explode("slots").alias("out_pos") if selection.may_repeat else F.col("out_pos")
 
     if rows * SLOT_BYTES <= broadcast_bytes:
         met = source.join(F.broadcast(slots), "source_pos")

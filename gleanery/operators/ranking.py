@@ -9,9 +9,10 @@ and the result does not depend on partitioning.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.runtime import BUCKET_ROWS, checkpointed, small_frame
@@ -25,12 +26,11 @@ def bucket_counts(df: DataFrame, bucket: Column) -> list[tuple[int, int]]:
     return sorted((row["bucket"], row["count"]) for row in rows)
 
 
-def starts_of(counts: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    starts, at = [], 0
-    for bucket, rows in counts:
-        starts.append((bucket, at))
-        at += rows
-    return starts
+def starts_frame(spark: SparkSession, counts: Sequence[tuple[int, int]], key: str) -> DataFrame:
+    """Where each bucket starts, as ``(key, _start)``."""
+    ends = list(itertools.accumulate(rows for _, rows in counts))
+    columns = {key: [bucket for bucket, _ in counts], "_start": [0, *ends[:-1]]}
+    return small_frame(spark, columns, BUCKET_BYTES)
 
 
 def position_by_bucket(
@@ -43,7 +43,7 @@ def position_by_bucket(
     placed = df.withColumn("_bucket", bucket.cast("bigint")).withColumn("_within", within.cast("bigint"))
     if len(counts) <= 1:
         return placed.withColumn(name, F.col("_within")).drop("_bucket", "_within")
-    starts = small_frame(df.sparkSession, starts_of(counts), "_bucket bigint, _start bigint", BUCKET_BYTES)
+    starts = starts_frame(df.sparkSession, counts, "_bucket")
     return (
         placed.join(starts, "_bucket")
         .withColumn(name, F.col("_start") + F.col("_within"))
@@ -64,7 +64,7 @@ def global_position(df: DataFrame, order_by: Sequence[Column], name: str = "pos"
     counts = bucket_counts(placed, part)
     if len(counts) <= 1:
         return placed.withColumn(name, within).drop("_place")
-    starts = small_frame(df.sparkSession, starts_of(counts), "_part bigint, _start bigint", BUCKET_BYTES)
+    starts = starts_frame(df.sparkSession, counts, "_part")
     return (
         placed.withColumn("_part", part)
         .join(starts, "_part")

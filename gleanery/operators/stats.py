@@ -32,8 +32,8 @@ def weight_column(score: Column | str = "score") -> Column:
     return F.when((score > 0) & ~F.isnan(score), score).otherwise(F.lit(0.0))
 
 
-def score_histogram(scored: DataFrame, *extra: str) -> DataFrame:
-    return scored.groupBy("score", *extra).agg(F.count(F.lit(1)).alias("rows"))
+def score_histogram(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("score").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _moments(histogram: DataFrame) -> list[Column]:
@@ -50,29 +50,21 @@ def _moments(histogram: DataFrame) -> list[Column]:
     ]
 
 
-def distribution_of(histogram: DataFrame, distinct_bound: int, *totals: Column) -> DataFrame:
-    """One row of DISTRIBUTION (plus ``totals``) from ``(score, rows)``; all NULL for
-    an empty input."""
+def score_distribution(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINCT) -> DataFrame:
+    """One row: mean, median, population deviation, extremes and interpolated
+    percentiles; all NULL for an empty input. ``distinct_bound`` is an upper bound on
+    the number of different scores, as the rules give it."""
+    histogram = score_histogram(scored)
     if distinct_bound <= ONE_TASK_DISTINCT:
         percents = F.array(*[F.lit(p / 100) for p in PERCENTS])
-        row = histogram.agg(
-            F.percentile("score", percents, F.col("rows")).alias("at"), *_moments(histogram), *totals
-        )
+        row = histogram.agg(F.percentile("score", percents, F.col("rows")).alias("at"), *_moments(histogram))
     else:
         values = exact_percentiles(histogram, [p / 100 for p in PERCENTS])
         at = F.array(*[F.lit(value).cast("double") for value in values])
-        row = histogram.agg(*_moments(histogram), *totals).withColumn("at", at)
-    named = {f"p{p}": F.col("at")[index] for index, p in enumerate(PERCENTS)}
-    shown = {**named, "median": named["p50"]}
-    others = [name for name in row.columns if name != "at" and name not in DISTRIBUTION]
-    return row.select(
-        *[shown.get(name, F.col(name)).alias(name) for name in DISTRIBUTION], *others
-    )
-
-
-def score_distribution(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINCT) -> DataFrame:
-    """Mean, median, population deviation, extremes and interpolated percentiles."""
-    return distribution_of(score_histogram(scored), distinct_bound)
+        row = histogram.agg(*_moments(histogram)).withColumn("at", at)
+    shown = {f"p{p}": F.col("at")[index] for index, p in enumerate(PERCENTS)}
+    shown["median"] = shown["p50"]
+    return row.select(*[shown.get(name, F.col(name)).alias(name) for name in DISTRIBUTION])
 
 
 def match_rate(scored: DataFrame) -> DataFrame:
@@ -111,34 +103,22 @@ class Profile:
     eligible: int
     weight_sum: float
     weight_max: float
-    distribution: dict[str, float | None]
 
     @property
     def match_rate(self) -> float:
         return self.matched / self.rows if self.rows else 0.0
 
 
-def profile(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINCT) -> Profile:
-    """All totals and the distribution in one action."""
+def profile(scored: DataFrame) -> Profile:
+    """The totals, in one action that brings one row to the driver."""
     weight = weight_column()
-    count = F.col("rows")
-    row = distribution_of(
-        score_histogram(scored, "matched"),
-        distinct_bound,
-        F.sum("rows").alias("total"),
-        F.sum(F.when(F.col("matched"), count).otherwise(0)).alias("matched"),
-        F.sum(F.when(weight > 0, count).otherwise(0)).alias("eligible"),
-        F.sum(weight * count).alias("weight_sum"),
-        F.max(weight).alias("weight_max"),
-    ).first()
-    return Profile(
-        rows=row["total"] or 0,
-        matched=row["matched"] or 0,
-        eligible=row["eligible"] or 0,
-        weight_sum=row["weight_sum"] or 0.0,
-        weight_max=row["weight_max"] or 0.0,
-        distribution={name: row[name] for name in DISTRIBUTION},
-    )
+    return Profile(*scored.agg(
+        F.count(F.lit(1)),
+        F.count_if("matched"),
+        F.count_if(weight > 0),
+        F.coalesce(F.sum(weight), F.lit(0.0)),
+        F.coalesce(F.max(weight), F.lit(0.0)),
+    ).first())
 
 
 def check_match_rate(found: Profile, missing_score: float, force: bool = False) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ class Curated:
     columns: list[str]
     scored: DataFrame
     selection: Selection
-    before: Profile
+    totals: Profile
     source_files: int
     distinct_scores: int
     source_rows: int | None
@@ -60,12 +60,16 @@ class Curated:
             return self.source.select(*self.columns).limit(0).repartition(1), 1, 0
         return rows.select(*self.columns), shards, count
 
+    def before(self) -> DataFrame:
+        """Score distribution of the dataset (one row)."""
+        return score_distribution(self.scored, self.distinct_scores)
+
     def after(self) -> DataFrame:
         """Score distribution of the selection (one row)."""
         return score_distribution(self.selection.rows, self.distinct_scores)
 
     def summary(self) -> DataFrame:
-        return selection_summary(self.selection.rows, self.before.rows)
+        return selection_summary(self.selection.rows, self.totals.rows)
 
     def close(self) -> None:
         """Drop the cached frames."""
@@ -127,15 +131,18 @@ def curate(
     scored = attach_scores(ids, scores, config.missing_id_score, skewed)
     scored = held(scored.select("source_pos", "score", "matched"), row_bound)
 
-    distinct = config.score_combinations()
-    before = profile(scored, distinct)
-    check_match_rate(before, config.missing_id_score, force)
+    totals = profile(scored)
+    check_match_rate(totals, config.missing_id_score, force)
     holding = [scored]
     selection = select_rows(
-        scored, mode, before, threshold=threshold, n_samples=n_samples, seed=seed,
+        scored, mode, totals, threshold=threshold, n_samples=n_samples, seed=seed,
         max_duplications=max_duplications, holding=holding,
     )
+    if selection.has_draw_order:
+        drawn = held(selection.rows, selection.size)
+        holding.append(drawn)
+        selection = replace(selection, rows=drawn)
     columns = dataset.columns if isinstance(dataset, DataFrame) else [
         name for name in source.columns if name != "source_pos"
     ]
-    return Curated(source, columns, scored, selection, before, files, distinct, row_bound, holding)
+    return Curated(source, columns, scored, selection, totals, files, config.score_combinations(), row_bound, holding)

@@ -47,7 +47,7 @@ def run(
         n_samples=n_samples, seed=seed, force=force, max_duplications=max_duplications, spark=spark,
     )
     try:
-        source_rows = curated.before.rows
+        source_rows = curated.totals.rows
         per_shard = rows_per_shard(source_rows, curated.source_files)
         rows, shards, selected = curated.shards(per_shard, order)
         write_shards(rows, shards, output_dir, overwrite)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,14 @@ def release(*frames: DataFrame) -> None:
         frame.unpersist()
 
 
-def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str, row_bytes: int) -> DataFrame:
-    """A driver-made lookup table, marked for broadcast only if its size allows."""
-    frame = spark.createDataFrame(rows, schema)
-    return F.broadcast(frame) if len(rows) * row_bytes <= BROADCAST_BYTES else frame
+def small_frame(
+    spark: SparkSession, columns: Mapping[str, Sequence], row_bytes: int
+) -> DataFrame:
+    """A driver-made lookup table (a local relation, so no job runs for it), marked for
+    broadcast only if its size allows."""
+    table = pa.table({
+        name: pa.array(values, pa.string() if values and isinstance(values[0], str) else pa.int64())
+        for name, values in columns.items()
+    })
+    frame = spark.createDataFrame(table)
+    return F.broadcast(frame) if table.num_rows * row_bytes <= BROADCAST_BYTES else frame

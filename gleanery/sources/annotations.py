@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.rules import ScoringConfig
-from gleanery.sources.positions import with_source_pos
+from gleanery.sources.positions import attach_positions, file_offsets
 
 
 def prune_annotations(
@@ -23,5 +23,6 @@ def scan_annotations(
 ) -> DataFrame:
     """Pruned scan plus ``annotation_pos``, the row's place in the sorted-file
     concatenation: it decides which of several rows for one id is the last."""
-    table = with_source_pos(spark.read.parquet(path), "annotation_pos")
+    files = spark.read.parquet(path)
+    table = attach_positions(files, file_offsets(files), "annotation_pos")
     return prune_annotations(table, config, id_col, "annotation_pos")

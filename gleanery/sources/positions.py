@@ -33,8 +33,7 @@ def attach_positions(df: DataFrame, offsets: list[tuple[str, int, int]], name: s
         return df.select("*", row_index.alias(name))
     starts = small_frame(
         df.sparkSession,
-        [(file, start) for file, start, _ in offsets],
-        "_file string, _start bigint",
+        {"_file": [file for file, _, _ in offsets], "_start": [start for _, start, _ in offsets]},
         row_bytes=max(len(file) for file, _, _ in offsets) + 64,
     )
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"), row_index.alias("_row"))

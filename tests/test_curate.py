@@ -139,7 +139,8 @@ class TestCurate:
         curated = curate(str(tmp_path / "s"), annotations, "threshold", quality_rules(missing_id_score=0.2), threshold=0.2, spark=spark)
         rows = [(row["source_pos"], row["score"]) for row in curated.aligned().collect()]
         assert rows == [(0, 1.0), (1, 0.75), (2, 0.2), (3, 1.0), (4, 0.2)]
-        assert curated.before.matched == 3
+        assert curated.totals.matched == 3
+        assert curated.before().first()["mean"] == pytest.approx((1.0 + 0.75 + 0.2 + 1.0 + 0.2) / 5)
 
     def test_annotation_frame_with_order(self, spark, tables):
         source, _, _ = tables

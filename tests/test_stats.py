@@ -49,7 +49,6 @@ def test_profile_and_totals(spark):
     found = profile(scored)
     assert (found.rows, found.matched, found.eligible) == (5, 5, 3)
     assert (found.weight_sum, found.weight_max) == (1.0, 0.5)
-    assert found.distribution["mean"] == pytest.approx(0.0)
     assert tuple(weight_totals(scored).first()) == (1.0, 3)
     assert tuple(match_rate(scored).first()) == (5, 5, 1.0)
     empty = profile(scored.limit(0))
@@ -70,7 +69,7 @@ def test_summary(spark):
 
 class TestGate:
     def found(self, matched, rows=100):
-        return Profile(rows, matched, matched, 1.0, 1.0, {})
+        return Profile(rows, matched, matched, 1.0, 1.0)
 
     def test_low_rate_stops(self):
         with pytest.raises(ValueError, match="Only 10.0% of dataset IDs"):

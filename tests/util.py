@@ -24,7 +24,7 @@ def scored_frame(spark, scores, parts=3):
 
 def profile_of(scores) -> Profile:
     weights = [s for s in scores if s > 0]
-    return Profile(len(scores), len(scores), len(weights), sum(weights), max(weights, default=0.0), {})
+    return Profile(len(scores), len(scores), len(weights), sum(weights), max(weights, default=0.0))
 
 
 def messages(i):

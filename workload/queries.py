@@ -159,7 +159,7 @@ def summary(spark, sf_dir):
 def _drawn(spark, sf_dir, mode, share: float, cap: int | None = None) -> Selection:
     """A sample whose size is a share of the table's rows."""
     scored = scored_documents(spark, sf_dir).select("source_pos", "score", "matched").persist()
-    found = profile(scored, ALL_RULES.score_combinations())
+    found = profile(scored)
     return select_sample(scored, mode, int(found.rows * share), SEED, found, cap)
 
 
@@ -224,7 +224,7 @@ def provenance_row(spark, sf_dir):
     curated = _curated(spark, sf_dir, WR, n_samples=n, max_duplications=3)
     info = CurationInfo(
         name="curated", source_dataset="documents", annotations_path="labels", config_name="all_properties",
-        mode=WR, threshold=None, n_samples=n, seed=SEED, source_rows=curated.before.rows,
+        mode=WR, threshold=None, n_samples=n, seed=SEED, source_rows=curated.totals.rows,
         selected_rows=curated.selection.size, max_duplications=3,
     )
     return rounded(provenance(info, curated.after()), "selected_percent", *DISTRIBUTION)
