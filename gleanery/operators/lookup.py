@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions.scores import composite_score
 from gleanery.rules import ScoringConfig
@@ -65,12 +66,15 @@ def attach_scores(
     out of the id shuffle: they look up the at most ``len(skewed)`` scores of these
     ids by broadcast.
     """
-    if rows.schema["id"].dataType != scores.schema["id"].dataType:
-        raise TypeError(
-            "Dataset and annotation ids have different types: "
-            f"{rows.schema['id'].dataType.simpleString()} and "
-            f"{scores.schema['id'].dataType.simpleString()}"
-        )
+    left, right = rows.schema["id"].dataType, scores.schema["id"].dataType
+    if left != right:
+        if not (isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType)):
+            raise TypeError(
+                "Dataset and annotation ids have different types: "
+                f"{left.simpleString()} and {right.simpleString()}"
+            )
+        rows = rows.withColumn("id", F.col("id").cast("bigint"))
+        scores = scores.withColumn("id", F.col("id").cast("bigint"))
     if skewed is None:
         joined = rows.join(scores, "id", "left")
     else:

@@ -18,18 +18,22 @@ from gleanery.rules import DEFAULT_SCORING_CONFIG, ScoringConfig
 from gleanery.runtime import BUCKET_ROWS, held, release
 from gleanery.sources.annotations import prune_annotations, scan_annotations
 from gleanery.sources.dataset import read_dataset
-from gleanery.sources.positions import attach_positions, file_offsets, unfiltered
+from gleanery.sources.positions import (
+    attach_positions, file_offsets, files_of, only_files, unfiltered,
+)
 
 # Smaller tables are not searched for hot ids: a task can hold all of one id.
 HOT_CHECK_ROWS = 20_000_000
+# Selections below this size may be looked at on the driver, to read fewer files.
+FEW_ROWS = 20_000
 
 
 @dataclass
 class Curated:
     """Result of :func:`curate`. Frames are lazy; ``scored`` is materialised.
 
-    ``source_rows`` is the size of the source table where it is known without a scan.
-    ``selection.rows`` has ``source_pos`` (position in the source table), ``score`` and
+    ``table`` is the dataset itself and ``offsets`` its files with their first positions,
+    where it is read from files. ``selection.rows`` has ``source_pos`` (position in the source table), ``score`` and
     in the sampling modes ``draw_pos``. ``source`` is the dataset plus ``source_pos``.
     """
 
@@ -38,15 +42,33 @@ class Curated:
     scored: DataFrame
     selection: Selection
     totals: Profile
-    source_files: int
     distinct_scores: int
-    source_rows: int | None
+    table: DataFrame
+    offsets: list[tuple[str, int, int]] | None
     _held: list = field(default_factory=list)
 
+    @property
+    def source_files(self) -> int:
+        return max(1, len(self.offsets or ()))
+
+    def _gather(self, per_shard: int, order: str) -> tuple[DataFrame, int, int]:
+        rows = None if self.offsets is None else sum(count for _, _, count in self.offsets)
+        return gather_ordered(self._payload(), self.selection, per_shard, order, rows)
+
+    def _payload(self) -> DataFrame:
+        """The source; if the selection is smaller than the number of files, only the
+        files that it touches."""
+        size = self.selection.size
+        if self.offsets is None or size is None or not 0 < size < min(len(self.offsets), FEW_ROWS):
+            return self.source
+        positions = self.selection.rows.select("source_pos").distinct().collect()
+        files = files_of(self.offsets, [row["source_pos"] for row in positions])
+        return attach_positions(only_files(self.table, files), self.offsets, "source_pos")
+
     def aligned(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
         """Source columns plus ``out_pos``, ``source_pos`` and ``score``, sorted by
         ``out_pos`` within and across partitions."""
-        rows, _, _ = gather_ordered(self.source, self.selection, per_shard, order, self.source_rows)
+        rows, _, _ = self._gather(per_shard, order)
         return rows.select(*self.columns, "out_pos", "source_pos", F.col("_score").alias("score"))
 
     def data(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
@@ -55,7 +77,7 @@ class Curated:
 
     def shards(self, per_shard: int, order: str = "draw") -> tuple[DataFrame, int, int]:
         """``(rows, shards, count)``: partition i is shard i."""
-        rows, shards, count = gather_ordered(self.source, self.selection, per_shard, order, self.source_rows)
+        rows, shards, count = self._gather(per_shard, order)
         if count == 0:
             return self.source.select(*self.columns).limit(0).repartition(1), 1, 0
         return rows.select(*self.columns), shards, count
@@ -76,17 +98,15 @@ class Curated:
         release(*self._held)
 
 
-def _positioned(dataset: DataFrame | str, spark: SparkSession, row_key, position_col) -> tuple[DataFrame, int | None, int]:
-    """Dataset with ``source_pos``, its row bound if known, and its file count."""
-    if isinstance(dataset, DataFrame) and (row_key or position_col):
-        if position_col:
-            return dataset.withColumn("source_pos", F.col(position_col).cast("bigint")), None, 1
+def _positioned(table: DataFrame, filtered: bool, row_key, position_col):
+    """Dataset with ``source_pos``, and the offsets of its files if it has files."""
+    if position_col:
+        return table.withColumn("source_pos", F.col(position_col).cast("bigint")), None
+    if row_key:
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
-        return global_position(dataset, [F.col(key) for key in keys], "source_pos"), None, 1
-    table = dataset if isinstance(dataset, DataFrame) else read_dataset(spark, dataset)
-    offsets = file_offsets(unfiltered(table) if isinstance(dataset, DataFrame) else table)
-    rows = sum(count for _, _, count in offsets)
-    return attach_positions(table, offsets, "source_pos"), rows, max(1, len(offsets))
+        return global_position(table, [F.col(key) for key in keys], "source_pos"), None
+    offsets = file_offsets(unfiltered(table) if filtered else table)
+    return attach_positions(table, offsets, "source_pos"), offsets
 
 
 def curate(
@@ -125,7 +145,10 @@ def curate(
         labels, order_col = scan_annotations(spark, annotations, config, annotation_id_col), "annotation_pos"
     scores = latest_scores(compute_scores(labels, config, order_col=order_col), order_col)
 
-    source, row_bound, files = _positioned(dataset, spark, row_key, position_col)
+    is_frame = isinstance(dataset, DataFrame)
+    table = dataset if is_frame else read_dataset(spark, dataset)
+    source, offsets = _positioned(table, is_frame, row_key, position_col)
+    row_bound = None if offsets is None else sum(count for _, _, count in offsets)
     ids = source.select("source_pos", F.col(id_col).alias("id"))
     skewed = hot_ids(ids, row_bound) if (row_bound or 0) > HOT_CHECK_ROWS else None
     scored = attach_scores(ids, scores, config.missing_id_score, skewed)
@@ -142,7 +165,6 @@ def curate(
         drawn = held(selection.rows, selection.size)
         holding.append(drawn)
         selection = replace(selection, rows=drawn)
-    columns = dataset.columns if isinstance(dataset, DataFrame) else [
-        name for name in source.columns if name != "source_pos"
-    ]
-    return Curated(source, columns, scored, selection, totals, files, config.score_combinations(), row_bound, holding)
+    return Curated(
+        source, table.columns, scored, selection, totals, config.score_combinations(), table, offsets, holding
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -35,12 +36,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage with a parquet table in the checkpoint folder: unlike a
+    checkpointed RDD it keeps column pruning and known sizes."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/gleanery-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held(df: DataFrame, rows: int | None) -> DataFrame:
-    """Materialise a frame that several jobs read. ``rows`` is its expected size."""
+    """Materialise a slim frame that several jobs read. ``rows`` is its expected size,
+    None if unknown."""
     if rows is not None and rows <= CACHE_ROWS:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return checkpointed(df)

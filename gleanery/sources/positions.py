@@ -8,6 +8,8 @@ many tasks does not matter.
 
 from __future__ import annotations
 
+import bisect
+from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
@@ -42,6 +44,18 @@ def attach_positions(df: DataFrame, offsets: list[tuple[str, int, int]], name: s
     )
 
 
+def only_files(df: DataFrame, files: Iterable[str]) -> DataFrame:
+    """Restrict a parquet-backed frame to some of its files; the others are pruned
+    from the scan, not read."""
+    return df.where(F.col("_metadata.file_path").isin(list(files)))
+
+
+def files_of(offsets: list[tuple[str, int, int]], positions: Iterable[int]) -> set[str]:
+    """The files that hold the given positions."""
+    starts = [start for _, start, _ in offsets]
+    return {offsets[bisect.bisect_right(starts, position) - 1][0] for position in positions}
+
+
 def unfiltered(df: DataFrame) -> DataFrame:
     """All rows of the files behind a frame."""
     return df.sparkSession.read.parquet(*[unquote(file) for file in df.inputFiles()])

@@ -176,6 +176,19 @@ class TestCurate:
 
 
 class TestPlan:
+    def test_few_rows_read_few_files(self, spark, tmp_path):
+        source = write_source(tmp_path / "many files", rows=[5] * 30)
+        ids = [f"d{i:04d}" for i in range(150)]
+        annotations = write_annotations(tmp_path / "a.parquet", ids, ["excellent"] * 150)
+        for options in ({}, {"n_samples": 3}):
+            curated = curate(source, annotations, WOR, quality_rules(), spark=spark, **options)
+            rows = curated.aligned()
+            assert all(row["id"] == f"d{row['source_pos']:04d}" for row in rows.collect())
+            read = curated._payload()
+            assert read.count() == (150 if not options else 5 * len({r["source_pos"] // 5 for r in rows.collect()}))
+            scan = read._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+            assert options == {} or "file_path" in scan.toString()
+
     def test_slim_until_the_gather(self, spark, tables):
         source, annotations, _ = tables
         curated = curate(source, annotations, WOR, quality_rules(), n_samples=5, spark=spark)
@@ -196,7 +209,8 @@ def written(out):
 
 class TestJob:
     @pytest.fixture(scope="class")
-    def source(self, tmp_path_factory):
+    @staticmethod
+    def source(tmp_path_factory):
         root = tmp_path_factory.mktemp("job")
         source = write_source(root / "source", files=3, rows=40)
         annotations = write_annotations(

@@ -16,7 +16,8 @@ from tests.util import write_source
 
 class TestPositions:
     @pytest.fixture(scope="class")
-    def files(self, tmp_path_factory):
+    @staticmethod
+    def files(tmp_path_factory):
         """Row groups and scan splits smaller than the files; one file is empty."""
         root = tmp_path_factory.mktemp("positions with space")
         start = 0
@@ -60,7 +61,8 @@ class TestPositions:
 
 class TestRanking:
     @pytest.fixture(scope="class")
-    def rows(self, spark):
+    @staticmethod
+    def rows(spark):
         """A third of the rows share one key."""
         keys = [5.0] * 400 + [random.Random(1).expovariate(1) for _ in range(800)]
         random.Random(2).shuffle(keys)
@@ -98,11 +100,11 @@ class TestRanking:
 
 
 class TestGather:
-    SOURCE = 200
 
     @pytest.fixture(scope="class")
-    def source(self, spark):
-        return spark.range(self.SOURCE).select(
+    @staticmethod
+    def source(spark):
+        return spark.range(200).select(
             F.col("id").alias("source_pos"), F.concat(F.lit("row"), "id").alias("text")).repartition(7)
 
     def selection(self, spark, positions, draw_order=True, may_repeat=True):

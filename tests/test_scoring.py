@@ -202,6 +202,12 @@ class TestLookup:
         with pytest.raises(TypeError, match="different types"):
             attach_scores(rows, scores, 0.0)
 
+    def test_integer_widths_may_differ(self, spark):
+        rows = spark.createDataFrame([(0, 1), (1, 2)], "source_pos bigint, id int")
+        scores = spark.createDataFrame([(1, 0.5)], "id bigint, score double")
+        got = attach_scores(rows, scores, 0.0).orderBy("source_pos").collect()
+        assert [row["score"] for row in got] == [0.5, 0.0]
+
     def test_hot_ids(self, spark):
         rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("id"))
         assert hot_ids(rows, 3000) == [-1]
