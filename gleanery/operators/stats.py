@@ -10,10 +10,11 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.operators.quantiles import exact_percentiles
+from gleanery.runtime import held
 
 log = logging.getLogger(__name__)
 
@@ -36,18 +37,8 @@ def score_histogram(scored: DataFrame) -> DataFrame:
     return scored.groupBy("score").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _moments(histogram: DataFrame) -> list[Column]:
-    rows = F.sum("rows").cast("double")
-    mean = F.sum(F.col("score") * F.col("rows")) / F.nullif(rows, F.lit(0.0))
-    center = histogram.agg(mean.alias("center")).scalar()
-    deviation = F.col("score") - center
-    variance = F.sum(deviation * deviation * F.col("rows")) / F.nullif(rows, F.lit(0.0))
-    return [
-        mean.alias("mean"),
-        F.sqrt(variance).alias("std"),
-        F.min("score").alias("min"),
-        F.max("score").alias("max"),
-    ]
+def _total() -> Column:
+    return F.nullif(F.sum("rows").cast("double"), F.lit(0.0))
 
 
 def score_distribution(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINCT) -> DataFrame:
@@ -56,12 +47,26 @@ def score_distribution(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINC
     the number of different scores, as the rules give it."""
     histogram = score_histogram(scored)
     if distinct_bound <= ONE_TASK_DISTINCT:
-        percents = F.array(*[F.lit(p / 100) for p in PERCENTS])
-        row = histogram.agg(F.percentile("score", percents, F.col("rows")).alias("at"), *_moments(histogram))
+        # The histogram fits one task, so the mean can be set beside every row there:
+        # the deviation needs no second pass over the data.
+        whole = Window.partitionBy()
+        center = F.sum(F.col("score") * F.col("rows")).over(whole) / F.sum("rows").over(whole)
+        histogram = histogram.withColumn("center", center)
+        at = F.percentile("score", F.array(*[F.lit(p / 100) for p in PERCENTS]), F.col("rows"))
     else:
+        histogram = held(histogram, None)
+        mean = histogram.agg(F.sum(F.col("score") * F.col("rows")) / _total()).first()[0]
+        histogram = histogram.withColumn("center", F.lit(mean).cast("double"))
         values = exact_percentiles(histogram, [p / 100 for p in PERCENTS])
         at = F.array(*[F.lit(value).cast("double") for value in values])
-        row = histogram.agg(*_moments(histogram)).withColumn("at", at)
+    deviation = F.col("score") - F.col("center")
+    row = histogram.agg(
+        at.alias("at"),
+        F.first("center").alias("mean"),
+        F.sqrt(F.sum(deviation * deviation * F.col("rows")) / _total()).alias("std"),
+        F.min("score").alias("min"),
+        F.max("score").alias("max"),
+    )
     shown = {f"p{p}": F.col("at")[index] for index, p in enumerate(PERCENTS)}
     shown["median"] = shown["p50"]
     return row.select(*[shown.get(name, F.col(name)).alias(name) for name in DISTRIBUTION])
