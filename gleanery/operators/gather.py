@@ -9,6 +9,8 @@ with the same number of rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from gleanery.runtime import BROADCAST_BYTES, BUCKET_ROWS
 SLOT_BYTES = 128
 RANGE_BYTES = 96
 BITMAP_ROWS = 32_768  # bits in one of Spark's bitmaps
+SALTS = 64
+# Names that the gather adds on the way; a dataset cannot have them.
+RESERVED = {"source_pos", "out_pos", "_score", "_shard", "_places", "_salt", "_block", "_low", "_high", "_bits"}
 
 
 def gather_rows(source: DataFrame, selection: DataFrame) -> DataFrame:
@@ -68,32 +73,48 @@ def order_source(selection: DataFrame, may_repeat: bool = True) -> DataFrame:
 
 
 def _source_slots(placed: DataFrame, per_shard: int, may_repeat: bool) -> DataFrame:
-    """``(source_pos, _score, shard)`` with ``out_pos``, or ``slots`` (several places in
-    the shard) where rows may repeat."""
+    """``(source_pos, _score, _shard, _places)``: a row's place, or the first and last
+    of its places in the shard where rows may repeat."""
     if not may_repeat:
-        shard = F.expr(f"cast(first div {per_shard} as int)").alias("shard")
-        return placed.select("source_pos", "_score", shard, F.col("first").alias("out_pos"))
+        shard = F.expr(f"cast(first div {per_shard} as int)").alias("_shard")
+        return placed.select("source_pos", "_score", shard, F.col("first").alias("_places"))
     last = F.col("first") + F.col("copies") - 1
     shards = F.expr(f"sequence(first div {per_shard}, (first + copies - 1) div {per_shard})")
-    shard_start = F.col("shard") * per_shard
-    return placed.select("source_pos", "_score", "first", "copies", F.explode(shards).alias("shard")).select(
-        "source_pos", "_score", F.col("shard").cast("int").alias("shard"),
-        F.sequence(
-            F.greatest("first", shard_start), F.least(last, shard_start + (per_shard - 1))
-        ).alias("slots"),
+    start = F.col("_shard") * per_shard
+    within = F.struct(
+        F.greatest("first", start).alias("first"), F.least(last, start + (per_shard - 1)).alias("last")
+    )
+    return placed.select("source_pos", "_score", "first", "copies", F.explode(shards).alias("_shard")).select(
+        "source_pos", "_score", F.col("_shard").cast("int").alias("_shard"), within.alias("_places")
     )
 
 
 def _draw_slots(selection: DataFrame, per_shard: int, may_repeat: bool) -> DataFrame:
+    """As :func:`_source_slots`, with all places listed where rows may repeat."""
     sharded = selection.select(
         "source_pos", F.col("score").alias("_score"),
-        F.expr(f"cast(draw_pos div {per_shard} as int)").alias("shard"), F.col("draw_pos").alias("out_pos"),
+        F.expr(f"cast(draw_pos div {per_shard} as int)").alias("_shard"), F.col("draw_pos").alias("_places"),
     )
     if not may_repeat:
         return sharded
     # A group is one row's places in one shard: never more than the shard's length.
-    return sharded.groupBy("source_pos", "shard").agg(
-        F.first("_score").alias("_score"), F.sort_array(F.collect_list("out_pos")).alias("slots")
+    return sharded.groupBy("source_pos", "_shard").agg(
+        F.first("_score").alias("_score"), F.sort_array(F.collect_list("_places")).alias("_places")
+    )
+
+
+def _join_salted(source: DataFrame, slots: DataFrame, hot: Sequence[int]) -> DataFrame:
+    """Join on position; the shards of a hot position are dealt to SALTS tasks, each
+    with its own copy of the one source row."""
+    if not hot:
+        return source.join(slots, "source_pos")
+    is_hot = F.col("source_pos").isin(list(hot))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(is_hot, F.col("_shard") % SALTS).otherwise(F.lit(0))
+    return (
+        source.select("*", F.explode(copies).alias("_salt"))
+        .join(slots.withColumn("_salt", salt), ["source_pos", "_salt"])
+        .drop("_salt")
     )
 
 
@@ -145,11 +166,11 @@ def _co_shuffled(sent: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
     range of source positions, so the payload (which knows its shard from that range)
     goes straight to its shard and meets the selection there; the sort-merge join
     leaves each shard in order."""
-    here = F.col("shard")
+    here = F.col("_shard")
     met = sent.repartitionById(shards, here).join(
-        slots.repartitionById(shards, here).hint("merge"), ["shard", "source_pos"]
+        slots.repartitionById(shards, here).hint("merge"), ["_shard", "source_pos"]
     )
-    return met.sortWithinPartitions("shard", "source_pos")
+    return met.sortWithinPartitions("_shard", "source_pos")
 
 
 def gather_ordered(
@@ -174,7 +195,11 @@ def gather_ordered(
         placed, rows = source_order(selection.rows, selection.may_repeat)
         slots = _source_slots(placed, per_shard, selection.may_repeat)
     shards = max(1, -(-rows // per_shard))
-    out_pos = F.explode("slots").alias("out_pos") if selection.may_repeat else F.col("out_pos")
+    places = F.col("_places")
+    if selection.may_repeat:
+        listed = places if by_draw else F.sequence(places["first"], places["last"])
+        places = F.explode(listed)
+    out_pos = places.alias("out_pos")
 
     if rows * SLOT_BYTES <= broadcast_bytes:
         met = source.join(F.broadcast(slots), "source_pos")
@@ -182,11 +207,11 @@ def gather_ordered(
         blocks = None if source_rows is None else source_rows // BITMAP_ROWS + 1
         if not by_draw and shards > 1 and blocks is not None:
             # Every block meets one shard more than it has shard borders.
-            sent = _near(source, slots, blocks + shards, bitmap_bytes, "shard")
+            sent = _near(source, slots, blocks + shards, bitmap_bytes, "_shard")
             if sent is not None:
                 met = _co_shuffled(sent, slots, shards)
                 return met.select(*source.columns, "_score", out_pos), shards, rows
         near = None if blocks is None else _near(source, selection.rows, blocks, bitmap_bytes)
-        met = (source if near is None else near).join(slots, "source_pos")
-    met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("shard"))
+        met = _join_salted(source if near is None else near, slots, selection.hot if by_draw else ())
+    met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("_shard"))
     return met.select(*source.columns, "_score", out_pos).sortWithinPartitions("out_pos"), shards, rows

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.draws import draw_with_replacement
 from gleanery.operators.race import race_draw
-from gleanery.operators.stats import Profile
+from gleanery.operators.stats import Profile, weight_column
 
 log = logging.getLogger(__name__)
 
 THRESHOLD = "threshold"
 WITHOUT_REPLACEMENT = "sample_without_replacement"
 WITH_REPLACEMENT = "sample_with_replacement"
+# Copies of one row beyond which its draws are spread over several tasks.
+HOT_DRAWS = 1_000_000
 MODES = (THRESHOLD, WITHOUT_REPLACEMENT, WITH_REPLACEMENT)
 
 
@@ -24,12 +26,13 @@ MODES = (THRESHOLD, WITHOUT_REPLACEMENT, WITH_REPLACEMENT)
 class Selection:
     """Chosen positions. ``rows`` has ``(source_pos, score)`` and, in the sampling
     modes, ``draw_pos``; a threshold selection is in source order by nature.
-    ``size`` is None while unknown."""
+    ``size`` is None while unknown. ``hot`` lists positions with very many draws."""
 
     rows: DataFrame
     size: int | None
     may_repeat: bool
     has_draw_order: bool
+    hot: tuple[int, ...] = ()
 
 
 def check_arguments(mode: str, n_samples: int | None, max_duplications: int | None) -> None:
@@ -56,9 +59,15 @@ def _nothing(scored: DataFrame) -> DataFrame:
     return scored.select("source_pos", F.lit(0).cast("bigint").alias("draw_pos"), "score").limit(0)
 
 
+def hot_positions(scored: DataFrame, n: int, found: Profile, draws: int = HOT_DRAWS) -> tuple[int, ...]:
+    """Rows with more than ``draws`` expected draws: at most ``n / draws`` of them."""
+    many = weight_column() > F.lit(found.weight_sum * draws / n)
+    return tuple(row["source_pos"] for row in scored.where(many).select("source_pos").collect())
+
+
 def select_sample(
     scored: DataFrame, mode: str, n: int, seed: int, found: Profile,
-    max_duplications: int | None = None, holding: list | None = None,
+    max_duplications: int | None = None, holding: list | None = None, hot_draws: int = HOT_DRAWS,
 ) -> Selection:
     """Weighted sample of ``n`` rows, fewer when the eligible rows run out."""
     if found.eligible == 0:
@@ -78,7 +87,8 @@ def select_sample(
         drawn = draw_with_replacement(scored, n, seed, found)
     else:
         drawn = race_draw(scored, n, seed, cap, found, mode == WITH_REPLACEMENT, holding)
-    return Selection(drawn, n, may_repeat=cap != 1, has_draw_order=True)
+    hot = hot_positions(scored, n, found, hot_draws) if n and (cap or n) > hot_draws else ()
+    return Selection(drawn, n, may_repeat=cap != 1, has_draw_order=True, hot=hot)
 
 
 def select_rows(

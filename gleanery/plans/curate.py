@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.gather import gather_ordered
+from gleanery.operators.gather import RESERVED, gather_ordered
 from gleanery.operators.lookup import attach_scores, compute_scores, hot_ids, latest_scores
 from gleanery.operators.ranking import global_position
 from gleanery.operators.selection import Selection, check_arguments, select_rows
@@ -104,7 +104,10 @@ def _positioned(table: DataFrame, filtered: bool, row_key, position_col):
         return table.withColumn("source_pos", F.col(position_col).cast("bigint")), None
     if row_key:
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
-        return global_position(table, [F.col(key) for key in keys], "source_pos"), None
+        places = global_position(table.select(*keys), [F.col(key) for key in keys], "source_pos")
+        if places.groupBy(*keys).count().where("count > 1").head(1):
+            raise ValueError(f"row_key {keys} is not unique")
+        return table.join(places, keys).select(*table.columns, "source_pos"), None
     offsets = file_offsets(unfiltered(table) if filtered else table)
     return attach_positions(table, offsets, "source_pos"), offsets
 
@@ -147,6 +150,9 @@ def curate(
 
     is_frame = isinstance(dataset, DataFrame)
     table = dataset if is_frame else read_dataset(spark, dataset)
+    taken = RESERVED.intersection(table.columns)
+    if taken:
+        raise ValueError(f"Rename these dataset columns first: {sorted(taken)}")
     source, offsets = _positioned(table, is_frame, row_key, position_col)
     row_bound = None if offsets is None else sum(count for _, _, count in offsets)
     ids = source.select("source_pos", F.col(id_col).alias("id"))

@@ -113,6 +113,13 @@ class TestCurate:
         from_files = curate(source, annotations, WOR, quality_rules(), n_samples=15, spark=spark)
         assert ids_of(with_key) == ids_of(with_position) == ids_of(from_files)
 
+    def test_bad_frames(self, spark, tables):
+        frame = spark.createDataFrame([("a", 1), ("a", 2)], "id string, out_pos int")
+        with pytest.raises(ValueError, match="Rename.*out_pos"):
+            curate(frame, tables[1], WOR, row_key="id")
+        with pytest.raises(ValueError, match="not unique"):
+            curate(frame.select("id"), tables[1], WOR, row_key="id")
+
     def test_empty_selection(self, spark, tables):
         source, annotations, _ = tables
         for mode, options in (("threshold", {"threshold": 2.0}), (WR, {"n_samples": 0}), (WOR, {"n_samples": 0})):

@@ -107,12 +107,12 @@ class TestGather:
         return spark.range(200).select(
             F.col("id").alias("source_pos"), F.concat(F.lit("row"), "id").alias("text")).repartition(7)
 
-    def selection(self, spark, positions, draw_order=True, may_repeat=True):
+    def selection(self, spark, positions, draw_order=True, may_repeat=True, hot=()):
         rows = [(pos, place, pos / 1000) for place, pos in enumerate(positions)]
         frame = spark.createDataFrame(rows, "source_pos bigint, draw_pos bigint, score double").repartition(4)
         if not draw_order:
             frame = frame.drop("draw_pos")
-        return Selection(frame, len(positions) if draw_order else None, may_repeat, draw_order)
+        return Selection(frame, len(positions) if draw_order else None, may_repeat, draw_order, hot)
 
     def read(self, frame):
         rows = frame.select(F.spark_partition_id().alias("part"), "*").collect()
@@ -130,7 +130,8 @@ class TestGather:
     def test_repeated_rows(self, spark, source, order, per_shard, budgets):
         positions = list(self.REPEATED)
         random.Random(9).shuffle(positions)
-        frame, shards, rows = gather_ordered(source, self.selection(spark, positions), per_shard, order, 200, *budgets)
+        chosen = self.selection(spark, positions, hot=(17,))
+        frame, shards, rows = gather_ordered(source, chosen, per_shard, order, 200, *budgets)
         assert (shards, rows) == (-(-300 // per_shard), 300)
         expected = positions if order == "draw" else sorted(positions)
         assert self.read(frame) == [

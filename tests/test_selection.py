@@ -156,6 +156,13 @@ class TestWithReplacement:
         got = draw_with_replacement(scored_frame(spark, scores), 500, 3, profile_of(scores), block_rows, cell_draws)
         assert draws(got) == draws_by_hand(scores, 500, 3)
 
+    def test_hot_rows_are_known(self, spark):
+        scores = [0.01] * 50 + [5.0, 2.0] + [0.01] * 50
+        def hot(n, cap=None):
+            chosen = select_sample(scored_frame(spark, scores), WR, n, 1, profile_of(scores), cap, hot_draws=100)
+            return sorted(chosen.hot)
+        assert (hot(500), hot(300), hot(90), hot(200, 3)) == ([50, 51], [50], [], [])
+
     def test_tiny_weights_keep_their_share(self, spark):
         """One row against 2000 rows of weight 1e-6: together they are as likely as 0.002."""
         scores = [1.0] + [1e-6] * 2000
