@@ -13,7 +13,9 @@ One pass, no refill loop, and the work is proportional to the candidates.
 
 from __future__ import annotations
 
+import itertools
 import math
+import operator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ TOP_K_ROWS = 100_000
 UNPRUNED_CANDIDATES = 1_000_000
 # Arrivals generated from one array; longer runs are split into such chunks.
 CHUNK = 256
+# Up to this many arrivals per row are written out as columns, for generated code.
+UNROLLED = 12
 
 
 def _gap(seed: int, arrival: Column) -> Column:
@@ -71,8 +75,19 @@ def arrivals(
         most = min(cap, math.ceil(needed(weight_max * cutoff)))
         mean = weight * F.lit(cutoff)
         limit = F.least(limit, F.ceil(mean + 12 * F.sqrt(mean) + 40).cast("bigint"))
-    rows = eligible.withColumn("_limit", limit)
+    if most <= UNROLLED:
+        gaps = [f"_gap{k}" for k in range(1, most + 1)]
+        sums = list(itertools.accumulate(map(F.col, gaps), operator.add))
+        rows = eligible.withColumns({name: _gap(seed, F.lit(k)) for k, name in enumerate(gaps, 1)})
+        every = rows.select("source_pos", "score", F.posexplode(F.array(*sums)).alias("_index", "_sum"))
+        every = every.withColumns({
+            "copy": (F.col("_index") + 1).cast("bigint"), "t": F.col("_sum") / weight,
+            "cut_short": (F.col("_index") == most - 1) & F.lit(most < cap),
+        })
+        every = every if cutoff is None else every.where(F.col("t") <= F.lit(cutoff))
+        return every.select("source_pos", "score", "copy", "t", "cut_short")
 
+    rows = eligible.withColumn("_limit", limit)
     first = F.col("_chunk") * chunk + 1
     last = F.least(first + (chunk - 1), F.col("_limit"))
     few = rows if most <= chunk else rows.where(F.col("_limit") <= chunk)
