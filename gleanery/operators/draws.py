@@ -80,11 +80,11 @@ def draw_with_replacement(
     spans = spans.select(
         "block", F.explode(F.expr(f"sequence(at div {cell}, (end - 1) div {cell})")).alias("cell"), "at",
         F.lit(0).alias("is_draw"), F.lit(None).cast("bigint").alias("draw_pos"),
-        F.struct("source_pos", "score").alias("row"),
+        "source_pos", "score",
     )
     points = points.select(
         "block", F.expr(f"at div {cell}").alias("cell"), "at", F.lit(1).alias("is_draw"), "draw_pos",
-        F.lit(None).cast("struct<source_pos: bigint, score: double>").alias("row"),
+        F.lit(None).cast("bigint").alias("source_pos"), F.lit(None).cast("double").alias("score"),
     )
     # A row starting at x covers x, so rows sort before draws at equal places.
     so_far = (
@@ -93,7 +93,7 @@ def draw_with_replacement(
     )
     return (
         spans.unionByName(points)
-        .withColumn("row", F.last("row", ignorenulls=True).over(so_far))
+        .withColumns({name: F.last(name, ignorenulls=True).over(so_far) for name in ("source_pos", "score")})
         .where("is_draw = 1")
-        .select("row.source_pos", "draw_pos", "row.score")
+        .select("source_pos", "draw_pos", "score")
     )
