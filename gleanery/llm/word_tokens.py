@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from gleanery.llm.common import flatten
 
 # Words that a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 500_000
 SIGNS = string.punctuation
 _JOINED = 200
 _LOADED: dict[int, WordIds] = {}
