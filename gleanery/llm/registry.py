@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm.byte_bpe import op4_byte_bpe
+from gleanery.llm.simhash import op10_simhash
 from gleanery.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op9_token_files": op9_token_files,
+    "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {}
