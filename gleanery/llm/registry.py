@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm.byte_bpe import op4_byte_bpe
+from gleanery.llm.language_id import op6_language_id
 from gleanery.llm.packing import op2_best_fit_packing
 from gleanery.llm.simhash import op10_simhash
 from gleanery.llm.token_files import op9_token_files
@@ -14,6 +15,7 @@ from gleanery.llm.token_files import op9_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_language_id": op6_language_id,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
 }
