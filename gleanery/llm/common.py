@@ -93,23 +93,6 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_CHARS)
         first = last
 
 
-def per_text(df: DataFrame, score: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
-    """Adds columns that ``score`` derives from each slice of texts. ``schema`` is the
-    whole output schema; columns that ``score`` does not return are carried."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, text):
-                made = score(part)
-                names = [field.split()[0] for field in schema.split(",")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[n]) if n in made else part.column(n) for n in names], names=names
-                )
-
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
-
-
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole groups, in their order, from a partition that is sorted by
     ``keys``. A group may span batches; only the open one is carried over."""
@@ -148,3 +131,36 @@ def flatten(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     ends = np.cumsum(counts)
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+
+
+_BUILT: dict[str, tuple[object, object]] = {}
+
+
+def built_once(value: object, build: Callable):
+    """What ``build`` makes of a broadcast value, made once per worker; one of each kind
+    is kept."""
+    kept = _BUILT.get(build.__qualname__)
+    if kept is None or kept[0] is not value:
+        kept = _BUILT[build.__qualname__] = (value, build(value))
+    return kept[1]
+
+
+def scored(docs: DataFrame, model: object, build: Callable, add: str, score: Callable, text: str = "text") -> DataFrame:
+    """``docs`` with the columns of ``add`` (a schema) that ``score(built, texts)`` returns
+    for each slice of texts, null text as empty. Columns of the same names are replaced."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    added = [part.split()[0] for part in add.split(", ")]
+    names = [n for n in docs.columns if n not in added]
+    schema = docs.select(*names).schema
+    for part in add.split(", "):
+        schema = schema.add(*part.split())
+
+    def run(batches):
+        for batch in batches:
+            for part in chunks(batch, text):
+                built = built_once(shared.value, build)
+                made = score(built, pa.compute.fill_null(part.column(text), ""))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *map(pa.array, made)], names=[*names, *added])
+
+    return docs.select(*names).mapInArrow(run, schema)

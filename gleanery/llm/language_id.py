@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import chunks, read_table, ship_package
+from gleanery.llm.common import read_table, scored, ship_package
 from gleanery.llm.words import WORD_CHARS, letter_words, remainder, sample_fraction, sums_by_text
 
 UNDETERMINED = "und"
@@ -33,7 +33,6 @@ MARK = "▁"  # begins a word in the vocabulary
 DOCS_PER_LANG, MAX_WORDS, ROUNDS = 3000, 60_000, 4
 SMOOTHING = 0.05
 CACHE_WORDS = 300_000
-_LOADED: dict[int, "LanguageScorer"] = {}
 
 
 def vocabulary(model: str) -> list[str]:
@@ -206,25 +205,8 @@ def learn_languages(
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """docs (doc_id, text and others) with lang_pred and score; ``text`` is kept last."""
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [n for n in docs.columns if n not in ("lang_pred", "score")]
-    schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
-
-    def run(batches):
-        for batch in batches:
-            for part in chunks(batch):
-                key = id(shared.value)
-                if key not in _LOADED:
-                    _LOADED.clear()
-                    _LOADED[key] = LanguageScorer(shared.value)
-                texts = pc.fill_null(part.column("text"), "")
-                lang, score = _LOADED[key].predict(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in names), pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
-
-    return docs.select(*names).mapInArrow(run, schema)
+    """``docs`` with lang_pred and score."""
+    return scored(docs, model, LanguageScorer, "lang_pred string, score double", LanguageScorer.predict)
 
 
 def learn_from_documents(docs: DataFrame, vocabulary_path: str) -> dict:
