@@ -6,7 +6,7 @@ Voters say "toxic" or nothing about a text:
   beginnings that stand out in toxic rows of the training sample (a log-likelihood ratio
   above what chance would give once among all candidates);
 * pattern voters, regular expressions over the lower-cased text;
-* the annotation of a training row.
+* the annotation of a training row, with given error rates.
 
 A generative label model estimates by expectation maximisation how often each voter
 speaks on toxic and on clean texts, and from what it leaves unexplained which voters go
@@ -14,7 +14,8 @@ together; the evidence of a voter is divided by its total correlation with other
 ten beginnings of one word count about once. Its posterior labels train a linear
 classifier on the voters of the text alone, which scores every row.
 
-The sample is bounded: about ``max_rows`` labelled rows, ``max_voters`` found voters.
+The sample is bounded: about ``max_rows`` labelled rows; of the CANDIDATES words that
+stand out most, ``max_voters`` become voters.
 Null text is the empty text: no voter speaks. Without labelled rows every score is the
 smoothed share of toxic ones, 0.5. Words are stretches of letters. Rows are independent.
 """
@@ -30,9 +31,12 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import chunks, read_table, scored, ship_package
 from gleanery.llm.words import letter_words, remainder, sample_fraction
 
-MAX_ROWS, MAX_VOTERS = 10_000, 800
+MAX_ROWS, MAX_VOTERS = 10_000, 400
+CANDIDATES = 20_000
+# How often an annotation says toxic on toxic and on clean texts.
+ANNOTATED = (0.97, 0.01)
 PREFIXES = (3, 4, 5, 6)
-ROUNDS, STEPS, RIDGE = 8, 400, 1e-3
+ROUNDS, STEPS, RIDGE = 8, 15, 1e-5
 
 # Common insults and threats of English; fixed words of the lexicon voters.
 LEXICON = (
@@ -91,16 +95,17 @@ class ToxicScorer:
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         rows, voters = self.votes(texts)
         total = self.state["base"] + np.bincount(rows, self.state["weights"][voters], len(texts))
-        return (1 / (1 + np.exp(-total)),)
+        return (1 / (1 + np.exp(-np.clip(total, -50, 50))),)
 
 
-def label_model(votes: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Posterior of the true label from a 0/1 matrix of voters, the annotation last."""
-    posterior = np.where(votes[:, -1] > 0, 0.95, 0.05)
+def label_model(votes: np.ndarray, annotation: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Posterior of the true label from a 0/1 matrix of voters and the annotations, whose
+    own error rates are given; those of the voters are estimated."""
+    said = np.where(annotation, np.log(ANNOTATED[0] / ANNOTATED[1]), np.log((1 - ANNOTATED[0]) / (1 - ANNOTATED[1])))
+    posterior = np.where(annotation, 0.99, 0.01)
     for _ in range(rounds):
-        share = (posterior.sum() + 1) / (len(votes) + 2)
         toxic, clean = posterior.sum(), (1 - posterior).sum()
-        on_toxic = (posterior @ votes + 0.5) / (toxic + 1)
+        on_toxic = (posterior @ votes + 0.05) / (toxic + 1)
         on_clean = ((1 - posterior) @ votes + 0.05) / (clean + 1)
         # what the two classes leave unexplained shows which voters go together
         left = [(votes - mean) * np.sqrt(weight)[:, None] for mean, weight in ((on_toxic, posterior), (on_clean, 1 - posterior))]
@@ -109,33 +114,35 @@ def label_model(votes: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
         correlation = np.clip(covariance / np.outer(deviation, deviation), 0, 1)
         correlation[correlation < 0.1] = 0
         np.fill_diagonal(correlation, 1)
-        spoken = (np.log(on_toxic / on_clean)) / correlation.sum(axis=1)
-        silent = (np.log((1 - on_toxic) / (1 - on_clean))) / correlation.sum(axis=1)
-        evidence = np.log(share / (1 - share)) + votes @ (spoken - silent) + silent.sum()
+        spoken = np.log(on_toxic / on_clean) / correlation.sum(axis=1)
+        silent = np.log((1 - on_toxic) / (1 - on_clean)) / correlation.sum(axis=1)
+        share = (toxic + 1) / (len(votes) + 2)
+        evidence = np.log(share / (1 - share)) + said + votes @ (spoken - silent) + silent.sum()
         posterior = 1 / (1 + np.exp(-np.clip(evidence, -30, 30)))
     return posterior
 
 
 def fit_linear(votes: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by accelerated gradient steps."""
+    """Logistic regression on soft labels, by Newton steps."""
     share = (target.sum() + 1) / (len(target) + 2)
-    weights, base = np.zeros(votes.shape[1]), float(np.log(share / (1 - share)))
-    if not len(target):
-        return weights, base
-    direction = np.ones(votes.shape[1])
-    for _ in range(20):  # the largest curvature, for the step
-        direction = votes.T @ (votes @ direction)
-        direction /= np.linalg.norm(direction) or 1.0
-    curvature = 0.25 * (1 + np.linalg.norm(votes.T @ (votes @ direction)) / len(votes)) + RIDGE
-    ahead, base_ahead = weights, base
-    for step in range(STEPS):
-        wrong = 1 / (1 + np.exp(-(votes @ ahead + base_ahead))) - target
-        new = ahead - (votes.T @ wrong / len(votes) + RIDGE * ahead) / curvature
-        new_base = base_ahead - wrong.mean() / curvature
-        push = step / (step + 3)
-        ahead, base_ahead = new + push * (new - weights), new_base + push * (new_base - base)
-        weights, base = new, new_base
-    return weights, base
+    table = np.hstack([votes, np.ones((len(votes), 1))])
+    weights = np.zeros(table.shape[1])
+    weights[-1] = np.log(share / (1 - share))
+    ridge = np.diag(np.append(np.full(votes.shape[1], RIDGE), 1e-9))
+
+    def loss(w: np.ndarray) -> float:
+        z = table @ w
+        return float((np.logaddexp(0, z) - target * z).mean() + w @ ridge @ w / 2)
+
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(table @ weights, -30, 30)))
+        slope = table.T @ (p - target) / len(target) + ridge @ weights
+        curve = (table * (p * (1 - p) + 1e-6)[:, None]).T @ table / len(target) + ridge
+        move, now, pace = np.linalg.solve(curve, slope), loss(weights), 1.0
+        while pace > 1e-4 and loss(weights - pace * move) > now:
+            pace /= 2
+        weights = weights - pace * move
+    return weights[:-1], float(weights[-1])
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
@@ -173,7 +180,14 @@ def standing_out(counts: DataFrame, toxic: int, clean: int, max_voters: int) ->
     threshold = 2 * float(np.log(max(2, tested.count())))
     more = F.col("toxic") * clean > 2 * F.col("clean") * toxic
     rows = tested.where(more).withColumn("ratio", ratio).where(F.col("ratio") > threshold)
-    return [r["feature"] for r in rows.orderBy(F.desc("ratio"), "feature").limit(max_voters).collect()]
+    found: dict[str, float] = {}
+    for r in rows.orderBy(F.desc("ratio"), "feature").limit(CANDIDATES).collect():
+        name, purity = r["feature"], r["toxic"] / (r["toxic"] + r["clean"])
+        # a beginning that is as pure says all that a longer form would
+        shorter = [name[:n] for n in PREFIXES if n < len(name)]
+        if not any(s in found and found[s] >= purity - 0.02 for s in shorter):
+            found[name] = purity
+    return list(found)[:max_voters]
 
 
 def learn_toxicity(labelled: DataFrame, max_rows: int = MAX_ROWS, max_voters: int = MAX_VOTERS) -> dict:
@@ -202,11 +216,10 @@ def learn_toxicity(labelled: DataFrame, max_rows: int = MAX_ROWS, max_voters: in
     if not len(rows):
         return state
     rows = rows.iloc[np.argsort([",".join(map(str, (t, *v))) for t, v in zip(rows["toxic"], rows["voters"])], kind="stable")]
-    votes = np.zeros((len(rows), voters + 1))
+    votes = np.zeros((len(rows), voters))
     for i, own in enumerate(rows["voters"]):
         votes[i, own] = 1
-    votes[:, -1] = rows["toxic"].to_numpy() == 1
-    weights, base = fit_linear(votes[:, :-1], label_model(votes))
+    weights, base = fit_linear(votes, label_model(votes, rows["toxic"].to_numpy() == 1))
     return {"lexicon": lexicon, "weights": weights, "base": base}
 
 
