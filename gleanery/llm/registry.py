@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm.byte_bpe import op4_byte_bpe
 from gleanery.llm.language_id import op6_language_id
+from gleanery.llm.minhash import op1_minhash_dedup
 from gleanery.llm.packing import op2_best_fit_packing
 from gleanery.llm.quality import op8_quality
 from gleanery.llm.simhash import op10_simhash
@@ -15,6 +16,7 @@ from gleanery.llm.token_files import op9_token_files
 from gleanery.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
