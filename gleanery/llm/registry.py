@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm.byte_bpe import op4_byte_bpe
+from gleanery.llm.embedding_dedup import op3_embedding_dedup
 from gleanery.llm.language_id import op6_language_id
 from gleanery.llm.minhash import op1_minhash_dedup
 from gleanery.llm.packing import op2_best_fit_packing
@@ -18,6 +19,7 @@ from gleanery.llm.toxicity import op5_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
