@@ -1,16 +1,67 @@
-"""The corpus pipeline: stages that filter, deduplicate and pack ``documents``."""
+"""The corpus pipeline over ``documents``: drop texts of no language, drop toxic texts,
+keep one document of each near-duplicate group, pack the rest into sequences.
+
+Every stage works on all that its predecessor kept, and all but the last return the
+columns of ``documents``. Models are learned from the stage's own input, outside the
+held-out shares of the operators. Null text is the empty text: it has no language and
+goes in the first stage. Rows that repeat a doc_id are one document for the third.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gleanery.llm import language_id, minhash, packing, toxicity
+from gleanery.llm.common import Scratch, read_table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOXIC = 0.5
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; texts without letters are rejected."""
+    model = language_id.learn_from_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    found = language_id.identify(docs.select(*COLUMNS), model)
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below TOXIC."""
+    model = toxicity.learn_from_documents(docs, read_table(spark, sf_dir, "labels"))
+    found = toxicity.score_toxicity(docs.select(*COLUMNS), model)
+    return found.where(F.col("toxic_score") < TOXIC).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group."""
+    key = F.coalesce(F.col("doc_id"), F.lit(minhash.LOWEST)).alias("_key")
+    kept = minhash.near_duplicates(docs).where("kept").select(key).distinct()
+    stay = docs.select(*COLUMNS, key).join(kept, "_key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.length("text")))
+    return stay.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", keep_languages),
+    ("toxicity", drop_toxic),
+    ("minhash_dedup", drop_near_duplicates),
+    ("best_fit_packing", pack),
+]
 # Neither trained models nor packing can be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """Rows of the last stage; what each stage keeps is a table that the next one reads."""
+    scratch = Scratch(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gleanery.llm.byte_bpe import op4_byte_bpe
 from gleanery.llm.embedding_dedup import op3_embedding_dedup
 from gleanery.llm.language_id import op6_language_id
+from gleanery.llm.licenses import op7_license_scan
 from gleanery.llm.minhash import op1_minhash_dedup
 from gleanery.llm.packing import op2_best_fit_packing
 from gleanery.llm.quality import op8_quality
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
+    "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
