@@ -29,6 +29,10 @@ def category_score(name: str, rule: ColumnScoring, data_type: T.DataType) -> Col
             raise TypeError(
                 f"Label {label!r} of string column '{name}' is not a string; quote it in the YAML file"
             )
+        if isinstance(data_type, T.IntegralType) and not isinstance(label, str):
+            if label != int(label):
+                raise ValueError(f"Label {label!r} can never equal a value of the integer column '{name}'")
+            label = int(label)
         pairs += [F.lit(label).cast(data_type), F.lit(float(score))]
     default = F.lit(float(rule.default_score))
     if not pairs:

@@ -40,14 +40,16 @@ def latest_scores(scores: DataFrame, order_col: str | None = None) -> DataFrame:
     """One score per id: the last row in ``order_col`` wins. Without an order the
     largest score is taken, so that the lookup never fans out. The aggregation
     combines map-side, so a heavily repeated id costs no extra shuffle."""
-    best = F.max_by("score", order_col) if order_col else F.max("score")
+    # in a struct a NULL order is the lowest, not absent
+    best = F.max_by("score", F.struct(order_col)) if order_col else F.max("score")
     return scores.groupBy("id").agg(best.alias("score"))
 
 
 def hot_ids(rows: DataFrame, total: int) -> list:
     """Non-NULL ids that hold more than ``HOT_SHARE`` of the rows, judged on a
-    sample. The list only steers the plan, never the result; it has at most
-    ``1 / HOT_SHARE`` entries."""
+    sample; ``total`` must be the number of ``rows`` themselves. The list only steers the
+    plan, never the result. It has at most ``1 / HOT_SHARE`` entries; no more ids can
+    hold such a share."""
     fraction = min(1.0, _HOT_SAMPLE_ROWS / max(total, 1))
     sample = rows.select("id").where("id IS NOT NULL").sample(fraction=fraction, seed=0)
     share = F.lit(HOT_SHARE * total * fraction)
@@ -75,6 +77,7 @@ def attach_scores(
             )
         rows = rows.withColumn("id", F.col("id").cast("bigint"))
         scores = scores.withColumn("id", F.col("id").cast("bigint"))
+    scores = scores.withColumn("_found", F.lit(True))
     if skewed is None:
         joined = rows.join(scores, "id", "left")
     else:
@@ -87,6 +90,6 @@ def attach_scores(
             rows.where(apart).join(F.broadcast(few), "id", "left")
         )
     return joined.withColumns({
-        "matched": F.col("score").isNotNull(),
+        "matched": F.coalesce("_found", F.lit(False)),
         "score": F.coalesce(F.col("score"), F.lit(float(missing))),
-    })
+    }).drop("_found")

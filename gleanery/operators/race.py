@@ -8,7 +8,8 @@ arrivals are the sample. Arrival k of a row comes at
     T_k = (E_1 + ... + E_k) / w,   E_j = -ln U(seed, row, j),
 
 and cap = 1 is the exponential race for successive sampling without replacement.
-One pass, no refill loop, and the work is proportional to the candidates.
+One pass and no refill loop; past the first arrival of every row the work is proportional
+to the candidates.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.uniform import uniform
 from gleanery.operators.ranking import bucket_counts, n_smallest, position_by_bucket
 from gleanery.operators.stats import Profile, weight_column
-from gleanery.runtime import BUCKET_ROWS, held
+from gleanery.runtime import BUCKET_ROWS, held, release
 
 # Up to this many draws one top-k task is cheaper than ranking by buckets.
 TOP_K_ROWS = 100_000
@@ -72,6 +73,9 @@ def arrivals(
 
     limit, most = F.lit(cap).cast("bigint"), cap
     if cutoff is not None:
+        # A row whose first arrival is past the cut-off has none before it: the further
+        # ones are generated for the others only, so the work follows the candidates.
+        eligible = eligible.where(_gap(seed, F.lit(1)) / weight <= F.lit(cutoff))
         most = min(cap, math.ceil(needed(weight_max * cutoff)))
         mean = weight * F.lit(cutoff)
         limit = F.least(limit, F.ceil(mean + 12 * F.sqrt(mean) + 40).cast("bigint"))
@@ -155,7 +159,7 @@ def estimate_cutoff(eligible: DataFrame, n: int, cap: int) -> float | None:
 def _log_bucket(n: int) -> Column:
     """Arrival times in equal steps of ln t. A row's arrival spreads over more than
     one nat, so steps of a small fraction of a nat stay balanced for any weights."""
-    per_nat = min(4096, max(1, -(-n // BUCKET_ROWS) * 4))
+    per_nat = max(1, -(-n // BUCKET_ROWS) * 4)
     return F.floor(F.ln("t") * per_nat)
 
 
@@ -201,7 +205,7 @@ def race_draw(
         )
         if enough:
             break
-        some.unpersist()
+        release(some)
         cutoff = cutoff * 2 if cutoff < 1e300 else None
     if holding is not None:
         holding.append(some)

@@ -41,12 +41,13 @@ def _total() -> Column:
     return F.nullif(F.sum("rows").cast("double"), F.lit(0.0))
 
 
-def score_distribution(scored: DataFrame, distinct_bound: int = ONE_TASK_DISTINCT) -> DataFrame:
+def score_distribution(scored: DataFrame, distinct_bound: int | None = None) -> DataFrame:
     """One row: mean, median, population deviation, extremes and interpolated
-    percentiles; all NULL for an empty input. ``distinct_bound`` is an upper bound on
-    the number of different scores, as the rules give it."""
+    percentiles; all NULL for an empty input. ``distinct_bound`` is a proven upper bound
+    on the number of different scores, as the rules give it; without one, or above
+    ``ONE_TASK_DISTINCT``, the multi-pass way is taken. Both give the same numbers."""
     histogram = score_histogram(scored)
-    if distinct_bound <= ONE_TASK_DISTINCT:
+    if distinct_bound is not None and distinct_bound <= ONE_TASK_DISTINCT:
         # The histogram fits one task, so the mean can be set beside every row there:
         # the deviation needs no second pass over the data.
         whole = Window.partitionBy()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from gleanery.operators.stats import (
     Profile, check_match_rate, profile, score_distribution, selection_summary,
 )
 from gleanery.rules import DEFAULT_SCORING_CONFIG, ScoringConfig
-from gleanery.runtime import BUCKET_ROWS, held, release
+from gleanery.runtime import BUCKET_ROWS, ensure_checkpoint_dir, held, release
 from gleanery.sources.annotations import prune_annotations, scan_annotations
 from gleanery.sources.dataset import read_dataset
 from gleanery.sources.positions import (
@@ -94,19 +96,47 @@ class Curated:
         return selection_summary(self.selection.rows, self.totals.rows)
 
     def close(self) -> None:
-        """Drop the cached frames."""
+        """Drop the cached frames and checkpoint tables."""
         release(*self._held)
 
+    def __enter__(self) -> Curated:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def check_dense(places: DataFrame, name: str) -> None:
+    """Positions must be 0, 1, 2, ... without gap, repeat or NULL. Distinct positions are
+    counted with map-side combine; one row comes to the driver."""
+    found = places.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(name).alias("distinct"),
+        F.min(name).alias("low"), F.max(name).alias("high"),
+    ).first()
+    if found["rows"] and (found["distinct"], found["low"], found["high"]) != (found["rows"], 0, found["rows"] - 1):
+        raise ValueError(
+            f"Positions must be unique and dense from 0: {found['rows']} rows, {found['distinct']} distinct positions "
+            f"from {found['low']} to {found['high']}"
+        )
+
+
+def _check_key(places: DataFrame, keys: list[str]) -> None:
+    missing = functools.reduce(operator.or_, [F.col(key).isNull() for key in keys])
+    if places.where(missing).head(1):
+        raise ValueError(f"row_key {keys} has NULLs")
+    if places.groupBy(*keys).count().where("count > 1").head(1):
+        raise ValueError(f"row_key {keys} is not unique")
+
 
 def _positioned(table: DataFrame, filtered: bool, row_key, position_col):
     """Dataset with ``source_pos``, and the offsets of its files if it has files."""
     if position_col:
+        check_dense(table, position_col)
         return table.withColumn("source_pos", F.col(position_col).cast("bigint")), None
     if row_key:
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
         places = global_position(table.select(*keys), [F.col(key) for key in keys], "source_pos")
-        if places.groupBy(*keys).count().where("count > 1").head(1):
-            raise ValueError(f"row_key {keys} is not unique")
+        _check_key(places, keys)
         return table.join(places, keys).select(*table.columns, "source_pos"), None
     offsets = file_offsets(unfiltered(table) if filtered else table)
     return attach_positions(table, offsets, "source_pos"), offsets
@@ -134,16 +164,22 @@ def curate(
 
     ``dataset`` is a folder of parquet files or a parquet-backed frame, which may be
     filtered already; positions then still refer to the full table. Any other frame
-    needs a unique ``row_key`` to order it by, or a ``position_col`` with unique, dense
-    bigints. For an annotation frame ``annotation_order`` says which of several rows
-    with one id is the last; for a path it is the row order of the files.
+    needs a unique ``row_key`` without NULLs to order it by, or a ``position_col`` with
+    unique, dense bigints from 0; both are checked. For an annotation frame
+    ``annotation_order`` says which of several rows with one id is the last, and repeated
+    ids without it are an error; for a path it is the row order of the files.
     """
     check_arguments(mode, n_samples, max_duplications)
     spark = spark or (
         dataset.sparkSession if isinstance(dataset, DataFrame) else SparkSession.active()
     )
+    ensure_checkpoint_dir(spark)  # large frames need it; say so before any work
     if isinstance(annotations, DataFrame):
         labels, order_col = prune_annotations(annotations, config, annotation_id_col, annotation_order), annotation_order
+        if order_col is None and annotations.groupBy(annotation_id_col).count().where(
+            (F.col("count") > 1) & F.col(annotation_id_col).isNotNull()
+        ).head(1):
+            raise ValueError("Several annotations share an id: name the column that orders them in annotation_order")
     else:
         labels, order_col = scan_annotations(spark, annotations, config, annotation_id_col), "annotation_pos"
     scores = latest_scores(compute_scores(labels, config, order_col=order_col), order_col)
@@ -156,21 +192,25 @@ def curate(
     source, offsets = _positioned(table, is_frame, row_key, position_col)
     row_bound = None if offsets is None else sum(count for _, _, count in offsets)
     ids = source.select("source_pos", F.col(id_col).alias("id"))
-    skewed = hot_ids(ids, row_bound) if (row_bound or 0) > HOT_CHECK_ROWS else None
+    id_rows = ids.count() if is_frame else row_bound  # a frame may be filtered or have no files
+    skewed = hot_ids(ids, id_rows) if id_rows > HOT_CHECK_ROWS else None
     scored = attach_scores(ids, scores, config.missing_id_score, skewed)
-    scored = held(scored.select("source_pos", "score", "matched"), row_bound)
-
-    totals = profile(scored)
-    check_match_rate(totals, config.missing_id_score, force)
+    scored = held(scored.select("source_pos", "score", "matched"), id_rows)
     holding = [scored]
-    selection = select_rows(
-        scored, mode, totals, threshold=threshold, n_samples=n_samples, seed=seed,
-        max_duplications=max_duplications, holding=holding,
-    )
-    if selection.has_draw_order:
-        drawn = held(selection.rows, selection.size)
-        holding.append(drawn)
-        selection = replace(selection, rows=drawn)
+    try:
+        totals = profile(scored)
+        check_match_rate(totals, config.missing_id_score, force)
+        selection = select_rows(
+            scored, mode, totals, threshold=threshold, n_samples=n_samples, seed=seed,
+            max_duplications=max_duplications, holding=holding,
+        )
+        if selection.has_draw_order:
+            drawn = held(selection.rows, selection.size)
+            holding.append(drawn)
+            selection = replace(selection, rows=drawn)
+    except BaseException:
+        release(*holding)
+        raise
     return Curated(
         source, table.columns, scored, selection, totals, config.score_combinations(), table, offsets, holding
     )

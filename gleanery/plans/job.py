@@ -31,6 +31,8 @@ class JobResult:
     source_rows: int
     selected_rows: int
     provenance: Row
+    before: Row
+    ratio: float | None
 
 
 def run(
@@ -42,11 +44,14 @@ def run(
     """``order``: "draw" keeps the order of the draws, "source" that of the source."""
     if order not in WRITER_ORDER.values():
         raise ValueError(f"Unknown order: {order}")
+    inside = f"{str(output_dir).rstrip('/')}/"
+    if f"{str(dataset_path).rstrip('/')}/".startswith(inside) or inside.startswith(f"{str(dataset_path).rstrip('/')}/"):
+        raise ValueError("The output folder must lie apart from the dataset")
     curated = curate(
         dataset_path, annotations_path, mode, ScoringConfig.resolve(config), threshold=threshold,
         n_samples=n_samples, seed=seed, force=force, max_duplications=max_duplications, spark=spark,
     )
-    try:
+    with curated:
         source_rows = curated.totals.rows
         per_shard = rows_per_shard(source_rows, curated.source_files)
         rows, shards, selected = curated.shards(per_shard, order)
@@ -60,10 +65,9 @@ def run(
         )
         row = provenance(info, curated.after()).first()
         write_card(spark, row, output_dir)
-    finally:
-        curated.close()
+        before = curated.before().first()
     log.info("Wrote %d of %d rows in %d shards to %s", selected, source_rows, shards, output_dir)
-    return JobResult(shards, source_rows, selected, row)
+    return JobResult(shards, source_rows, selected, row, before, selected / source_rows if source_rows else None)
 
 
 def parser() -> argparse.ArgumentParser:

@@ -17,8 +17,8 @@ BROADCAST_BYTES = 256 << 20
 # Frames up to this many slim rows are cached; larger ones are checkpointed, so
 # that losing an executor does not re-run the joins behind them.
 CACHE_ROWS = 50_000_000
-# Target rows of one sorted bucket or block.
-BUCKET_ROWS = 131_072
+# Target rows of one sorted bucket or block: slim rows, some 20 MB of them.
+BUCKET_ROWS = 1 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -42,7 +42,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/gleanery-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._checkpoint_path = path
+    return table
 
 
 def held(df: DataFrame, rows: int | None) -> DataFrame:
@@ -54,8 +56,14 @@ def held(df: DataFrame, rows: int | None) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
+    """Drop cached frames, and delete the tables of checkpointed ones."""
     for frame in frames:
         frame.unpersist()
+        path = frame.__dict__.pop("_checkpoint_path", None)
+        if path is not None:
+            context = frame.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small_frame(

@@ -56,8 +56,13 @@ def write_shards(rows: DataFrame, shards: int, output_dir: str, overwrite: bool
     parts = {int(name.split("-")[1]): name for name in staging.names("part-*")}
     if sorted(parts) != list(range(shards)):
         raise RuntimeError(f"Expected {shards} shards, the job wrote partitions {sorted(parts)}")
-    for old in data.names("*.parquet"):
-        data.remove(old)
+    # Old shards step aside and go last: at any moment one complete set exists.
+    aside = Folder(spark, f"{output_dir}/_replaced-{uuid.uuid4().hex}")
+    replaced = data.names("*.parquet")
+    if replaced:
+        aside.make()
+        for old in replaced:
+            data.move(old, f"{aside.path}/{old}")
     data.make()
     with ThreadPoolExecutor(_RENAME_THREADS) as pool:
         list(pool.map(
@@ -65,4 +70,6 @@ def write_shards(rows: DataFrame, shards: int, output_dir: str, overwrite: bool
             range(shards),
         ))
     staging.remove()
+    if replaced:
+        aside.remove()
     return shards

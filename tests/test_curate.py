@@ -1,5 +1,6 @@
 """The plan from tables to result, and the job on disk."""
 
+import datetime
 import glob
 import logging
 import os
@@ -14,11 +15,14 @@ import pytest
 import yaml
 from pyspark.sql import functions as F
 
-from gleanery import ORDINAL_LABELS, ScoringConfig, curate
+from gleanery import ORDINAL_LABELS, ColumnScoring, ScoringConfig, curate
+from gleanery.operators.lookup import compute_scores
+from gleanery.operators.stats import score_distribution
 from gleanery.plans.job import main, parser, run
 from gleanery.sinks import rows_per_shard
-from gleanery.sinks.card import CurationInfo
-from tests.util import quality_rules, write_annotations, write_source
+from gleanery.sinks.card import CurationInfo, provenance, render_card
+from gleanery.sinks.files import Folder
+from tests.util import quality_rules, scored_frame, write_annotations, write_source
 
 WOR, WR = "sample_without_replacement", "sample_with_replacement"
 
@@ -251,7 +255,7 @@ class TestJob:
     def test_card(self, spark, source, tmp_path):
         result = self.go(spark, source, tmp_path / "out", "--max_duplications", "3")
         text = (tmp_path / "out" / "README.md").read_text()
-        assert "sample with replacement (n=120, max_duplications=3)" in text
+        assert "(n=120, max_duplications=3)" in text
         assert "120 (100.0%)" in text and "path: data/train-*" in text and "# out" in text
         assert result.provenance["selected_percent"] == 100.0
         assert f"{result.provenance['mean']:.3f}" in text
@@ -301,7 +305,62 @@ class TestJob:
         with pytest.raises(SystemExit):
             parser().parse_args(needed[:-2])
 
-    def test_mode_text(self):
-        info = CurationInfo("x", "s", "a", "default", WR, None, None, 0, 100, 100, 3)
-        assert info.mode_description == "sample with replacement (n=100, max_duplications=3)"
-        assert CurationInfo("x", "s", "a", "default", WOR, None, 1234, 0, 100, 100).mode_description == "sample without replacement (n=1,234)"
+    def test_mode_text(self, spark):
+        def selection(*info):
+            scores = score_distribution(scored_frame(spark, [0.5]), 1)
+            row = provenance(CurationInfo("x", "s", "a", "default", *info), scores).first()
+            return next(line for line in render_card(row, datetime.date(2025, 1, 1)).split("\n") if line.startswith("| Selection"))
+
+        assert selection(WR, None, None, 0, 100, 100, 3) == "| Selection | sample_with_replacement (n=100, max_duplications=3) |"
+        assert selection(WOR, None, 1234, 0, 100, 100) == "| Selection | sample_without_replacement (n=1,234) |"
+        assert selection("threshold", 0.5, None, 0, 100, 100) == "| Selection | threshold (threshold >= 0.5) |"
+
+
+class TestSafety:
+    def curated(self, spark, rows, schema="id string, pos bigint", **options):
+        notes = spark.createDataFrame([("a", "excellent"), ("b", "good"), ("c", "poor")], "id string, content_quality string")
+        return curate(spark.createDataFrame(rows, schema), notes, spark=spark, config=quality_rules(), **{"mode": "threshold", **options})
+
+    def test_null_key_is_refused(self, spark):
+        with pytest.raises(ValueError, match="NULL"):
+            self.curated(spark, [("a", 0), (None, 1), ("c", 2)], row_key="id")
+
+    @pytest.mark.parametrize("places", [[0, 0, 1], [0, None, 1], [0, 1, 3], [1, 2, 3]])
+    def test_bad_positions_are_refused(self, spark, places):
+        with pytest.raises(ValueError, match="dense"):
+            self.curated(spark, list(zip("abc", places)), position_col="pos")
+
+    def test_repeated_annotations_need_an_order(self, spark):
+        rows = spark.createDataFrame([("a", 0)], "id string, pos bigint")
+        notes = spark.createDataFrame([("a", "poor", 1), ("a", "excellent", None)], "id string, content_quality string, turn int")
+        with pytest.raises(ValueError, match="annotation_order"):
+            curate(rows, notes, "threshold", quality_rules(), row_key="id", spark=spark)
+        with curate(rows, notes, "threshold", quality_rules(), threshold=0.0, row_key="id", annotation_order="turn", spark=spark) as got:
+            assert [(r.score, r.id) for r in got.aligned().collect()] == [(0.1, "a")]
+            assert got.totals.matched == 1
+
+    def test_tables_go_with_the_result(self, spark, monkeypatch):
+        monkeypatch.setattr("gleanery.runtime.CACHE_ROWS", 0)
+        folder = Folder(spark, spark.sparkContext.getCheckpointDir())
+        rows = [("a", 0), ("b", 1), ("c", 2)]
+        before = folder.names("gleanery-*")
+        with self.curated(spark, rows, position_col="pos", mode=WOR, n_samples=2) as got:
+            assert got.data().count() == 2
+            assert len(folder.names("gleanery-*")) > len(before)
+        assert folder.names("gleanery-*") == before
+        with pytest.raises(ValueError, match="zero"):
+            self.curated(spark, [("x", 0)], position_col="pos", mode=WOR, force=True)
+        assert folder.names("gleanery-*") == before
+
+    def test_output_apart_from_source(self, spark, tmp_path):
+        source = write_source(tmp_path / "source", files=1, rows=3)
+        notes = write_annotations(tmp_path / "notes.parquet", ["d0000"], ["good"])
+        for output in (source, f"{source}/data", str(tmp_path)):
+            with pytest.raises(ValueError, match="apart"):
+                run(spark, source, notes, output, "threshold")
+
+    def test_label_of_another_number_is_refused(self, spark):
+        rules = ScoringConfig({"quality": ColumnScoring({1.5: 1.0})})
+        notes = spark.createDataFrame([("a", 1)], "id string, quality int")
+        with pytest.raises(ValueError, match="never equal"):
+            compute_scores(notes, rules)

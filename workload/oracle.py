@@ -188,7 +188,8 @@ ORACLE: dict[str, str] = {
     "provenance": f"""WITH {CAPPED}, facts AS (SELECT count(*) AS source_rows FROM documents), chosen AS (
           SELECT count(*) AS selected_rows, """ + _distribution("drawn") + """)
         SELECT 'curated' AS name, 'documents' AS source_dataset, 'labels' AS annotations, 'all_properties' AS config,
-          'sample with replacement (n=' || format('{:,}', source_rows // 2) || ', max_duplications=3)' AS mode,
+          'sample_with_replacement' AS mode, NULL::double AS threshold, (source_rows // 2)::bigint AS n_samples,
+          3::bigint AS max_duplications,
           42 AS seed, 'draw' AS row_order, source_rows,
           round(100 * selected_rows / source_rows::double, 9) AS selected_percent, chosen.* FROM facts, chosen""",
     "curate_threshold": f"""WITH {SCORED}, kept AS (
@@ -198,3 +199,26 @@ ORACLE: dict[str, str] = {
     "curate_wr": f"WITH {REPLACED} " + PAYLOAD.format(pos="draw_pos AS out_pos", rows="drawn"),
     "curate_wr_capped": f"WITH {CAPPED} " + PAYLOAD.format(pos="draw_pos AS out_pos", rows="drawn"),
 }
+LAST_TURNS = """raw AS (
+  SELECT conv_id AS id, turn, CASE role WHEN 'assistant' THEN 0.9e0 WHEN 'user' THEN 0.3e0 ELSE 0.1e0 END AS raw
+  FROM conversations),
+bounds AS (SELECT min(raw) AS lo, max(raw) AS hi FROM raw),
+last AS (
+  SELECT id, arg_max(CASE WHEN hi > lo THEN (raw - lo) / (hi - lo) ELSE raw END, turn) AS score
+  FROM raw, bounds GROUP BY id)"""
+# Queries that take the plans for large tables give the rows of the plain ones.
+ORACLE |= {
+    "curate_by_key": ORACLE["curate_threshold"],
+    "curate_by_position": ORACLE["curate_threshold"],
+    "curate_last_annotation": f"""WITH {LAST_TURNS}
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS out_pos, doc_id, round(score, 9) AS score
+        FROM documents JOIN last ON id = doc_id WHERE score >= 0.5e0""",
+    "sample_wor_bucketed": ORACLE["sample_wor"],
+    "sample_wr_capped_pruned": f"WITH {_race('n // 2', 300, SHUFFLE)} {DRAWN}",
+    "sample_wr_blocks": ORACLE["sample_wr"],
+    "score_distribution_multipass": ORACLE["score_distribution"],
+    "score_join_skewed": f"""WITH {LAST_TURNS}
+        SELECT c.conv_id AS id, turn, round(score, 9) AS score, true AS matched FROM conversations c JOIN last ON id = conv_id""",
+    "weight_totals_negative": f"""WITH {SCORED} SELECT round(sum(greatest(score - 0.5e0, 0)), 9) AS weight_sum,
+        count(*) FILTER (score - 0.5e0 > 0) AS eligible FROM scored""",
+}

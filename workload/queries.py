@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.scores import category_score
 from gleanery.labels import label_dimension, ordinal_score
+from gleanery.operators.draws import draw_with_replacement
 from gleanery.operators.gather import gather_ordered, gather_rows, order_source
 from gleanery.operators.lookup import attach_scores, compute_scores, latest_scores
+from gleanery.operators.race import race_draw
 from gleanery.operators.ranking import global_position
 from gleanery.operators.selection import Selection, select_sample, select_threshold
 from gleanery.operators.stats import (
@@ -230,6 +232,53 @@ def provenance_row(spark, sf_dir):
     return rounded(provenance(info, curated.after()), "selected_percent", *DISTRIBUTION)
 
 
+def distribution_multipass(spark, sf_dir):
+    """Without a bound on distinct scores, as for any caller who gives none."""
+    return rounded(score_distribution(scored_documents(spark, sf_dir)), *DISTRIBUTION)
+
+
+def sample_bucketed(mode, share, cap):
+    """The race with its plans for large tables: pruned by a cut-off, ranked by buckets."""
+    def query(spark, sf_dir):
+        scored = scored_documents(spark, sf_dir).select("source_pos", "score", "matched").persist()
+        found = profile(scored)
+        rows = race_draw(scored, int(found.rows * share), SEED, cap, found, mode == WR, unpruned=0, top_k=0)
+        return rounded(rows, "score")
+    return query
+
+
+def sample_blocks(spark, sf_dir):
+    """Draws with replacement over many blocks and cells."""
+    scored = scored_documents(spark, sf_dir).select("source_pos", "score", "matched").persist()
+    found = profile(scored)
+    return rounded(draw_with_replacement(scored, found.rows * 2, SEED, found, block_rows=64, cell_draws=32), "score")
+
+
+def score_join_skewed(spark, sf_dir):
+    """Turns look up their conversation's score, with the longest conversations apart."""
+    turns = table(spark, sf_dir, "conversations")
+    scores = latest_scores(compute_scores(turns, ROLE_RULES, id_col="conv_id", order_col="turn"), "turn")
+    longest = turns.groupBy("conv_id").count().orderBy(F.desc("count"), "conv_id").limit(3)
+    rows = turns.select(F.col("conv_id").alias("id"), "turn")
+    joined = attach_scores(rows, scores, 0.0, [row["conv_id"] for row in longest.collect()])
+    return rounded(joined, "score")
+
+
+def negative_weights(spark, sf_dir):
+    """Scores below zero weigh nothing."""
+    shifted = scored_documents(spark, sf_dir).withColumn("score", F.col("score") - 0.5)
+    return rounded(weight_totals(shifted), "weight_sum")
+
+
+def last_annotation(spark, sf_dir):
+    """Documents annotated by conversations, of which the last turn counts."""
+    curated = curate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"), "threshold", ROLE_RULES,
+        threshold=0.5, id_col="doc_id", annotation_id_col="conv_id", annotation_order="turn", force=True, spark=spark,
+    )
+    return rounded(curated.aligned().select("out_pos", "doc_id", "score"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_annotations": scan,
     "source_positions": source_positions,
@@ -265,4 +314,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curate_wor": curated_rows(WOR, 0.2),
     "curate_wr": curated_rows(WR, 2),
     "curate_wr_capped": curated_rows(WR, 0.5, max_duplications=3),
+    "curate_by_key": curated_rows("threshold", threshold=THRESHOLD, row_key="doc_id"),
+    "curate_by_position": curated_rows("threshold", threshold=THRESHOLD, position_col="doc_id"),
+    "curate_last_annotation": last_annotation,
+    "sample_wor_bucketed": sample_bucketed(WOR, 0.2, 1),
+    "sample_wr_capped_pruned": sample_bucketed(WR, 0.5, 300),
+    "sample_wr_blocks": sample_blocks,
+    "score_distribution_multipass": distribution_multipass,
+    "score_join_skewed": score_join_skewed,
+    "weight_totals_negative": negative_weights,
 }
