@@ -51,10 +51,11 @@ def _checked(edges: DataFrame) -> tuple:
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of all nodes that edges (a, b) touch; the component is its
-    smallest node. Every round joins edges with the smallest neighbour of a node, which
-    is combined before the shuffle; minima go to a table first, so that a node with very
-    many edges can be split by a skewed join. Rounds grow with the logarithm of the
-    longest chain."""
+    smallest node. Edges are first contracted batch by batch, which turns most components
+    into stars. Every round joins edges with the smallest neighbour of a node, which is
+    combined before the shuffle, and contracts again. Minima go to a table before they
+    are joined, so that a node with very many edges can be split by a skewed join. Rounds
+    grow with the logarithm of the longest chain."""
     now = scratch.keep(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
         .mapInArrow(_contract, "u bigint, v bigint").where("u <> v").distinct()
@@ -63,12 +64,13 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = scratch.keep(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        lower = scratch.keep(large.groupBy("u").agg(F.min("v").alias("m")))
-        joined = large.join(lower, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v")))
-        after = scratch.keep(small.distinct())
-        scratch.drop(now, least, large, lower)
+        # both ends of an edge take the smaller of their minima
+        met = now.join(least.withColumnRenamed("m", "mu"), "u").join(least.select(F.col("u").alias("v"), F.col("m").alias("mv")), "v")
+        low = F.least("mu", "mv")
+        pairs = F.array(*[F.struct(end.alias("u"), low.alias("v")) for end in (F.col("u"), F.col("v"), F.col("mu"), F.col("mv"))])
+        stars = met.select(F.explode(pairs).alias("p")).select("p.*").where("u <> v")
+        after = scratch.keep(stars.mapInArrow(_contract, "u bigint, v bigint").where("u <> v").distinct())
+        scratch.drop(now, least)
         now, before, state = after, state, _checked(after)
         if state == before:
             break

@@ -266,12 +266,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = scratch.keep(exploded.join(hubs, "key").select("key", "id", "hub"))
     pairs = scratch.keep(banded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     tried, links = [pairs], [verified_pairs(pairs, signed, texts, scratch)]
-    copies = in_class.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    limit = 4
+    limit, of = 4, None
     while True:
-        found = links[0]
-        for more in links[1:]:
-            found = found.unionByName(more)
+        # components so far stand for their links
+        found = links[-1] if of is None else links[-1].unionByName(of.select(F.col("node").alias("a"), F.col("component").alias("b")))
         of = connected_components(found, scratch)
         met = scratch.keep(pairs_across(banded.select("key", "id"), of, signed, limit, scratch))
         fresh = met.select("a", "b").distinct()
@@ -284,11 +282,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             limit *= 8
             continue
         tried.append(fresh)
-        links.append(verified_pairs(fresh, signed, texts, scratch))
+        new = verified_pairs(fresh, signed, texts, scratch)
+        if new.isEmpty() and met.where("more").isEmpty():
+            break
+        links.append(new)
         limit *= 8
-    final = connected_components(found.unionByName(copies), scratch)
-    joined = in_class.join(final.withColumnRenamed("node", "id"), "id", "left")
-    component = F.coalesce("component", "id")
+    # the first of a class is its smallest id, so the smallest first is a component's
+    joined = in_class.join(of.withColumnRenamed("node", "first"), "first", "left")
+    component = F.coalesce("component", "first")
     public = lambda c: F.when(c != LOWEST, c)
     return joined.select(
         public(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), public(component).alias("component_id"),
