@@ -255,13 +255,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("id"), bounded())
     all_signed = scratch.keep(signed_documents(texts))
-    filled = all_signed.where("n > 0")
-    classes = scratch.keep(filled.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
-    in_class = scratch.keep(all_signed.select("id", "k1", "k2", "n").join(classes, ["k1", "k2"], "left").select(
-        "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first")))
-    signed = scratch.keep(filled.join(in_class.where("id <> first").select("id").distinct(), "id", "left_anti").select("id", "n", "bands", "sketch"))
+    classes = scratch.keep(all_signed.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
+    in_class = scratch.keep(all_signed.join(classes, ["k1", "k2"], "left").select(
+        "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first"), "bands", "sketch"))
+    signed = in_class.where("n > 0 AND id = first").select("id", "n", "bands", "sketch")
 
-    exploded = signed.select("id", F.explode("bands").alias("key")).distinct()
+    exploded = signed.select("id", F.explode("bands").alias("key"))
     hubs = scratch.keep(exploded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1"))
     banded = scratch.keep(exploded.join(hubs, "key").select("key", "id", "hub"))
     pairs = scratch.keep(banded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
@@ -288,7 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links.append(new)
         limit *= 8
     # the first of a class is its smallest id, so the smallest first is a component's
-    joined = in_class.join(of.withColumnRenamed("node", "first"), "first", "left")
+    joined = in_class.select("id", "n", "first").join(of.withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component", "first")
     public = lambda c: F.when(c != LOWEST, c)
     return joined.select(
