@@ -11,6 +11,7 @@ from gleanery.llm.embedding_dedup import op3_embedding_dedup
 from gleanery.llm.language_id import op6_language_id
 from gleanery.llm.licenses import op7_license_scan
 from gleanery.llm.minhash import op1_minhash_dedup
+from gleanery.llm.oracle import OP1, OP3
 from gleanery.llm.packing import op2_best_fit_packing
 from gleanery.llm.quality import op8_quality
 from gleanery.llm.simhash import op10_simhash
@@ -29,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_minhash_dedup": OP1, "op3_embedding_dedup": OP3}
