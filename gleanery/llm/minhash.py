@@ -43,6 +43,7 @@ PLACES, BANDS, BAND_ROWS = 1 << 22, 32, 4
 COORDINATES = BANDS * BAND_ROWS
 SLACK = 5  # deviations of a sketch's estimate
 BLOCK = 512  # members of a bucket that meet in one group
+LIMIT = 32  # partners of a member in one other component that a round tries; the next takes more
 LOWEST = -(1 << 63)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -264,27 +265,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = scratch.keep(exploded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1"))
     banded = scratch.keep(exploded.join(hubs, "key").select("key", "id", "hub"))
     pairs = scratch.keep(banded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    tried, links = [pairs], [verified_pairs(pairs, signed, texts, scratch)]
-    limit, of = 4, None
+    tried, links = [pairs], verified_pairs(pairs, signed, texts, scratch)
+    of, limit = connected_components(links, scratch), LIMIT
     while True:
-        # components so far stand for their links
-        found = links[-1] if of is None else links[-1].unionByName(of.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        of = connected_components(found, scratch)
+        # all untried pairs between components, unless a member has more than the limit;
+        # links found now merge components, which leaves no further pairs to try
         met = scratch.keep(pairs_across(banded.select("key", "id"), of, signed, limit, scratch))
         fresh = met.select("a", "b").distinct()
         for done in tried:
             fresh = fresh.join(done, ["a", "b"], "left_anti")
         fresh = scratch.keep(fresh)
-        if fresh.isEmpty():
-            if met.where("more").isEmpty():
-                break
-            limit *= 8
-            continue
-        tried.append(fresh)
-        new = verified_pairs(fresh, signed, texts, scratch)
-        if new.isEmpty() and met.where("more").isEmpty():
+        if not fresh.isEmpty():
+            tried.append(fresh)
+            links = verified_pairs(fresh, signed, texts, scratch)
+            if not links.isEmpty():  # components so far stand for their links
+                so_far = of.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                of = connected_components(links.unionByName(so_far), scratch)
+        if met.where("more").isEmpty():
             break
-        links.append(new)
         limit *= 8
     # the first of a class is its smallest id, so the smallest first is a component's
     joined = in_class.select("id", "n", "first").join(of.withColumnRenamed("node", "first"), "first", "left")
