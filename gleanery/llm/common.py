@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import gleanery
 from gleanery.runtime import ensure_checkpoint_dir
@@ -152,9 +153,7 @@ def scored(docs: DataFrame, model: object, build: Callable, add: str, score: Cal
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = [part.split()[0] for part in add.split(", ")]
     names = [n for n in docs.columns if n not in added]
-    schema = docs.select(*names).schema
-    for part in add.split(", "):
-        schema = schema.add(*part.split())
+    schema = StructType([*docs.select(*names).schema.fields, *StructType.fromDDL(add).fields])
 
     def run(batches):
         for batch in batches:
