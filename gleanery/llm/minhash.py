@@ -17,9 +17,9 @@ Shingles are 64-bit hashes.
 Buckets are never expanded into all pairs. First each member meets one hub of its bucket.
 What these links join is one component. Then only buckets that still span components are
 looked at again, in blocks: members outside the bucket's largest component against all
-members, and of these pairs only ones between components. Of each member's partners in
-another component the most alike come first; more follow in later rounds until none is
-left untried, so no link between components is lost.
+members, and of these pairs only ones between components, verified where they meet. Only
+links that join components become rows, so no link between components is lost and no
+group's pairs are listed.
 
 Empty texts have no shingles and no links. A null doc_id counts as the smallest id. Rows
 that share a doc_id are one document: their links add up, and each row is returned. An
@@ -36,14 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, built_once, chunks, group_starts, read_table, sorted_groups
-from gleanery.llm.components import connected_components
+from gleanery.llm.components import Forest, connected_components
 
 SHINGLE, SIMILAR = 5, 75  # words; percent
 PLACES, BANDS, BAND_ROWS = 1 << 22, 32, 4
 COORDINATES = BANDS * BAND_ROWS
 SLACK = 5  # deviations of a sketch's estimate
 BLOCK = 512  # members of a bucket that meet in one group
-LIMIT = 32  # partners of a member in one other component that a round tries; the next takes more
 LOWEST = -(1 << 63)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -162,6 +161,11 @@ def _alike(batches):
         yield batch.select(["a", "b"]).filter(pa.array(same >= least_agreement()))
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common > 0 and 100 * common >= SIMILAR * (len(x) + len(y) - common)
+
+
 def _verified(batches):
     for batch in batches:
         for part in chunks(batch, "text_a", 1 << 20):
@@ -174,9 +178,7 @@ def _verified(batches):
                 sets.update({i: shingles(words[e - s:e]) for i, s, e in zip(first, sizes, ends)})
             keep = []
             for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist()):
-                x, y = sets[a], sets[b]
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common > 0 and 100 * common >= SIMILAR * (len(x) + len(y) - common))
+                keep.append(_similar(sets[a], sets[b]))
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -195,43 +197,45 @@ def verified_pairs(pairs: DataFrame, signed: DataFrame, docs: DataFrame, scratch
     return links
 
 
-def _across(limit: int):
-    """Pairs between components in groups (key, rest, block) of two sides: the ``limit``
-    most alike of each member with each other component, and whether there were more."""
-
-    def run(batches):
-        keys = ["key", "rest", "block"]
-        for table in sorted_groups(batches, keys):
-            sketches, ids = _sketches(table.column("sketch")), table.column("id").to_numpy()
-            parts, sizes = table.column("component").to_numpy(), table.column("n").to_numpy()
-            inner = table.column("inner").to_numpy().astype(bool)
-            starts = group_starts(table, keys)
-            for first, last in zip(starts, [*starts[1:], table.num_rows]):
-                x, y = np.flatnonzero(inner[first:last]) + first, np.flatnonzero(~inner[first:last]) + first
-                if not len(x) or not len(y):
-                    continue
-                out, more = [], False
-                for row in x:
-                    fit = y[(parts[y] != parts[row]) & (100 * np.minimum(sizes[y], sizes[row]) >= SIMILAR * np.maximum(sizes[y], sizes[row]))]
-                    if not len(fit):
-                        continue
-                    same = (sketches[fit] == sketches[row]).sum(axis=1)
-                    fit, same = fit[same >= least_agreement()], same[same >= least_agreement()]
-                    order = np.lexsort((-same, parts[fit]))
-                    fit = fit[order]
-                    run_start = np.flatnonzero(np.diff(parts[fit], prepend=parts[fit][:1] - 1)) if len(fit) else np.zeros(0, int)
-                    rank = np.arange(len(fit)) - np.repeat(run_start, np.diff(np.append(run_start, len(fit))))
-                    more |= bool((rank >= limit).any())
-                    out += [(min(ids[row], i), max(ids[row], i)) for i in ids[fit[rank < limit]]]
-                made = np.array(out, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[:, 0]), pa.array(made[:, 1]), pa.array(np.full(len(made), more))], names=["a", "b", "more"])
-
-    return run
-
-
-def pairs_across(banded: DataFrame, of: DataFrame, signed: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
-    """(a, b, more): untried partners in buckets of three or more that span components."""
+def _across(batches):
+    """Verified links between components in groups (key, rest, block) of two sides. Each
+    pair is looked at in the first band it shares only, and not at all once the group's
+    links so far have joined its components."""
+    keys = ["key", "rest", "block"]
+    for table in sorted_groups(batches, keys):
+        sketches, ids = _sketches(table.column("sketch")), table.column("id").to_numpy()
+        bands = np.stack(table.column("bands").to_numpy())
+        parts, sizes, key = (table.column(c).to_numpy() for c in ("component", "n", "key"))
+        inner = table.column("inner").to_numpy().astype(bool)
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles_of(row: int, table=table, ids=ids, sets=sets) -> np.ndarray:
+            if ids[row] not in sets:
+                sets[ids[row]] = shingles(word_hashes(table.column("text").slice(row, 1).combine_chunks())[0])
+            return sets[ids[row]]
+
+        out = []
+        starts = group_starts(table, keys)
+        for first, last in zip(starts, [*starts[1:], table.num_rows]):
+            x, y = np.flatnonzero(inner[first:last]) + first, np.flatnonzero(~inner[first:last]) + first
+            forest = Forest()
+            sets.clear()
+            for row in x:
+                fit = y[(parts[y] != parts[row]) & (100 * np.minimum(sizes[y], sizes[row]) >= SIMILAR * np.maximum(sizes[y], sizes[row]))]
+                fit = fit[(sketches[fit] == sketches[row]).sum(axis=1) >= least_agreement()]
+                same = bands[fit] == bands[row]
+                fit = fit[bands[row][same.argmax(axis=1)] == key[row]] if len(fit) else fit
+                for other in fit:
+                    a, b = int(parts[row]), int(parts[other])
+                    if forest.find(a) != forest.find(b) and _similar(shingles_of(row), shingles_of(other)):
+                        forest.join(a, b)
+                        out.append((ids[row], ids[other]))
+        made = np.array(out, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+
+def links_across(banded: DataFrame, of: DataFrame, signed: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): links that join components, from buckets of three or more that span some."""
     placed = scratch.keep(banded.join(of.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
     per_part = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
     buckets = scratch.keep(
@@ -246,9 +250,9 @@ def pairs_across(banded: DataFrame, of: DataFrame, signed: DataFrame, limit: int
     outer = members.withColumn("block", hashed("blocks")).withColumn("rest", F.explode(upto("rests"))).withColumn("inner", F.lit(False))
     inner = members.where("component <> main").withColumn("rest", hashed("rests")).withColumn("block", F.explode(upto("blocks"))).withColumn("inner", F.lit(True))
     columns = ("key", "rest", "block", "inner", "id", "component")
-    rows = outer.select(*columns).unionByName(inner.select(*columns)).join(signed.select("id", "n", "sketch"), "id")
+    rows = outer.select(*columns).unionByName(inner.select(*columns)).join(signed, "id").join(texts, "id")
     grouped = rows.repartition("key", "rest", "block").sortWithinPartitions("key", "rest", "block")
-    return grouped.mapInArrow(_across(limit), "a bigint, b bigint, more boolean")
+    return grouped.mapInArrow(_across, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -265,25 +269,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = scratch.keep(exploded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1"))
     banded = scratch.keep(exploded.join(hubs, "key").select("key", "id", "hub"))
     pairs = scratch.keep(banded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    tried, links = [pairs], verified_pairs(pairs, signed, texts, scratch)
-    of, limit = connected_components(links, scratch), LIMIT
-    while True:
-        # all untried pairs between components, unless a member has more than the limit;
-        # links found now merge components, which leaves no further pairs to try
-        met = scratch.keep(pairs_across(banded.select("key", "id"), of, signed, limit, scratch))
-        fresh = met.select("a", "b").distinct()
-        for done in tried:
-            fresh = fresh.join(done, ["a", "b"], "left_anti")
-        fresh = scratch.keep(fresh)
-        if not fresh.isEmpty():
-            tried.append(fresh)
-            links = verified_pairs(fresh, signed, texts, scratch)
-            if not links.isEmpty():  # components so far stand for their links
-                so_far = of.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                of = connected_components(links.unionByName(so_far), scratch)
-        if met.where("more").isEmpty():
-            break
-        limit *= 8
+    links = verified_pairs(pairs, signed, texts, scratch)
+    of = connected_components(links, scratch)
+    # what joins components now leaves no further pair to try
+    more = scratch.keep(links_across(banded.select("key", "id"), of, signed, texts, scratch))
+    if not more.isEmpty():  # components so far stand for their links
+        so_far = of.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        of = connected_components(more.unionByName(so_far), scratch)
     # the first of a class is its smallest id, so the smallest first is a component's
     joined = in_class.select("id", "n", "first").join(of.withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component", "first")
