@@ -4,7 +4,7 @@ Rules are regular expressions over a text's words (letters, digits and non-ASCII
 characters, A-Z lower-cased) joined by single spaces. They are written as families: each
 license has its names and versions, and a handful of forms in which licenses are cited;
 every combination is a rule, several hundred in all. A rule runs only on texts that hold
-its keyword; one pattern over all keywords leaves most texts untouched.
+its keyword, a word of everything it matches; one pattern over all keywords leaves most texts untouched.
 
 Rules have a priority. A detection that lies within another one is suppressed unless its
 own priority is higher; then the outer one goes. Of equal spans the higher priority stays,
@@ -142,10 +142,10 @@ def rules() -> tuple[Rule, ...]:
             full = f"{label}-{version.replace('.', '-') if 'clause' in version else version}"
             add(full, keyword, rf"{named} (?:version |v ?)?{said}(?: or (?:any )?later(?: version)?| only)?", 4, 0.05)
             add(full, keyword, rf"(?:under|the|with) (?:terms of )?(?:the )?{named} (?:version |v ?)?{said}", 5, 0.02)
-            add(full, keyword, rf"spdx license identifier {label.replace('-', ' ')} {said}(?: only| or later)?", 6, 0.01)
+            add(full, "spdx", rf"spdx license identifier {label.replace('-', ' ')} {said}(?: only| or later)?", 6, 0.01)
         add(label, keyword, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?{named}", 3, 0.1)
         add(label, keyword, rf"subject to (?:the )?(?:terms of )?(?:the )?{named}", 3, 0.15)
-        add(label, keyword, rf"spdx license identifier {label.replace('-', ' ')}", 5, 0.02)
+        add(label, "spdx", rf"spdx license identifier {label.replace('-', ' ')}", 5, 0.02)
         add(label, keyword, rf"{named} {LICENSE}" if short else named, 2, 0.3)
     for statement in STATEMENTS:
         add(*statement)

@@ -146,6 +146,42 @@ class TestLicenses:
         got = licenses.Scanner(None).scan(pa.array([text]))[5][0]
         assert set(labels.split(",")) <= set(got.split(","))
 
+    def matching(self, parsed, rng):
+        """A random text that a parsed pattern matches."""
+        made = ""
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                made += chr(value)
+            elif name == "IN":
+                kind, what = rng.choice(value)
+                made += chr(what) if str(kind) == "LITERAL" else "7"
+            elif name == "BRANCH":
+                made += self.matching(rng.choice(value[1]), rng)
+            elif name == "SUBPATTERN":
+                made += self.matching(value[-1], rng)
+            elif name == "MAX_REPEAT":
+                made += "".join(self.matching(value[2], rng) for _ in range(rng.randint(value[0], min(value[1], 2))))
+            else:
+                assert name == "ASSERT"
+        return made
+
+    def test_keywords_leave_no_rule_out(self):
+        rng, gated, every = random.Random(8), licenses.Scanner(None), licenses.Scanner(None)
+        every.gate, every.by_keyword = re.compile("^"), {"": list(range(len(licenses.rules())))}
+        for rule in licenses.rules():
+            parsed = re._parser.parse(rule.pattern.pattern)
+            for text in {self.matching(parsed, rng) for _ in range(8)}:
+                assert rule.pattern.search(f" {text} ") and rule.keyword in text.split()
+                labels, score = every.scan_words(text.split())[2:]
+                got = gated.scan(pa.array([text]))
+                assert labels and (got[5][0], got[6][0]) == (",".join(sorted(labels)), score)
+
+    @pytest.mark.parametrize("name", ["BSL-1.0", "OFL-1.1", "OSL-3.0", "AFL-3.0", "MS-PL", "MS-RL", "PSF-2.0", "ODbL-1.0", "BUSL-1.1", "SSPL-1.0", "EDL-1.0", "CPL-1.0", "IPL-1.0"])
+    def test_spdx_names(self, name):
+        got = licenses.Scanner(None).scan(pa.array([f"// SPDX-License-Identifier: {name}"]))
+        assert got[5][0].startswith(name.lower()[:3]) and got[6][0] > 0.9
+
     def test_suppression(self):
         inner, outer, strong = (5, 6, 2, 0), (3, 9, 2, 1), (4, 5, 5, 2)
         assert licenses.suppressed([inner, outer]) == [outer]
