@@ -21,9 +21,11 @@ members, and of these pairs only ones between components, verified where they me
 links that join components become rows, so no link between components is lost and no
 group's pairs are listed.
 
-Empty texts have no shingles and no links. A null doc_id counts as the smallest id. Rows
-that share a doc_id are one document: their links add up, and each row is returned. An
-empty table gives no rows; other columns are not carried.
+Every row has a key of its own, and all of the above is on keys. Empty texts have no
+shingles and no links. A null doc_id counts as the smallest id. Rows that share a doc_id
+are one document: each row's text has its links, edges between the rows add them up, and
+each row is returned. ``first_rows`` goes by texts alone. An empty table gives no rows;
+other columns are not carried.
 """
 
 from __future__ import annotations
@@ -111,11 +113,11 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-SIGNED = "id bigint, k1 bigint, k2 bigint, n bigint, bands array<bigint>, sketch binary"
+SIGNED = "id bigint, doc bigint, k1 bigint, k2 bigint, n bigint, bands array<bigint>, sketch binary"
 
 
 def signed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """One row per document; without shingles the bands are empty."""
+    """One row per row (id, doc, text); without shingles the bands are empty."""
 
     def run(batches):
         for batch in batches:
@@ -135,10 +137,10 @@ def signed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
                 cuts = np.zeros(len(sets) + 1, np.int32)
                 cuts[np.array(full, np.int64) + 1] = BANDS
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column("id"), part.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([len(s) for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.cumsum(cuts).astype(np.int32)), pa.array(band_keys(signatures).ravel())),
                     pa.array(sketch, pa.binary()),
-                ], names=["id", "k1", "k2", "n", "bands", "sketch"])
+                ], names=["id", "doc", "k1", "k2", "n", "bands", "sketch"])
 
     return docs.mapInArrow(run, SIGNED)
 
@@ -255,34 +257,70 @@ def links_across(banded: DataFrame, of: DataFrame, signed: DataFrame, texts: Dat
     return grouped.mapInArrow(_across, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of rows (doc_id, text)."""
-    scratch = Scratch(docs.sparkSession)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("id"), bounded())
+def doc_key():
+    """The document of a row; a null doc_id is the smallest."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("doc")
+
+
+def row_key():
+    """A key of its own for each row, to be kept in a table before it is used."""
+    return F.monotonically_increasing_id().alias("id")
+
+
+def folded_documents(in_class: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): edges that join the different texts of one document."""
+    ends = in_class.groupBy("doc").agg(F.min("first").alias("a"), F.max("first").alias("b"))
+    several = scratch.keep(ends.where("a < b").select("doc", "a"))
+    return scratch.keep(in_class.join(several, "doc").where("first <> a").select("a", F.col("first").alias("b")).distinct())
+
+
+def grouped_rows(texts: DataFrame, scratch: Scratch, fold: bool) -> DataFrame:
+    """(id, doc, n, k1, k2, root) of a table of rows (id, doc, text): rows of one root are
+    linked by their texts and, if ``fold``, by their documents."""
     all_signed = scratch.keep(signed_documents(texts))
     classes = scratch.keep(all_signed.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
     in_class = scratch.keep(all_signed.join(classes, ["k1", "k2"], "left").select(
-        "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first"), "bands", "sketch"))
+        "id", "doc", "n", "k1", "k2", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first"), "bands", "sketch"))
+    scratch.drop(all_signed)
     signed = in_class.where("n > 0 AND id = first").select("id", "n", "bands", "sketch")
+    plain = texts.select("id", "text")
 
     exploded = signed.select("id", F.explode("bands").alias("key"))
     hubs = scratch.keep(exploded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1"))
     banded = scratch.keep(exploded.join(hubs, "key").select("key", "id", "hub"))
     pairs = scratch.keep(banded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    links = verified_pairs(pairs, signed, texts, scratch)
+    links = verified_pairs(pairs, signed, plain, scratch)
+    if fold:
+        links = links.unionByName(folded_documents(in_class, scratch))
     of = connected_components(links, scratch)
     # what joins components now leaves no further pair to try
-    more = scratch.keep(links_across(banded.select("key", "id"), of, signed, texts, scratch))
+    more = scratch.keep(links_across(banded.select("key", "id"), of, signed, plain, scratch))
     if not more.isEmpty():  # components so far stand for their links
         so_far = of.select(F.col("node").alias("a"), F.col("component").alias("b"))
         of = connected_components(more.unionByName(so_far), scratch)
-    # the first of a class is its smallest id, so the smallest first is a component's
-    joined = in_class.select("id", "n", "first").join(of.withColumnRenamed("node", "first"), "first", "left")
-    component = F.coalesce("component", "first")
+    joined = in_class.drop("bands", "sketch").join(of.withColumnRenamed("node", "first"), "first", "left")
+    return scratch.keep(joined.select("id", "doc", "n", "k1", "k2", F.coalesce("component", "first").alias("root")))
+
+
+def first_rows(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The id of one row of each group of similar texts in a table of rows (id, doc, text):
+    of the smallest doc, then the fewest shingles, then the smallest hash of its words."""
+    rows = grouped_rows(texts, scratch, fold=False)
+    return scratch.keep(rows.groupBy("root").agg(F.min(F.struct("doc", "n", "k1", "k2", "id")).alias("least")).select("least.id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of rows (doc_id, text)."""
+    scratch = Scratch(docs.sparkSession)
+    texts = scratch.keep(docs.select(row_key(), doc_key(), bounded()))
+    rows = grouped_rows(texts, scratch, fold=True)
+    scratch.drop(texts)
+    least = scratch.keep(rows.groupBy("root").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
+    component = F.coalesce("least", "doc")
     public = lambda c: F.when(c != LOWEST, c)
-    return joined.select(
-        public(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), public(component).alias("component_id"),
-        (F.col("id") == component).alias("kept"))
+    return rows.join(least, "root", "left").select(
+        public(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), public(component).alias("component_id"),
+        (F.col("doc") == component).alias("kept"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

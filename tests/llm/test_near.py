@@ -77,6 +77,22 @@ class TestMinhash:
         got = sorted((tuple(r) for r in near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
         assert got == sorted([(1, 2, None, False), (1, 2, None, False), (2, 0, 2, True), (None, 2, None, True)], key=str)
 
+    @pytest.mark.parametrize("parts", [1, 4])
+    def test_ids_of_several_texts(self, spark, parts):
+        rng = random.Random(9)
+        words = [f"w{i}" for i in range(2000)]
+        base = {name: [rng.choice(words) for _ in range(80)] for name in "abcdefg"}
+        said = lambda name, changed=0: " ".join([*base[name][:80 - changed], *(rng.choice(words) for _ in range(changed))])
+        rows = [(1, said("a")), (1, said("b")), (2, said("a", 2)), (3, said("b", 3)), (4, said("c")), (1, ""), (5, ""),
+                (None, said("d")), (None, said("e")), (6, said("d", 2)), (7, said("e", 3)), (8, said("e").upper()),
+                (9, said("f")), (10, said("f", 2)), (10, said("g")), (11, said("g", 3))]
+        rng.shuffle(rows)
+        want = {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, None: None, 6: None, 7: None, 8: None, 9: 9, 10: 9, 11: 9}
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        got = near_duplicates(frame).collect()
+        assert sorted((str(r.doc_id), r.n_shingles) for r in got) == sorted((str(i), 76 if t else 0) for i, t in rows)
+        assert all((r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id) for r in got)
+
 
 def test_components(spark):
     rng = random.Random(6)
