@@ -4,17 +4,18 @@ keep one document of each near-duplicate group, pack the rest into sequences.
 Every stage works on all that its predecessor kept, and all but the last return the
 columns of ``documents``. Models are learned from the stage's own input, outside the
 held-out shares of the operators. Null text is the empty text: it has no language and
-goes in the first stage. Rows that repeat a doc_id are one document for the third.
+goes in the first stage. The third goes by texts alone: a row is dropped only if its own
+text is in a group that keeps another row, whatever ids are null or repeated.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import language_id, minhash, packing, toxicity
-from gleanery.llm.common import Scratch, read_table
+from gleanery.llm.common import Scratch, bounded, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
@@ -35,12 +36,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
-    key = F.coalesce(F.col("doc_id"), F.lit(minhash.LOWEST)).alias("_key")
-    kept = minhash.near_duplicates(docs).where("kept").select(key).distinct()
-    stay = docs.select(*COLUMNS, key).join(kept, "_key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.length("text")))
-    return stay.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
+    """One row of each near-duplicate group: the one with the smallest id, null first."""
+    scratch = Scratch(spark)
+    rows = scratch.keep(docs.select(*COLUMNS, minhash.row_key()))
+    first = minhash.first_rows(rows.select("id", minhash.doc_key(), bounded()), scratch)
+    return rows.join(first, "id", "left_semi").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,3 +205,22 @@ class TestPipeline:
         packed = pack(spark, docs, SMALL)
         assert packed.select("doc_id").distinct().count() == docs.count()
         assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+    def test_rows_without_an_own_id(self, spark):
+        rng = random.Random(10)
+        words = [f"w{i}" for i in range(3000)]
+        text = lambda: [rng.choice(words) for _ in range(100)]
+        alone = [(i if i % 3 else None, " ".join(text())) for i in range(60)]  # a third has no id
+        alone += [(1000, " ".join(text())) for _ in range(5)] + [(None, "short one")]
+        groups = []
+        for ids in ([None, 2000, None], [None, None], [2001, 2001], [3000, 2002, 1000]):
+            base = text()
+            groups.append([(i, " ".join([*base[:98], f"x{k}", "y"])) for k, i in enumerate(ids)])
+        copies = [(None, " ".join(text()))] * 3
+        rows = [*alone, *copies, *(r for g in groups for r in g)]
+        rng.shuffle(rows)
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+        got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()]
+        assert set(alone) <= set(got) and len(got) == len(set(got)) == len(alone) + 1 + len(groups)
+        assert copies[0] in got and [sum(r in got for r in g) for g in groups] == [1] * len(groups)
+        assert [i for g in groups for i, t in got if (i, t) in g] == [None, None, 2001, 1000]
