@@ -5,11 +5,14 @@ Every stage works on all that its predecessor kept, and all but the last return
 columns of ``documents``. Models are learned from the stage's own input, outside the
 held-out shares of the operators. Null text is the empty text: it has no language and
 goes in the first stage. The third goes by texts alone: a row is dropped only if its own
-text is in a group that keeps another row, whatever ids are null or repeated.
+text is in a group that keeps another row, whatever ids are null or repeated. Where
+nothing could be learned, only texts without letters go: no text goes but for what is in it.
 """
 
 from __future__ import annotations
 
+import math
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +27,18 @@ TOXIC = 0.5
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; texts without letters are rejected."""
     model = language_id.learn_from_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    if not model["langs"]:  # then every text is undetermined
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     found = language_id.identify(docs.select(*COLUMNS), model)
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below TOXIC."""
+    """Documents but those that score TOXIC or more, and more than a text of no voter does."""
     model = toxicity.learn_from_documents(docs, read_table(spark, sf_dir, "labels"))
     found = toxicity.score_toxicity(docs.select(*COLUMNS), model)
-    return found.where(F.col("toxic_score") < TOXIC).select(*COLUMNS)
+    silent = 1 / (1 + math.exp(-max(model["base"], -50.0))) + 1e-9
+    return found.where((F.col("toxic_score") < TOXIC) | (F.col("toxic_score") <= silent)).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -224,3 +224,17 @@ class TestPipeline:
         assert set(alone) <= set(got) and len(got) == len(set(got)) == len(alone) + 1 + len(groups)
         assert copies[0] in got and [sum(r in got for r in g) for g in groups] == [1] * len(groups)
         assert [i for g in groups for i, t in got if (i, t) in g] == [None, None, 2001, 1000]
+
+    def test_nothing_learned(self, spark, monkeypatch):
+        schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+        texts = ["one two three", "vier fünf", "é", "12 34", "", None, "you idiot"]
+        docs = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(texts)], schema)
+        lettered = {0, 1, 2, 6}
+        assert {r.doc_id for r in corpus_pipeline.keep_languages(spark, docs, SMALL).collect()} == lettered
+        none = spark.createDataFrame([], "doc_id bigint, toxic int")
+        for labels in (none, spark.createDataFrame([(99, 1)], none.schema)):
+            monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_, found=labels: found)
+            assert corpus_pipeline.drop_toxic(spark, docs, SMALL).count() == len(texts)
+        only = spark.createDataFrame([(i, 1) for i in range(7)], none.schema)  # no clean row
+        monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: only)
+        assert {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, SMALL).collect()} >= {0, 1, 2, 3, 4, 5}
