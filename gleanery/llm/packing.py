@@ -3,12 +3,13 @@
 Only lengths matter to a packing, and there are at most ``capacity`` of them, so the plan
 is made on counts per length: bounded, whatever the number of documents.
 
-1. Dominance reduction after Martello and Toth. For the longest length j left, and the
-   pieces that fit beside it, a small set that provably dominates every alternative is
+1. Dominance reduction after Martello and Toth. For each length j left, longest first, and
+   the pieces that fit beside it, a small set that provably dominates every alternative is
    fixed for good: j alone if nothing fits; j with the largest partner if that fills the
    sequence, if no two pieces fit together, or if two fit, three never do and no two sum
    to more; j with two partners if these dominate every other choice. What is fixed
-   leaves the instance, and the test is repeated.
+   leaves the instance; lengths without such a set are passed over, and the test is
+   repeated on all that is left until it fixes nothing.
 2. Best fit decreasing on the rest: each piece goes to the fullest sequence it fits in.
 
 Both work on runs of equal pieces at a time. The plan is a short list of patterns
@@ -83,9 +84,8 @@ class Remaining:
         return best
 
 
-def dominating_set(left: Remaining, capacity: int) -> tuple[int, ...] | None:
-    """Partners of the longest piece that dominate every other choice, or None."""
-    j = left.lengths[-1]
+def dominating_set(left: Remaining, j: int, capacity: int) -> tuple[int, ...] | None:
+    """Partners of a piece of length ``j`` that dominate every other choice, or None."""
     room, but = capacity - j, {j: 1}
     one = left.largest(room, but)
     if one is None:
@@ -118,23 +118,20 @@ def _pair_above(left: Remaining, other: int, room: int, but: Mapping[int, int])
 
 
 def reduce_dominated(left: Remaining, capacity: int) -> list[tuple[Pattern, int]]:
-    """Fix dominating sets while the longest piece has one; they leave ``left``. A set
+    """Fix dominating sets of all lengths until none has one; they leave ``left``. A set
     that dominates goes on doing so while its pieces last, so runs are fixed at once."""
-    fixed = []
-    while left.lengths:
-        j = left.lengths[-1]
-        partners = dominating_set(left, capacity)
-        if partners is None:
-            break
-        need: dict[int, int] = {}
-        for n in (j, *partners):
-            need[n] = need.get(n, 0) + 1
-        times = min(left.counts[n] // c for n, c in need.items())
-        if partners == () and left.lengths[0] == j and left.counts[j] > 1 and 2 * j <= capacity:
-            break
-        for n, c in need.items():
-            left.take(n, c * times)
-        fixed.append((tuple(sorted(need.items(), reverse=True)), times))
+    fixed, before = [], -1
+    while before < len(fixed):
+        before = len(fixed)
+        for j in reversed(list(left.lengths)):
+            while j in left.counts and (partners := dominating_set(left, j, capacity)) is not None:
+                need: dict[int, int] = {}
+                for n in (j, *partners):
+                    need[n] = need.get(n, 0) + 1
+                times = min(left.counts[n] // c for n, c in need.items())
+                for n, c in need.items():
+                    left.take(n, c * times)
+                fixed.append((tuple(sorted(need.items(), reverse=True)), times))
     return fixed
 
 

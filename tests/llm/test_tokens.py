@@ -133,6 +133,16 @@ class TestPacking:
             rest = [n for n, c in left.counts.items() for _ in range(c)]
             assert fixed + (fewest(rest, capacity) if rest else 0) == fewest(items, capacity)
 
+    def test_reduction_passes_over_lengths_without_a_set(self):
+        left = Remaining({11: 1, 10: 5, 3: 1, 2: 1, 1: 1})  # 1, 2 and 3 fit beside 11
+        assert reduce_dominated(left, 20) == [(((10, 2),), 2)] and left.counts == {11: 1, 10: 1, 3: 1, 2: 1, 1: 1}
+        rng = random.Random(11)
+        for _ in range(300):
+            capacity = rng.choice([20, 37, 2048])
+            left = Remaining(Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 60))))
+            reduce_dominated(left, capacity)
+            assert not reduce_dominated(left, capacity)
+
     def test_runs_pack_as_single_pieces_do(self):
         assert sum(t for _, t in best_fit(Remaining({3: 10}), 10)) == 4
         assert plan_packing({}, 10) == []
