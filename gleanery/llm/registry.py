@@ -17,6 +17,7 @@ from gleanery.llm.quality import op8_quality
 from gleanery.llm.simhash import op10_simhash
 from gleanery.llm.token_files import op9_token_files
 from gleanery.llm.toxicity import op5_toxicity
+from gleanery.llm.whitening import op13_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
@@ -29,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {"op1_minhash_dedup": OP1, "op3_embedding_dedup": OP3}
