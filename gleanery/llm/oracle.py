@@ -1,5 +1,5 @@
 """SQL of the queries that SQL can express: plain joins over all pairs that share a shingle
-or a label, fit for small tables."""
+or a label, and over all prefixes, fit for small tables."""
 
 OP1 = r"""
 WITH RECURSIVE worded AS (
@@ -38,3 +38,32 @@ reach(id, other) AS (
 least_of AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least_of ON id = vec_id LEFT JOIN counted ON a = vec_id"""
+
+# crc32 of a decimal number, bit by bit: the fold over its characters starts at all ones.
+OP12 = """
+WITH turned AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce("text", '')) ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+coded AS (
+  SELECT conv_id, own, xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END))) % 9 AS h
+  FROM turned),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own[:a.h], []), a.own[a.h + 1:]) AS turns
+  FROM coded a LEFT JOIN coded b ON b.conv_id = a.conv_id - a.conv_id % 5),
+steps AS (SELECT conv_id, turns[:d] AS path, d, d = len(turns) AS is_end FROM rebuilt, unnest(range(0, len(turns) + 1)) AS u(d)),
+nodes AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM steps GROUP BY path, d),
+kids AS (SELECT path[:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+costed AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(n.path[depth].t)) END AS saved
+  FROM nodes n LEFT JOIN kids k ON k.path = n.path),
+up AS (SELECT path[:a] AS path, saved, n_children FROM costed, unnest(range(0, depth + 1)) AS u(a)),
+totals AS (SELECT path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM up GROUP BY path)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM costed c JOIN totals t ON t.path = c.path LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.path = c.path[:c.depth - 1]"""
