@@ -67,3 +67,46 @@ totals AS (SELECT path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_chi
 SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
   n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
 FROM costed c JOIN totals t ON t.path = c.path LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.path = c.path[:c.depth - 1]"""
+
+OP11 = r"""
+WITH doc AS (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce("text", '') AS t FROM documents),
+cut AS (
+  SELECT k, doc_id, lang, source, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM doc),
+runs AS (SELECT k, i, array_to_string(ws[i:i + 4], ' ') AS r FROM cut, unnest(range(1, len(ws) - 3)) AS u(i)),
+again AS (SELECT k, r FROM runs GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT k, count(DISTINCT i + o) AS n FROM runs JOIN again USING (k, r), unnest(range(0, 5)) AS u(o) GROUP BY k),
+m AS (
+  SELECT k, doc_id, lang, source, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM cut LEFT JOIN covered USING (k)),
+long AS (
+  SELECT k, lang, source, unnest(['word_length', 'symbols', 'repeated_words', 'repeated_lines']) AS feature,
+    unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_repeat_words // n_words, 1000 * n_dup_lines // n_lines]) AS v
+  FROM m WHERE n_words > 0),
+binned AS (SELECT *, greatest(length(bin(v)) - 6, 0) AS a, a * 32 + (v >> a) AS b FROM long),
+pooled AS (
+  SELECT 0 AS level, lang, source, feature, b FROM binned UNION ALL
+  SELECT 1, lang, NULL, feature, b FROM binned UNION ALL SELECT 2, NULL, NULL, feature, b FROM binned),
+quart AS (
+  SELECT level, lang, source, feature, count(*) AS n,
+    list_sort(list(b))[(count(*) + 3) // 4] AS b1, list_sort(list(b))[(3 * count(*) + 3) // 4] AS b3
+  FROM pooled GROUP BY ALL),
+read AS (
+  SELECT level, lang, source, feature, n, (b1 - greatest(b1 // 32 - 1, 0) * 32) << greatest(b1 // 32 - 1, 0) AS q1,
+    (b3 - greatest(b3 // 32 - 1, 0) * 32) << greatest(b3 // 32 - 1, 0) AS q3
+  FROM quart),
+fences AS (
+  SELECT o.lang, o.source, o.feature, CASE WHEN o.n >= 100 THEN o.q1 WHEN l.n >= 100 THEN l.q1 ELSE g.q1 END AS low,
+    CASE WHEN o.n >= 100 THEN o.q3 WHEN l.n >= 100 THEN l.q3 ELSE g.q3 END AS high,
+    3 * greatest(high - low, CASE o.feature WHEN 'word_length' THEN 80 WHEN 'symbols' THEN 50 WHEN 'repeated_words' THEN 60 ELSE 120 END) AS reach
+  FROM read o JOIN read l ON l.level = 1 AND l.feature = o.feature AND l.lang IS NOT DISTINCT FROM o.lang
+    JOIN read g ON g.level = 2 AND g.feature = o.feature WHERE o.level = 0),
+passed AS (
+  SELECT k, bool_and(v <= high + reach AND (x.feature <> 'word_length' OR v >= low - reach)) AS ok
+  FROM long x JOIN fences f ON f.feature = x.feature AND f.lang IS NOT DISTINCT FROM x.lang AND f.source IS NOT DISTINCT FROM x.source GROUP BY k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(ok, false) AS kept
+FROM m LEFT JOIN passed USING (k)"""

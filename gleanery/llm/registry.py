@@ -11,10 +11,11 @@ from gleanery.llm.embedding_dedup import op3_embedding_dedup
 from gleanery.llm.language_id import op6_language_id
 from gleanery.llm.licenses import op7_license_scan
 from gleanery.llm.minhash import op1_minhash_dedup
-from gleanery.llm.oracle import OP1, OP3, OP12
+from gleanery.llm.oracle import OP1, OP3, OP11, OP12
 from gleanery.llm.packing import op2_best_fit_packing
 from gleanery.llm.prefix_trie import op12_prefix_trie
 from gleanery.llm.quality import op8_quality
+from gleanery.llm.quality_rules import op11_quality_rules
 from gleanery.llm.simhash import op10_simhash
 from gleanery.llm.token_files import op9_token_files
 from gleanery.llm.toxicity import op5_toxicity
@@ -31,7 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op11_quality_rules": op11_quality_rules,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_whitening": op13_whitening,
 }
-ORACLE: dict[str, str] = {"op1_minhash_dedup": OP1, "op3_embedding_dedup": OP3, "op12_prefix_trie": OP12}
+ORACLE: dict[str, str] = {"op1_minhash_dedup": OP1, "op3_embedding_dedup": OP3, "op11_quality_rules": OP11, "op12_prefix_trie": OP12}
