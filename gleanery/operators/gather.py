@@ -1,7 +1,7 @@
 """Row gather: from chosen positions to source rows, in output order.
 
 Output order is data. It is cut into contiguous runs ("shards") of equal length, and
-every source row is sent once to each shard that needs it, with the list of its
+every source row is sent once to each shard that needs it, and meets the list of its
 places there; repeats are expanded after the exchange, inside the shard's task. So a
 row drawn a billion times crosses the network once per shard, and every task ends up
 with the same number of rows.
@@ -21,9 +21,12 @@ from gleanery.runtime import BROADCAST_BYTES, BUCKET_ROWS
 SLOT_BYTES = 128
 RANGE_BYTES = 96
 BITMAP_ROWS = 32_768  # bits in one of Spark's bitmaps
+PLACE_BYTES = 3  # of a position's place in its block's list of shards
 SALTS = 64
 # Names that the gather adds on the way; a dataset cannot have them.
-RESERVED = {"source_pos", "out_pos", "_score", "_shard", "_places", "_salt", "_block", "_low", "_high", "_bits"}
+RESERVED = {
+    "source_pos", "out_pos", "_score", "_shard", "_places", "_salt", "_block", "_low", "_high", "_bits", "_list", "_starts", "_shards",
+}
 
 
 def gather_rows(source: DataFrame, selection: DataFrame) -> DataFrame:
@@ -161,16 +164,56 @@ def _near(source: DataFrame, positions: DataFrame, blocks: int, budget: int, *by
     )
 
 
+def shard_directory(slots: DataFrame, width: int) -> DataFrame:
+    """``(_block, _starts, _shards)``: the shards of all selected positions of a block,
+    ``width`` bytes each, in order of position, and where each position's list starts
+    (it ends where the next one's does). Both are binary strings, so a lookup is a
+    substring, and a position outside the selection has an empty list."""
+    at = F.expr(f"cast(source_pos % {BITMAP_ROWS} as int)").alias("at")
+    placed = slots.select(F.expr(f"source_pos div {BITMAP_ROWS}").alias("_block"), F.struct(at, "_shard").alias("_list"))
+    listed = placed.repartition("_block").groupBy("_block").agg(F.sort_array(F.collect_list("_list")).alias("_list"))
+
+    def digits(number: Column, size: int) -> Column:
+        return F.lpad(F.hex(number), 2 * size, "0")
+
+    # entry j opens the list of its position and of the empty ones before it
+    before = lambda j: F.coalesce(F.get("_list", j - 1)["at"], F.lit(-1))
+    opened = F.transform("_list", lambda x, j: F.repeat(digits(j, PLACE_BYTES), x["at"] - before(j)))
+    entries = F.size("_list")
+    rest = F.repeat(digits(entries, PLACE_BYTES), F.lit(BITMAP_ROWS) - F.get("_list", entries - 1)["at"])
+    return listed.select(
+        "_block", F.unhex(F.concat(F.array_join(opened, ""), rest)).alias("_starts"),
+        F.unhex(F.array_join(F.transform("_list", lambda x: digits(x["_shard"], width)), "")).alias("_shards"),
+    )
+
+
+def _dealt(source: DataFrame, slots: DataFrame, blocks: int, shards: int, rows: int, budget: int) -> DataFrame | None:
+    """Selected source rows, once for each shard that needs them, with ``_shard``; None if
+    the directory of ``rows`` places over ``blocks`` blocks of positions might not fit."""
+    width = max(1, -(-(shards - 1).bit_length() // 8))
+    size = blocks * (PLACE_BYTES * (BITMAP_ROWS + 1) + RANGE_BYTES) + rows * width
+    if size > budget or min(rows, BITMAP_ROWS * shards) >= 1 << (8 * PLACE_BYTES):
+        return None
+
+    def read(octets: str, place: Column, size: int) -> Column:
+        return F.conv(F.hex(F.substring(F.col(octets), place * size + 1, F.lit(size))), 16, 10).cast("int")
+
+    at = F.expr(f"cast(source_pos % {BITMAP_ROWS} as int)")
+    met = source.withColumn("_block", _bitmap_block()).join(F.broadcast(shard_directory(slots, width)), "_block")
+    first, after = read("_starts", at, PLACE_BYTES), read("_starts", at + 1, PLACE_BYTES)
+    own = F.transform(F.sequence(first, after - 1), lambda place: read("_shards", place, width))
+    return met.where(after > first).select(*source.columns, F.explode(own).alias("_shard"))
+
+
 def _co_shuffled(sent: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
-    """Join in source order with a single payload exchange. A shard then covers a
-    range of source positions, so the payload (which knows its shard from that range)
-    goes straight to its shard and meets the selection there; the sort-merge join
-    leaves each shard in order."""
+    """Join with a single payload exchange: the payload knows its shard (in source order
+    from the range of positions that a shard covers, in draw order from the directory),
+    goes straight there and meets the selection. The sort-merge join leaves each shard in
+    source order."""
     here = F.col("_shard")
-    met = sent.repartitionById(shards, here).join(
+    return sent.repartitionById(shards, here).join(
         slots.repartitionById(shards, here).hint("merge"), ["_shard", "source_pos"]
     )
-    return met.sortWithinPartitions("_shard", "source_pos")
 
 
 def gather_ordered(
@@ -182,10 +225,11 @@ def gather_ordered(
     ``out_pos``. Partition i holds output rows ``i * per_shard`` onwards, sorted.
 
     A small selection is broadcast, so that only selected rows are shuffled, once.
-    With a large one the payload is first reduced by a broadcast bitmap of the
-    selected positions (if ``source_rows`` is known and the bitmap fits), then meets
-    the selection by shuffle: once in source order; in draw order once by position
-    and once by shard.
+    With a large one the payload is reduced to the selected rows before the shuffle, by a
+    broadcast (if ``source_rows`` is known and it fits ``bitmap_bytes``) that also says to
+    which shards a row goes: a bitmap in source order, a directory of shards in draw order.
+    The payload is then shuffled once. In draw order beyond that size it is reduced by the
+    bitmap alone, if that fits, and shuffled once by position and once by shard.
     """
     by_draw = order == "draw" and selection.has_draw_order
     if by_draw:
@@ -209,8 +253,13 @@ def gather_ordered(
             # Every block meets one shard more than it has shard borders.
             sent = _near(source, slots, blocks + shards, bitmap_bytes, "_shard")
             if sent is not None:
-                met = _co_shuffled(sent, slots, shards)
+                met = _co_shuffled(sent, slots, shards).sortWithinPartitions("_shard", "source_pos")
                 return met.select(*source.columns, "_score", out_pos), shards, rows
+        if by_draw and shards > 1 and blocks is not None:
+            sent = _dealt(source, slots, blocks, shards, rows, bitmap_bytes)
+            if sent is not None:
+                met = _co_shuffled(sent, slots, shards)
+                return met.select(*source.columns, "_score", out_pos).sortWithinPartitions("out_pos"), shards, rows
         near = None if blocks is None else _near(source, selection.rows, blocks, bitmap_bytes)
         met = _join_salted(source if near is None else near, slots, selection.hot if by_draw else ())
     met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("_shard"))

@@ -1,13 +1,14 @@
 """Positions, global order and the row gather, in every physical strategy."""
 
 import random
+import re
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators.gather import _near, check_positions, gather_ordered, gather_rows, order_source, source_order
+from gleanery.operators.gather import _dealt, _near, check_positions, gather_ordered, gather_rows, order_source, source_order
 from gleanery.operators.ranking import bucket_counts, global_position, n_smallest, position_by_bucket
 from gleanery.operators.selection import Selection
 from gleanery.sources import read_dataset, with_source_pos
@@ -121,8 +122,8 @@ class TestGather:
     # A third of all rows are copies of one source row.
     REPEATED = [random.Random(5).randrange(200) for _ in range(200)] + [17] * 100
 
-    # Selection broadcast; bitmap; position ranges (two sizes of budget); plain shuffle.
-    PLANS = [(1 << 20, 0), (0, 10 << 20), (0, 40_000), (0, 0)]
+    # Selection broadcast; directory of shards; bitmap; position ranges; plain shuffle.
+    PLANS = [(1 << 20, 0), (0, 10 << 20), (0, 40_000), (0, 1000), (0, 0)]
 
     @pytest.mark.parametrize("budgets", PLANS)
     @pytest.mark.parametrize("per_shard", [1, 7, 50, 1000])
@@ -153,6 +154,45 @@ class TestGather:
         joined = plan[: plan.index("SortMergeJoin")]
         assert "Sort [" not in joined and "Exchange" not in joined  # ordered as joined
 
+    @staticmethod
+    def payload_exchanges(frame):
+        """Exchanges that carry the payload's text, from the formatted plan."""
+        text = frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        nodes = re.findall(r"\(\d+\) (\w*Exchange)\n(?:Input|Output) \[\d+\]: \[([^\]]*)\]", text)
+        return [kind for kind, columns in nodes if "text#" in columns]
+
+    @pytest.mark.parametrize("may_repeat", [True, False])
+    def test_large_draw_order_shuffles_the_payload_once(self, spark, source, may_repeat):
+        positions = [3, 150, 3, 17, 80] * 8 if may_repeat else list(range(0, 200, 3))
+        plain = source.sparkSession.range(200).select(F.col("id").alias("source_pos"), F.hex("id").alias("text"))
+        chosen = self.selection(spark, positions, may_repeat=may_repeat)
+        once, _, _ = gather_ordered(plain, chosen, 9, "draw", 200, 0, 1 << 20)
+        twice, _, _ = gather_ordered(plain, chosen, 9, "draw", 200, 0, 0)
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # nothing here is large
+        try:
+            assert self.payload_exchanges(once) == ["Exchange"] and self.payload_exchanges(twice) == ["Exchange"] * 2
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert self.read(once) == self.read(twice)
+
+    def test_directory_deals_rows_to_their_shards(self, spark):
+        """Lists on the borders of blocks, empty ones between, more shards than a byte holds."""
+        places = [(0, 0), (0, 299), (7, 5), (32_767, 1), (32_767, 2), (32_767, 256), (32_768, 0), (65_535, 299), (99_999, 13)]
+        slots = spark.createDataFrame(places, "source_pos bigint, _shard int").repartition(3)
+        source = spark.range(100_000).select(F.col("id").alias("source_pos"), F.hex("id").alias("text"))
+        for shards in (300, 70_000):
+            dealt = _dealt(source, slots, 4, shards, 100, 1 << 20)
+            assert sorted((r["source_pos"], r["_shard"]) for r in dealt.collect()) == places
+            assert dealt.columns == ["source_pos", "text", "_shard"]
+
+    def test_directory_only_within_its_budget(self, spark, source):
+        slots = spark.createDataFrame([(1, 0)], "source_pos bigint, _shard int")
+        assert _dealt(source, slots, 1, 10, 100, 98_307 + 96 + 100) is not None
+        assert _dealt(source, slots, 1, 10, 100, 98_307 + 96 + 99) is None
+        assert _dealt(source, slots, 1, 300, 100, 98_307 + 96 + 199) is None  # two bytes a shard
+        assert _dealt(source, slots, 1, 1 << 10, 1 << 25, 1 << 40) is None  # a block's list could be too long
+
     @pytest.mark.parametrize("order", ["draw", "source"])
     def test_bitmap_drops_other_rows_before_the_shuffle(self, spark, order):
         """Positions over several bitmaps, on and off byte and block borders."""
