@@ -5,10 +5,11 @@ from gleanery.labels import (
     SCORE_MAPS, label_dimension,
 )
 from gleanery.plans.curate import Curated, curate
+from gleanery.plans.positions import gather_positions
 from gleanery.rules import DEFAULT_SCORING_CONFIG, ColumnScoring, ScoringConfig
 
 __all__ = [
     "ALL_PROPERTIES", "CATEGORICAL_LABELS", "ColumnScoring", "Curated", "DEFAULT_SCORING_CONFIG",
     "FREE_TEXT_LABELS", "NORM_SCORE_MAPS", "ORDINAL_LABELS", "SCORE_MAPS", "ScoringConfig",
-    "curate", "label_dimension",
+    "curate", "gather_positions", "label_dimension",
 ]

@@ -216,6 +216,39 @@ def _co_shuffled(sent: DataFrame, slots: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def _slots(selection: Selection, per_shard: int, order: str) -> tuple[DataFrame, int, bool]:
+    """``(slots, rows, whether they are in draw order)``."""
+    if order == "draw" and selection.has_draw_order:
+        rows = selection.rows.count() if selection.size is None else selection.size
+        return _draw_slots(selection.rows, per_shard, selection.may_repeat), rows, True
+    placed, rows = source_order(selection.rows, selection.may_repeat)
+    return _source_slots(placed, per_shard, selection.may_repeat), rows, False
+
+
+def _out_pos(may_repeat: bool, by_draw: bool) -> Column:
+    places = F.col("_places")
+    if may_repeat:
+        places = F.explode(places if by_draw else F.sequence(places["first"], places["last"]))
+    return places.alias("out_pos")
+
+
+def gather_by_key(
+    table: DataFrame, places: DataFrame, keys: Sequence[str], selection: Selection, per_shard: int, order: str = "draw",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> tuple[DataFrame, int, int]:
+    """As :func:`gather_ordered`, for a ``table`` whose rows are found by unique ``keys``;
+    ``places`` has their ``source_pos``. The keys travel with the slim selection, so the
+    payload needs no position: a small selection is broadcast to it, else it is shuffled
+    once by key and, only what is selected, once to its shard."""
+    slots, rows, by_draw = _slots(selection, per_shard, order)
+    shards = max(1, -(-rows // per_shard))
+    routed = slots.join(places.select("source_pos", *keys), "source_pos")
+    met = table.join(F.broadcast(routed) if rows * SLOT_BYTES <= broadcast_bytes else routed, list(keys))
+    met = met.repartition(1) if shards == 1 else met.repartitionById(shards, F.col("_shard"))
+    columns = [*table.columns, "source_pos", "_score", _out_pos(selection.may_repeat, by_draw)]
+    return met.select(*columns).sortWithinPartitions("out_pos"), shards, rows
+
+
 def gather_ordered(
     source: DataFrame, selection: Selection, per_shard: int, order: str = "draw",
     source_rows: int | None = None, broadcast_bytes: int = BROADCAST_BYTES,
@@ -231,19 +264,9 @@ def gather_ordered(
     The payload is then shuffled once. In draw order beyond that size it is reduced by the
     bitmap alone, if that fits, and shuffled once by position and once by shard.
     """
-    by_draw = order == "draw" and selection.has_draw_order
-    if by_draw:
-        rows = selection.rows.count() if selection.size is None else selection.size
-        slots = _draw_slots(selection.rows, per_shard, selection.may_repeat)
-    else:
-        placed, rows = source_order(selection.rows, selection.may_repeat)
-        slots = _source_slots(placed, per_shard, selection.may_repeat)
+    slots, rows, by_draw = _slots(selection, per_shard, order)
     shards = max(1, -(-rows // per_shard))
-    places = F.col("_places")
-    if selection.may_repeat:
-        listed = places if by_draw else F.sequence(places["first"], places["last"])
-        places = F.explode(listed)
-    out_pos = places.alias("out_pos")
+    out_pos = _out_pos(selection.may_repeat, by_draw)
 
     if rows * SLOT_BYTES <= broadcast_bytes:
         met = source.join(F.broadcast(slots), "source_pos")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,24 +16,40 @@ HOT_SHARE = 0.002
 _HOT_SAMPLE_ROWS = 1_000_000
 
 
+def raw_scores(
+    annotations: DataFrame, config: ScoringConfig, id_col: str = "id", order_col: str | None = None
+) -> DataFrame:
+    """``(id, score[, order])`` per annotation row, before normalisation."""
+    order = [F.col(order_col)] if order_col else []
+    ready, score = composite_score(annotations, config)
+    return ready.select(F.col(id_col).alias("id"), score.alias("score"), *order)
+
+
+def rescaled(lo: Column, hi: Column) -> Column:
+    """Min-max normalisation of ``score``. Constant scores stay raw: a zero span makes
+    the quotient NULL."""
+    return F.coalesce((F.col("score") - lo) / F.nullif(hi - lo, F.lit(0.0)), F.col("score"))
+
+
 def compute_scores(
     annotations: DataFrame, config: ScoringConfig, id_col: str = "id", order_col: str | None = None
 ) -> DataFrame:
     """``(id, score[, order])`` per annotation row. Min-max normalisation uses the
     bounds over all rows through a scalar subquery: lazy, and no join."""
-    order = [F.col(order_col)] if order_col else []
-    raw = annotations.select(
-        F.col(id_col).alias("id"), composite_score(annotations.schema, config).alias("score"), *order
-    )
+    raw = raw_scores(annotations, config, id_col, order_col)
     if not config.normalize:
         return raw
     bounds = raw.agg(
         F.struct(F.min("score").alias("lo"), F.max("score").alias("hi")).alias("bounds")
     ).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    # Constant scores stay raw: a zero span makes the quotient NULL.
-    rescaled = (F.col("score") - lo) / F.nullif(hi - lo, F.lit(0.0))
-    return raw.withColumn("score", F.coalesce(rescaled, F.col("score")))
+    return raw.withColumn("score", rescaled(bounds.getField("lo"), bounds.getField("hi")))
+
+
+def with_bounds(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """``raw`` scores, whose extremes the first action over them reports on the way: no
+    second scan. A task that runs twice reports the same, which extremes do not mind."""
+    seen = Observation()
+    return raw.observe(seen, F.min("score").alias("lo"), F.max("score").alias("hi")), seen
 
 
 def latest_scores(scores: DataFrame, order_col: str | None = None) -> DataFrame:

@@ -9,7 +9,9 @@ and the result does not depend on partitioning.
 
 from __future__ import annotations
 
+import functools
 import itertools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -73,6 +75,36 @@ def global_position(df: DataFrame, order_by: Sequence[Column], name: str = "pos"
     )
 
 
+def unique_position(df: DataFrame, keys: Sequence[str], name: str = "pos") -> tuple[DataFrame, int]:
+    """0-based position in the order of ``keys``, and the number of rows. Keys must be
+    unique and not NULL: equal ones lie in one range and meet there, so the sort that
+    places the rows shows them too."""
+    rows = df.count()
+    parts = max(1, -(-rows // BUCKET_ROWS))
+    order = [F.col(key) for key in keys]
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    missing = functools.reduce(operator.or_, [key.isNull() for key in order])
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = checkpointed(
+        ordered.withColumn("_fault", F.when(missing, 1).when(copies > 1, 2).otherwise(0).cast("tinyint"))
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+    part = F.shiftright("_place", 33)
+    found = placed.groupBy(part.alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("_fault") == 1).alias("missing"), F.max(F.col("_fault") == 2).alias("repeated")).collect()
+    if any(row["missing"] for row in found):
+        raise ValueError(f"row_key {list(keys)} has NULLs")
+    if any(row["repeated"] for row in found):
+        raise ValueError(f"row_key {list(keys)} is not unique")
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((row["part"], row["rows"]) for row in found)
+    starts = starts_frame(df.sparkSession, counts, "_part")
+    positioned = placed.withColumn("_part", part).join(starts, "_part").withColumn(name, F.col("_start") + within)
+    positioned = positioned.drop("_place", "_part", "_start", "_fault")
+    positioned._checkpoint_path = placed._checkpoint_path  # released with it
+    return positioned, rows
+
+
 def n_smallest(
     df: DataFrame, n: int, order_by: Sequence[Column], bucket: Column,
     counts: Sequence[tuple[int, int]],

@@ -8,9 +8,10 @@ number of rows) travel to the final aggregate.
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.operators.quantiles import exact_percentiles
@@ -22,6 +23,8 @@ LOWEST_MATCH_RATE = 0.2
 USUAL_MATCH_RATE = 0.9
 PERCENTS = (10, 25, 50, 75, 90)
 DISTRIBUTION = ("mean", "median", "std", "min", "max", *(f"p{p}" for p in PERCENTS))
+# Up to so many different scores, a task's statistics may hold all of them.
+OBSERVED_DISTINCT = 1 << 16
 # The final ``percentile`` holds each distinct score once, in one task. Rule sets
 # that could give more distinct scores take the multi-pass way instead.
 ONE_TASK_DISTINCT = 2_000_000
@@ -33,6 +36,21 @@ def weight_column(score: Column | str = "score") -> Column:
     return F.when((score > 0) & ~F.isnan(score), score).otherwise(F.lit(0.0))
 
 
+def distribution_metrics(score: str = "score") -> list[Column]:
+    """The DISTRIBUTION as plain aggregates, which keep every different score of a task:
+    for frames whose number of different scores is known to be small."""
+    at = F.percentile(score, F.array(*[F.lit(p / 100) for p in PERCENTS]))
+    return [F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("min"), F.max(score).alias("max"), at.alias("at")]
+
+
+def distribution_frame(spark: SparkSession, metrics: Mapping) -> DataFrame:
+    """The one row of :func:`score_distribution` from known ``distribution_metrics``."""
+    at = metrics["at"] or [None] * len(PERCENTS)
+    row = {**{name: metrics[name] for name in ("mean", "std", "min", "max")}, **{f"p{p}": v for p, v in zip(PERCENTS, at)}}
+    row["median"] = row["p50"]
+    return spark.createDataFrame([tuple(row[name] for name in DISTRIBUTION)], ", ".join(f"{name} double" for name in DISTRIBUTION))
+
+
 def score_histogram(scored: DataFrame) -> DataFrame:
     return scored.groupBy("score").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -109,22 +127,28 @@ class Profile:
     eligible: int
     weight_sum: float
     weight_max: float
+    distribution: Mapping | None = None
 
     @property
     def match_rate(self) -> float:
         return self.matched / self.rows if self.rows else 0.0
 
 
-def profile(scored: DataFrame) -> Profile:
-    """The totals, in one action that brings one row to the driver."""
+def profile(scored: DataFrame, distinct_bound: int | None = None) -> Profile:
+    """The totals, in one action that brings one row to the driver; with them the score
+    distribution, if there are few different scores."""
     weight = weight_column()
-    return Profile(*scored.agg(
-        F.count(F.lit(1)),
-        F.count_if("matched"),
-        F.count_if(weight > 0),
-        F.coalesce(F.sum(weight), F.lit(0.0)),
-        F.coalesce(F.max(weight), F.lit(0.0)),
-    ).first())
+    few = distinct_bound is not None and distinct_bound <= OBSERVED_DISTINCT
+    row = scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("matched").alias("matched"),
+        F.count_if(weight > 0).alias("eligible"),
+        F.coalesce(F.sum(weight), F.lit(0.0)).alias("weight_sum"),
+        F.coalesce(F.max(weight), F.lit(0.0)).alias("weight_max"),
+        *(distribution_metrics() if few else []),
+    ).first().asDict()
+    totals = [row.pop(name) for name in ("rows", "matched", "eligible", "weight_sum", "weight_max")]
+    return Profile(*totals, row if few else None)
 
 
 def check_match_rate(found: Profile, missing_score: float, force: bool = False) -> None:

@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import functools
-import operator
+import contextlib
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.gather import RESERVED, gather_ordered
-from gleanery.operators.lookup import attach_scores, compute_scores, hot_ids, latest_scores
-from gleanery.operators.ranking import global_position
+from gleanery.operators.gather import RESERVED, gather_by_key, gather_ordered
+from gleanery.operators.lookup import attach_scores, hot_ids, latest_scores, raw_scores, rescaled, with_bounds
+from gleanery.operators.ranking import unique_position
 from gleanery.operators.selection import Selection, check_arguments, select_rows
 from gleanery.operators.stats import (
-    Profile, check_match_rate, profile, score_distribution, selection_summary,
+    OBSERVED_DISTINCT, Profile, check_match_rate, distribution_frame, distribution_metrics, profile, score_distribution,
+    selection_summary,
 )
 from gleanery.rules import DEFAULT_SCORING_CONFIG, ScoringConfig
 from gleanery.runtime import BUCKET_ROWS, ensure_checkpoint_dir, held, release
 from gleanery.sources.annotations import prune_annotations, scan_annotations
 from gleanery.sources.dataset import read_dataset
 from gleanery.sources.positions import (
-    attach_positions, file_offsets, files_of, only_files, unfiltered,
+    attach_positions, file_offsets, files_of, only_files, unfiltered, with_source_pos,
 )
 
 # Smaller tables are not searched for hot ids: a task can hold all of one id.
@@ -36,7 +37,8 @@ class Curated:
 
     ``table`` is the dataset itself and ``offsets`` its files with their first positions,
     where it is read from files. ``selection.rows`` has ``source_pos`` (position in the source table), ``score`` and
-    in the sampling modes ``draw_pos``. ``source`` is the dataset plus ``source_pos``.
+    in the sampling modes ``draw_pos``. ``source`` is the dataset plus ``source_pos``, or
+    with a row key the table of keys and positions, in which case ``keys`` names them.
     """
 
     source: DataFrame
@@ -47,6 +49,7 @@ class Curated:
     distinct_scores: int
     table: DataFrame
     offsets: list[tuple[str, int, int]] | None
+    keys: list[str] | None = None
     _held: list = field(default_factory=list)
 
     @property
@@ -54,6 +57,8 @@ class Curated:
         return max(1, len(self.offsets or ()))
 
     def _gather(self, per_shard: int, order: str) -> tuple[DataFrame, int, int]:
+        if self.keys:
+            return gather_by_key(self.table, self.source, self.keys, self.selection, per_shard, order)
         rows = None if self.offsets is None else sum(count for _, _, count in self.offsets)
         return gather_ordered(self._payload(), self.selection, per_shard, order, rows)
 
@@ -79,13 +84,27 @@ class Curated:
 
     def shards(self, per_shard: int, order: str = "draw") -> tuple[DataFrame, int, int]:
         """``(rows, shards, count)``: partition i is shard i."""
+        return self._shards(per_shard, order, None)
+
+    def observed_shards(self, per_shard: int, order: str = "draw") -> tuple[DataFrame, int, int, Observation | None]:
+        """As :meth:`shards`, with the score distribution that writing the rows reports on
+        the way; None if there may be too many different scores, or no rows."""
+        seen = Observation() if self.distinct_scores <= OBSERVED_DISTINCT else None
+        rows, shards, count = self._shards(per_shard, order, seen)
+        return rows, shards, count, seen if count else None
+
+    def _shards(self, per_shard: int, order: str, seen: Observation | None) -> tuple[DataFrame, int, int]:
         rows, shards, count = self._gather(per_shard, order)
         if count == 0:
-            return self.source.select(*self.columns).limit(0).repartition(1), 1, 0
+            return self.table.select(*self.columns).limit(0).repartition(1), 1, 0
+        if seen is not None:  # after the last exchange, where every task counts once
+            rows = rows.observe(seen, *distribution_metrics("_score"))
         return rows.select(*self.columns), shards, count
 
     def before(self) -> DataFrame:
         """Score distribution of the dataset (one row)."""
+        if self.totals.distribution is not None:
+            return distribution_frame(self.scored.sparkSession, self.totals.distribution)
         return score_distribution(self.scored, self.distinct_scores)
 
     def after(self) -> DataFrame:
@@ -106,9 +125,9 @@ class Curated:
         self.close()
 
 
-def check_dense(places: DataFrame, name: str) -> None:
-    """Positions must be 0, 1, 2, ... without gap, repeat or NULL. Distinct positions are
-    counted with map-side combine; one row comes to the driver."""
+def check_dense(places: DataFrame, name: str) -> int:
+    """Positions must be 0, 1, 2, ... without gap, repeat or NULL; returns their number.
+    Distinct positions are counted with map-side combine; one row comes to the driver."""
     found = places.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct(name).alias("distinct"),
         F.min(name).alias("low"), F.max(name).alias("high"),
@@ -118,28 +137,46 @@ def check_dense(places: DataFrame, name: str) -> None:
             f"Positions must be unique and dense from 0: {found['rows']} rows, {found['distinct']} distinct positions "
             f"from {found['low']} to {found['high']}"
         )
+    return found["rows"]
 
 
-def _check_key(places: DataFrame, keys: list[str]) -> None:
-    missing = functools.reduce(operator.or_, [F.col(key).isNull() for key in keys])
-    if places.where(missing).head(1):
-        raise ValueError(f"row_key {keys} has NULLs")
-    if places.groupBy(*keys).count().where("count > 1").head(1):
-        raise ValueError(f"row_key {keys} is not unique")
+@dataclass
+class _Placed:
+    """A dataset's positions: ``source`` has ``source_pos`` beside the dataset's columns,
+    or beside ``keys`` and the id; ``rows`` is its number of rows at most."""
 
+    source: DataFrame
+    ids: DataFrame
+    rows: int
+    offsets: list[tuple[str, int, int]] | None = None
+    keys: list[str] | None = None
 
-def _positioned(table: DataFrame, filtered: bool, row_key, position_col):
-    """Dataset with ``source_pos``, and the offsets of its files if it has files."""
+
+def _positioned(table: DataFrame, is_frame: bool, id_col: str, row_key, position_col) -> _Placed:
+    identity = F.col(id_col).alias("id")
     if position_col:
-        check_dense(table, position_col)
-        return table.withColumn("source_pos", F.col(position_col).cast("bigint")), None
+        rows = check_dense(table, position_col)
+        source = table.withColumn("source_pos", F.col(position_col).cast("bigint"))
+        return _Placed(source, source.select("source_pos", identity), rows)
     if row_key:
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
-        places = global_position(table.select(*keys), [F.col(key) for key in keys], "source_pos")
-        _check_key(places, keys)
-        return table.join(places, keys).select(*table.columns, "source_pos"), None
-    offsets = file_offsets(unfiltered(table) if filtered else table)
-    return attach_positions(table, offsets, "source_pos"), offsets
+        slim = table.select(*keys, F.col(id_col).alias("_id"))
+        places, rows = unique_position(slim, keys, "source_pos")
+        return _Placed(places, places.select("source_pos", F.col("_id").alias("id")), rows, keys=keys)
+    offsets = file_offsets(unfiltered(table) if is_frame else table)
+    source = attach_positions(table, offsets, "source_pos")
+    return _Placed(source, source.select("source_pos", identity), sum(count for _, _, count in offsets), offsets)
+
+
+def _ordered_annotations(annotations: DataFrame, id_col: str) -> tuple[DataFrame, str | None]:
+    """Annotations with the column that says which of several rows is the last: their place
+    in the files they come from. A frame from elsewhere has no order; then ids must not repeat."""
+    with contextlib.suppress(AnalysisException):  # raised where rows are not rows of files as they are
+        annotations.select("_metadata.row_index")
+        return with_source_pos(annotations, "annotation_pos"), "annotation_pos"
+    if annotations.groupBy(id_col).count().where((F.col("count") > 1) & F.col(id_col).isNotNull()).head(1):
+        raise ValueError("Several annotations share an id: name the column that orders them in annotation_order")
+    return annotations, None
 
 
 def curate(
@@ -165,9 +202,10 @@ def curate(
     ``dataset`` is a folder of parquet files or a parquet-backed frame, which may be
     filtered already; positions then still refer to the full table. Any other frame
     needs a unique ``row_key`` without NULLs to order it by, or a ``position_col`` with
-    unique, dense bigints from 0; both are checked. For an annotation frame
-    ``annotation_order`` says which of several rows with one id is the last, and repeated
-    ids without it are an error; for a path it is the row order of the files.
+    unique, dense bigints from 0; both are checked. Of several annotations with one id
+    the last counts: by ``annotation_order``, else by the row order of the files that a
+    path or a parquet-backed frame stands for. Repeated ids in any other frame without
+    ``annotation_order`` are an error.
     """
     check_arguments(mode, n_samples, max_duplications)
     spark = spark or (
@@ -175,30 +213,35 @@ def curate(
     )
     ensure_checkpoint_dir(spark)  # large frames need it; say so before any work
     if isinstance(annotations, DataFrame):
-        labels, order_col = prune_annotations(annotations, config, annotation_id_col, annotation_order), annotation_order
-        if order_col is None and annotations.groupBy(annotation_id_col).count().where(
-            (F.col("count") > 1) & F.col(annotation_id_col).isNotNull()
-        ).head(1):
-            raise ValueError("Several annotations share an id: name the column that orders them in annotation_order")
+        order_col = annotation_order
+        if order_col is None:
+            annotations, order_col = _ordered_annotations(annotations, annotation_id_col)
+        labels = prune_annotations(annotations, config, annotation_id_col, order_col)
     else:
         labels, order_col = scan_annotations(spark, annotations, config, annotation_id_col), "annotation_pos"
-    scores = latest_scores(compute_scores(labels, config, order_col=order_col), order_col)
+    raw, bounds = with_bounds(raw_scores(labels, config, order_col=order_col))
+    scores = latest_scores(raw, order_col)
 
     is_frame = isinstance(dataset, DataFrame)
     table = dataset if is_frame else read_dataset(spark, dataset)
     taken = RESERVED.intersection(table.columns)
     if taken:
         raise ValueError(f"Rename these dataset columns first: {sorted(taken)}")
-    source, offsets = _positioned(table, is_frame, row_key, position_col)
-    row_bound = None if offsets is None else sum(count for _, _, count in offsets)
-    ids = source.select("source_pos", F.col(id_col).alias("id"))
-    id_rows = ids.count() if is_frame else row_bound  # a frame may be filtered or have no files
-    skewed = hot_ids(ids, id_rows) if id_rows > HOT_CHECK_ROWS else None
-    scored = attach_scores(ids, scores, config.missing_id_score, skewed)
-    scored = held(scored.select("source_pos", "score", "matched"), id_rows)
-    holding = [scored]
+    placed = _positioned(table, is_frame, id_col, row_key, position_col)
+    skewed = None
+    if placed.rows > HOT_CHECK_ROWS:  # a frame may be filtered: count what is there
+        skewed = hot_ids(placed.ids, placed.ids.count() if is_frame else placed.rows)
+    scored = attach_scores(placed.ids, scores, config.missing_id_score, skewed)
+    scored = held(scored.select("source_pos", "score", "matched"), placed.rows)
+    holding = [scored, placed.source] if placed.keys else [scored]
+    distinct = config.score_combinations(labels.columns)
     try:
-        totals = profile(scored)
+        if config.normalize and scored.agg(F.count_if("matched")).first()[0]:
+            # the action above has filled what is held, and with it the bounds of all annotations
+            ends = bounds.get
+            scored = scored.withColumn("score", F.when(
+                F.col("matched"), rescaled(F.lit(ends["lo"]), F.lit(ends["hi"]))).otherwise(F.col("score")))
+        totals = profile(scored, distinct)
         check_match_rate(totals, config.missing_id_score, force)
         selection = select_rows(
             scored, mode, totals, threshold=threshold, n_samples=n_samples, seed=seed,
@@ -212,5 +255,5 @@ def curate(
         release(*holding)
         raise
     return Curated(
-        source, table.columns, scored, selection, totals, config.score_combinations(), table, offsets, holding
+        placed.source, table.columns, scored, selection, totals, distinct, table, placed.offsets, placed.keys, holding
     )

@@ -7,6 +7,9 @@
 from __future__ import annotations
 
 import argparse
+import datetime
+import hashlib
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -14,10 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import Row, SparkSession
 
 from gleanery.operators.selection import MODES
+from gleanery.operators.stats import distribution_frame
 from gleanery.plans.curate import curate
 from gleanery.rules import ScoringConfig
-from gleanery.sinks.card import CurationInfo, provenance, write_card
-from gleanery.sinks.shards import rows_per_shard, write_shards
+from gleanery.sinks.card import CurationInfo, provenance, render_card
+from gleanery.sinks.files import Folder
+from gleanery.sinks.shards import check_free, pending, publish, rows_per_shard, seal, stage_shards
 
 log = logging.getLogger(__name__)
 
@@ -41,12 +46,24 @@ def run(
     max_duplications: int | None = None, seed: int = 42, force: bool = False,
     order: str = "draw", overwrite: bool = False,
 ) -> JobResult:
-    """``order``: "draw" keeps the order of the draws, "source" that of the source."""
+    """``order``: "draw" keeps the order of the draws, "source" that of the source.
+
+    A run that was broken off while it published its shards is finished first, from its
+    journal. If it had the same options and inputs, that is the result: nothing is read or
+    computed again."""
     if order not in WRITER_ORDER.values():
         raise ValueError(f"Unknown order: {order}")
     inside = f"{str(output_dir).rstrip('/')}/"
     if f"{str(dataset_path).rstrip('/')}/".startswith(inside) or inside.startswith(f"{str(dataset_path).rstrip('/')}/"):
         raise ValueError("The output folder must lie apart from the dataset")
+    token = _token(
+        spark, [dataset_path, f"{dataset_path}/data", annotations_path], mode, config, threshold, n_samples, max_duplications, seed, order)
+    journal = pending(spark, output_dir)
+    if journal is not None:
+        publish(spark, output_dir, journal)
+        if journal.get("token") == token:
+            return _result(journal)
+    check_free(spark, output_dir, overwrite)
     curated = curate(
         dataset_path, annotations_path, mode, ScoringConfig.resolve(config), threshold=threshold,
         n_samples=n_samples, seed=seed, force=force, max_duplications=max_duplications, spark=spark,
@@ -54,8 +71,9 @@ def run(
     with curated:
         source_rows = curated.totals.rows
         per_shard = rows_per_shard(source_rows, curated.source_files)
-        rows, shards, selected = curated.shards(per_shard, order)
-        write_shards(rows, shards, output_dir, overwrite)
+        rows, shards, selected, seen = curated.observed_shards(per_shard, order)
+        staged = stage_shards(rows, shards, output_dir)
+        after = curated.after() if seen is None else distribution_frame(spark, seen.get)
         info = CurationInfo(
             name=str(output_dir).rstrip("/").rsplit("/", 1)[-1],
             source_dataset=str(dataset_path), annotations_path=str(annotations_path),
@@ -63,11 +81,26 @@ def run(
             seed=seed, source_rows=source_rows, selected_rows=selected,
             max_duplications=max_duplications, order=order,
         )
-        row = provenance(info, curated.after()).first()
-        write_card(spark, row, output_dir)
-        before = curated.before().first()
+        row = provenance(info, after).first()
+        journal = seal(
+            spark, output_dir, staged, token=token, card=render_card(row, datetime.date.today()), provenance=row.asDict(),
+            before=curated.before().first().asDict(),
+        )
+    publish(spark, output_dir, journal)
     log.info("Wrote %d of %d rows in %d shards to %s", selected, source_rows, shards, output_dir)
-    return JobResult(shards, source_rows, selected, row, before, selected / source_rows if source_rows else None)
+    return _result(journal)
+
+
+def _token(spark: SparkSession, folders: Sequence[str], *options) -> str:
+    """Tells runs apart by their options and the files that their folders hold."""
+    files = [(folder, Folder(spark, folder).sizes("*.parquet"), Folder(spark, folder).sizes("")) for folder in folders]
+    return hashlib.sha256(json.dumps([files, options]).encode()).hexdigest()
+
+
+def _result(journal: dict) -> JobResult:
+    row = Row(**journal["provenance"])
+    ratio = row["selected_rows"] / row["source_rows"] if row["source_rows"] else None
+    return JobResult(len(journal["parts"]), row["source_rows"], row["selected_rows"], row, Row(**journal["before"]), ratio)
 
 
 def parser() -> argparse.ArgumentParser:

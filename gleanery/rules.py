@@ -8,13 +8,15 @@ Rules live on the driver. They are turned into Catalyst expressions by
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
+# Different scores that are listed to bound their number.
+FOLDED = 1 << 18
 AGGREGATIONS = ("weighted_mean", "weighted_sum", "min", "product")
 
 RULES_SCHEMA = (
@@ -126,13 +128,31 @@ class ScoringConfig:
             return DEFAULT_SCORING_CONFIG
         return cls.from_file(spec) if Path(spec).is_file() else cls.from_name(spec)
 
-    def score_combinations(self) -> int:
-        """Upper bound on the number of different scores these rules can give."""
+    def score_combinations(self, present: Collection[str] | None = None) -> int:
+        """Upper bound on the number of different scores these rules can give over the
+        ``present`` columns (all if None). Folded values that are equal count once, as long
+        as there are at most FOLDED of them; further columns multiply."""
+        values: set[float] = set()
         combinations = 1
-        for rule in self.columns.values():
-            combinations *= len(set(rule.category_scores.values()) | {rule.default_score})
+        for name, rule in self.columns.items():
+            if present is not None and name not in present:
+                continue
+            own = {float(s) for s in rule.category_scores.values() if s is not None} | {float(rule.default_score)}
+            if combinations > FOLDED:
+                combinations *= len(own)
+                continue
+            values = self._folded(values or {None}, own, float(rule.weight))
+            combinations = len(values)
         return combinations + 1  # the missing-id score
 
+    def _folded(self, values: set, own: set[float], weight: float) -> set[float]:
+        """All results of one more step of the fold, in its own arithmetic."""
+        if self.aggregation == "min":
+            return {b if a is None else min(a, b) for a in values for b in own}
+        if self.aggregation == "product":
+            return {b if a is None else a * b for a in values for b in own}
+        return {b * weight if a is None else a + b * weight for a in values for b in own}
+
 
 DEFAULT_SCORING_CONFIG = ScoringConfig.from_name("default")
 

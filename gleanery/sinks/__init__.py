@@ -1,4 +1,4 @@
-from gleanery.sinks.card import provenance, write_card
-from gleanery.sinks.shards import rows_per_shard, write_shards
+from gleanery.sinks.card import provenance, render_card
+from gleanery.sinks.shards import pending, publish, rows_per_shard, write_shards
 
-__all__ = ["provenance", "rows_per_shard", "write_card", "write_shards"]
+__all__ = ["pending", "provenance", "publish", "render_card", "rows_per_shard", "write_shards"]

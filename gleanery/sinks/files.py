@@ -32,6 +32,22 @@ class Folder:
     def make(self) -> None:
         self._fs.mkdirs(self._path(self.path))
 
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._path(f"{self.path}/{name}"))
+
+    def sizes(self, pattern: str = "*") -> list[tuple[str, int, int]]:
+        """Name, length and time of change of the files that match a glob."""
+        found = self._fs.globStatus(self._path(f"{self.path}/{pattern}"))
+        return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found or [])
+
+    def read_text(self, name: str) -> str:
+        path = self._path(f"{self.path}/{name}")
+        stream = self._fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+
     def write_text(self, name: str, text: str) -> None:
         stream = self._fs.create(self._path(f"{self.path}/{name}"), True)
         try:

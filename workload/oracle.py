@@ -5,20 +5,20 @@ from __future__ import annotations
 
 from workload.tables import ANNOTATIONS_SQL, SCORED_PROPERTIES
 
-# property: (weight, default, labels with scores best first)
+# Fixed values. property: (weight, default, labels with scores best first)
 RULES = {
-    "content_quality": (3.0, 0.5, "excellent 1 good .75 adequate .4 poor .1 unacceptable 0"),
-    "content_safety": (5.0, 0.5, "safe 1 mild_concerns .5 nsfw 0 harmful 0 illegal 0"),
-    "educational_value": (2.0, 0.5, "high 1 moderate .7 basic .4 minimal .15 none 0"),
-    "reasoning_indicators": (1.5, 0.5, "analytical 1 explanatory .7 basic_reasoning .4 minimal .15 none 0"),
-    "content_integrity": (2.0, 0.5, "complete 1 mostly_complete .7 fragment .2 severely_degraded 0"),
-    "information_density": (1.0, 0.5, "dense 1 adequate .7 moderate .4 thin .15 empty 0"),
-    "commercial_bias": (1.5, 0.5, "none 1 minimal .8 moderate .4 heavy .1 pure_marketing 0"),
+    "content_quality": (3.0, 0.5, {"excellent": 1.0, "good": 0.75, "adequate": 0.4, "poor": 0.1, "unacceptable": 0.0}),
+    "content_safety": (5.0, 0.5, {"safe": 1.0, "mild_concerns": 0.5, "nsfw": 0.0, "harmful": 0.0, "illegal": 0.0}),
+    "educational_value": (2.0, 0.5, {"high": 1.0, "moderate": 0.7, "basic": 0.4, "minimal": 0.15, "none": 0.0}),
+    "reasoning_indicators": (1.5, 0.5, {"analytical": 1.0, "explanatory": 0.7, "basic_reasoning": 0.4, "minimal": 0.15, "none": 0.0}),
+    "content_integrity": (2.0, 0.5, {"complete": 1.0, "mostly_complete": 0.7, "fragment": 0.2, "severely_degraded": 0.0}),
+    "information_density": (1.0, 0.5, {"dense": 1.0, "adequate": 0.7, "moderate": 0.4, "thin": 0.15, "empty": 0.0}),
+    "commercial_bias": (1.5, 0.5, {"none": 1.0, "minimal": 0.8, "moderate": 0.4, "heavy": 0.1, "pure_marketing": 0.0}),
 }
 SOME = {
-    "content_quality": (3.0, 0.5, "excellent 1 good .75 adequate .4 poor .1"),
-    "educational_value": (2.0, 0.5, "high 1 moderate .7 basic .4 minimal .15"),
-    "commercial_bias": (1.5, 0.25, "none 1 minimal .8 moderate .4 heavy .1"),
+    "content_quality": (3.0, 0.5, {"excellent": 1.0, "good": 0.75, "adequate": 0.4, "poor": 0.1}),
+    "educational_value": (2.0, 0.5, {"high": 1.0, "moderate": 0.7, "basic": 0.4, "minimal": 0.15}),
+    "commercial_bias": (1.5, 0.25, {"none": 1.0, "minimal": 0.8, "moderate": 0.4, "heavy": 0.1}),
 }
 
 
@@ -27,11 +27,8 @@ def _number(value) -> str:
 
 
 def _case(prop: str, rule) -> str:
-    _, default, text = rule
-    words = text.split()
-    arms = " ".join(
-        f"WHEN '{label}' THEN {_number(score)}" for label, score in zip(words[::2], words[1::2])
-    )
+    _, default, scores = rule
+    arms = " ".join(f"WHEN '{label}' THEN {_number(score)}" for label, score in scores.items())
     return f"CASE {prop} {arms} ELSE {_number(default)} END"
 
 
@@ -112,19 +109,17 @@ _USE = " UNION ALL ".join(
 )
 _RULE_ROWS = ", ".join(
     f"('{prop}', '{label}', {_number(score)}, {_number(weight)}, {_number(default)})"
-    for prop, (weight, default, text) in RULES.items()
-    for label, score in zip(text.split()[::2], text.split()[1::2])
+    for prop, (weight, default, scores) in RULES.items() for label, score in scores.items()
 )
 _LABELS = ", ".join(
     f"('{prop}', '{label}', {rank}, {_number(size - rank + 1)}, {_number((size - rank) / (size - 1))})"
-    for prop, (_, _, text) in RULES.items()
-    for size in [len(text.split()) // 2]
-    for rank, label in enumerate(text.split()[::2], 1)
+    for prop, (_, _, scores) in RULES.items()
+    for size in [len(scores)] for rank, label in enumerate(scores, 1)
 )
 
 
 def _ordinal(prop: str, top: bool) -> str:
-    labels = RULES[prop][2].split()[::2]
+    labels = RULES[prop][2]
     size = len(labels)
     arms = " ".join(
         f"WHEN '{label}' THEN {_number((size - 1 - i) / (size - 1) if top else size - i)}"
@@ -213,6 +208,22 @@ ORACLE |= {
     "curate_last_annotation": f"""WITH {LAST_TURNS}
         SELECT row_number() OVER (ORDER BY doc_id) - 1 AS out_pos, doc_id, round(score, 9) AS score
         FROM documents JOIN last ON id = doc_id WHERE score >= 0.5e0""",
+    "curate_last_row": f"""WITH {LAST_TURNS}
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS out_pos, doc_id, round(score, 9) AS score
+        FROM documents JOIN last ON id = doc_id WHERE score >= 0.5e0""",
+    "curate_by_key_wr": ORACLE["curate_wr"],
+    "order_draw_directory": f"""WITH {REPLACED}
+        SELECT (draw_pos // greatest(1, (SELECT count(*) FROM drawn) // 7))::integer AS shard, draw_pos AS out_pos, doc_id, n_chars
+        FROM drawn JOIN documents ON doc_id = source_pos""",
+    "shard_sizes": f"""WITH {CAPPED}, ordered AS (SELECT row_number() OVER (ORDER BY source_pos) - 1 AS out_pos FROM drawn)
+        SELECT (out_pos // greatest(1, (SELECT n FROM total) // 3))::integer AS shard, count(*) AS rows FROM ordered GROUP BY shard""",
+    "gather_positions": """WITH asked AS (SELECT doc_id AS out_pos, doc_id * 7 % (SELECT count(*) FROM documents) AS source_pos FROM documents)
+        SELECT out_pos, source_pos, doc_id, n_chars FROM asked JOIN documents ON doc_id = source_pos""",
+    "score_long_rules": """SELECT doc_id AS id,
+        CASE WHEN n_chars % 300 < 247 THEN round((n_chars % 300 * 7 % 11) / 10e0, 9) ELSE 0.5e0 END AS score FROM documents""",
+    "score_distribution_approx": f"""WITH {SCORED}, facts AS (
+          SELECT count(*) AS rows, round(avg(score), 9) AS mean, round(min(score), 9) AS min, round(max(score), 9) AS max FROM scored)
+        SELECT percent, true AS within, facts.* FROM facts, (VALUES (10), (25), (50), (75), (90)) AS percents(percent)""",
     "sample_wor_bucketed": ORACLE["sample_wor"],
     "sample_wr_capped_pruned": f"WITH {_race('n // 2', 300, SHUFFLE)} {DRAWN}",
     "sample_wr_blocks": ORACLE["sample_wr"],

@@ -16,12 +16,15 @@ from gleanery.operators.lookup import attach_scores, compute_scores, latest_scor
 from gleanery.operators.race import race_draw
 from gleanery.operators.ranking import global_position
 from gleanery.operators.selection import Selection, select_sample, select_threshold
+from gleanery.operators.sketches import RANK_ERROR, approximate_distribution, merged_sketches, score_sketches
 from gleanery.operators.stats import (
-    DISTRIBUTION, match_rate, profile, score_distribution, selection_summary, weight_totals,
+    DISTRIBUTION, PERCENTS, match_rate, profile, score_distribution, selection_summary, weight_totals,
 )
 from gleanery.plans.curate import Curated, curate
+from gleanery.plans.positions import gather_positions
 from gleanery.rules import ColumnScoring, ScoringConfig, rules_frame
 from gleanery.sinks.card import CurationInfo, provenance
+from gleanery.sinks.shards import rows_per_shard
 from gleanery.sources.annotations import scan_annotations
 from gleanery.sources.positions import with_source_pos
 from workload.tables import SCORED_PROPERTIES, annotations, table
@@ -44,6 +47,10 @@ SOME_RULES = ScoringConfig(
     },
     normalize=False,
 )
+# More labels than a map literal is searched for: the rules become a broadcast table.
+LONG_RULES = ScoringConfig(
+    columns={"bucket": ColumnScoring({bucket: bucket * 7 % 11 / 10 for bucket in range(247)}, default_score=0.5)}, normalize=False,
+)
 ROLE_RULES = ScoringConfig(
     columns={"role": ColumnScoring({"assistant": 0.9, "user": 0.3}, default_score=0.1)}
 )
@@ -279,6 +286,59 @@ def last_annotation(spark, sf_dir):
     return rounded(curated.aligned().select("out_pos", "doc_id", "score"), "score")
 
 
+def last_row_annotation(spark, sf_dir):
+    """The same without a named order: the last row of the annotations' files counts."""
+    curated = curate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"), "threshold", ROLE_RULES,
+        threshold=0.5, id_col="doc_id", annotation_id_col="conv_id", force=True, spark=spark,
+    )
+    return rounded(curated.aligned().select("out_pos", "doc_id", "score"), "score")
+
+
+def ordered_by_directory(spark, sf_dir):
+    """Draw order with the plan for large selections: every row knows its shards at the scan."""
+    drawn = _drawn(spark, sf_dir, WR, 2)
+    rows, _, _ = gather_ordered(
+        documents(spark, sf_dir), drawn, max(1, drawn.size // 7), "draw", _rows_of(spark, sf_dir), broadcast_bytes=0)
+    return rows.select(F.spark_partition_id().alias("shard"), "out_pos", "doc_id", "n_chars")
+
+
+def shard_sizes(spark, sf_dir):
+    """Rows in each shard, sized as for a source of three files."""
+    drawn = _drawn(spark, sf_dir, WR, 0.5, 3)
+    per_shard = rows_per_shard(_rows_of(spark, sf_dir), 3)
+    rows, _, _ = gather_ordered(documents(spark, sf_dir), drawn, per_shard, "source")
+    return rows.groupBy(F.spark_partition_id().alias("shard")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def own_positions(spark, sf_dir):
+    """Every seventh row around the table, as often as there are rows."""
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select(F.expr("doc_id * 7 % {n}".format(n=max(1, docs.count()))).alias("source_pos"), F.col("doc_id").alias("place"))
+    return gather_positions(docs, asked, "place").select("out_pos", "source_pos", "doc_id", "n_chars")
+
+
+def long_rules(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") % 300).cast("int").alias("bucket"))
+    return rounded(compute_scores(rows, LONG_RULES), "score")
+
+
+def approximate_scores(spark, sf_dir):
+    """Percentiles from merged sketches of eight shards, and whether their true ranks keep
+    to the stated error."""
+    scored = scored_documents(spark, sf_dir)
+    parts = score_sketches(scored.withColumn("shard", F.col("source_pos") % 8), "shard")
+    found = approximate_distribution(merged_sketches(parts)).first()
+    ranks = [F.struct(
+        F.lit(p).alias("percent"),
+        ((F.count_if(F.col("score") < found[f"p{p}"]) <= F.count(F.lit(1)) * (p / 100 + RANK_ERROR))
+         & (F.count_if(F.col("score") <= found[f"p{p}"]) >= F.count(F.lit(1)) * (p / 100 - RANK_ERROR))).alias("within"),
+    ) for p in PERCENTS]
+    checked = scored.agg(F.array(*ranks).alias("ranks")).select(F.explode("ranks").alias("r")).select("r.*")
+    facts = [F.lit(found[name]).alias(name) for name in ("rows", "mean", "min", "max")]
+    return rounded(checked.select("*", *facts), "mean", "min", "max")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_annotations": scan,
     "source_positions": source_positions,
@@ -323,4 +383,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_distribution_multipass": distribution_multipass,
     "score_join_skewed": score_join_skewed,
     "weight_totals_negative": negative_weights,
+    "curate_last_row": last_row_annotation,
+    "curate_by_key_wr": curated_rows(WR, 2, row_key="doc_id"),
+    "order_draw_directory": ordered_by_directory,
+    "shard_sizes": shard_sizes,
+    "gather_positions": own_positions,
+    "score_long_rules": long_rules,
+    "score_distribution_approx": approximate_scores,
 }
