@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -33,10 +35,12 @@ class Scratch:
         self.spark = spark
         self.root = f"{spark.sparkContext.getCheckpointDir()}/llm-{uuid.uuid4().hex}"
         self.made = 0
+        self.kept: list[str] = []
 
     def path(self) -> str:
         self.made += 1
-        return f"{self.root}/{self.made}"
+        self.kept.append(f"{self.root}/{self.made}")
+        return self.kept[-1]
 
     def keep(self, df: DataFrame, **options: str) -> DataFrame:
         path = self.path()
@@ -50,11 +54,17 @@ class Scratch:
 
     def drop(self, *frames: DataFrame | None) -> None:
         for frame in frames:
-            if frame is not None:
-                with contextlib.suppress(AttributeError):
-                    self._delete(frame.__dict__["_scratch_path"])
+            if frame is not None and frame.__dict__.get("_scratch_path") in self.kept:
+                self._delete(frame.__dict__["_scratch_path"])
+
+    def sweep(self, *frames: DataFrame) -> None:
+        """Delete all tables but these."""
+        needed = {frame.__dict__["_scratch_path"] for frame in frames}
+        for path in [p for p in self.kept if p not in needed]:
+            self._delete(path)
 
     def _delete(self, path: str) -> None:
+        self.kept.remove(path)
         context = self.spark.sparkContext
         place = context._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
@@ -134,16 +144,26 @@ def flatten(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
-_BUILT: dict[str, tuple[object, object]] = {}
+_BUILT: dict[str, object] = {}
 
 
 def built_once(value: object, build: Callable):
-    """What ``build`` makes of a broadcast value, made once per worker; one of each kind
-    is kept."""
-    kept = _BUILT.get(build.__qualname__)
-    if kept is None or kept[0] is not value:
-        kept = _BUILT[build.__qualname__] = (value, build(value))
-    return kept[1]
+    """What ``build`` makes of a value (a broadcast one, a seed, a tokenizer's text), made
+    once per worker. A worker lives through many stages: the model of the last one is
+    let go, and its memory given back, before the next is built."""
+    if _BUILT.get("build") is not build or (_BUILT["value"] is not value and (isinstance(value, dict) or _BUILT["value"] != value)):
+        _BUILT.clear()
+        give_back()
+        _BUILT.update(build=build, value=value, made=build(value))
+    return _BUILT["made"]
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library hold of freed memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # of glibc alone
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def scored(docs: DataFrame, model: object, build: Callable, add: str, score: Callable, text: str = "text") -> DataFrame:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from gleanery.llm.common import Scratch, group_starts, read_table, ship_package, sorted_groups
 from gleanery.llm.components import Forest, connected_components
@@ -119,7 +120,9 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of rows (vec_id, vector, label)."""
     ship_package(vectors.sparkSession)
     scratch = Scratch(vectors.sparkSession)
-    rows = vectors.select(F.coalesce(F.col("vec_id").cast("bigint"), F.lit(LOWEST)).alias("id"), F.col("label").cast("bigint").alias("label"), "vector")
+    whole = isinstance(vectors.schema["label"].dataType, IntegralType)
+    label = F.col("label").cast("bigint" if whole else "string")  # both tell different labels of a type apart
+    rows = vectors.select(F.coalesce(F.col("vec_id").cast("bigint"), F.lit(LOWEST)).alias("id"), label.alias("label"), "vector")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     usable = F.col("label").isNotNull() & ~F.exists("vector", bad) & F.exists("vector", lambda x: x != 0)
     hashed = lambda seed: F.when(usable, F.xxhash64(F.lit(seed), "label", "vector"))

@@ -6,11 +6,13 @@ text's is the product over its words. Piece probabilities come from expectation
 maximisation over the same lattices: forward and backward sums give expected counts.
 
 Learned from a bounded sample of labelled rows: about ``docs_per_lang`` documents of each
-language, of whose words the ``max_words`` relatively most frequent are used. Everything
-else covers all rows.
+language, all their words unless ``max_words`` asks for the relatively most frequent only.
+Everything else covers all rows.
 
-Words are stretches of letters, lower-cased; pieces of WORD_CHARS characters of longer
-ones. A letter outside the vocabulary is the unknown piece. A text that is null or has
+Words are stretches of letters, lower-cased, of any length: sums are rescaled every STEP
+places, so also a text written without spaces is summed over all its segmentations, in
+memory that grows with its longest word. A letter outside the vocabulary is the unknown
+piece. A text that is null or has
 no letter is ``und`` with score 0, as is every text if nothing could be learned. The
 score is the posterior of the predicted language under equal priors; ties go to the
 first language by name. Rows are independent; other columns are not carried.
@@ -18,6 +20,9 @@ first language by name. Rows are independent; other columns are not carried.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -25,14 +30,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import read_table, scored, ship_package
-from gleanery.llm.words import WORD_CHARS, letter_words, remainder, sample_fraction, sums_by_text
+from gleanery.llm.common import Scratch, built_once, read_table, scored, ship_package
+from gleanery.llm.words import letter_words, remainder, sample_fraction, sums_by_text
 
 UNDETERMINED = "und"
 MARK = "▁"  # begins a word in the vocabulary
-DOCS_PER_LANG, MAX_WORDS, ROUNDS = 3000, 60_000, 4
+DOCS_PER_LANG, ROUNDS = 1000, 4
+STEP = 16  # places between which sums are rescaled
+CELLS = 1 << 19  # sums of a group of words
+SLICE = 1 << 17  # matches read at a time
+SHARES = 1 << 20  # parts of a use that sums are whole numbers of
 SMOOTHING = 0.05
-CACHE_WORDS = 300_000
+CACHE_BYTES = 72 << 20  # of words that a worker remembers
 
 
 def vocabulary(model: str) -> list[str]:
@@ -55,13 +64,19 @@ class Lattices:
                 self.matcher.add_word(name, (len(name), number))
         self.matcher.make_automaton()
 
+    def _matches(self, text: str) -> Iterator[np.ndarray]:
+        """Rows (last place, length, piece) of all pieces in a text."""
+        matches = ((end, *value) for end, value in self.matcher.iter(text))
+        while part := list(islice(matches, SLICE)):
+            yield np.array(part, np.int64)
+
     def arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """Arcs in order of their end, and each word's length. The word's mark is part of
         its first piece or, as an arc that costs nothing, alone."""
         joined = "".join([MARK + w for w in words])
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         first = np.cumsum(lengths) - lengths
-        found = np.array([(end, *value) for end, value in self.matcher.iter(joined)], np.int64).reshape(-1, 3)
+        found = np.concatenate([np.zeros((0, 3), np.int64), *self._matches(joined)])
         word = np.searchsorted(first, found[:, 0], side="right") - 1
         end = found[:, 0] - first[word] + 1
         begin, piece = end - found[:, 1], found[:, 2]
@@ -78,39 +93,59 @@ class Lattices:
         return word[order], begin[order], end[order], piece[order], lengths
 
 
-def forward(arcs: tuple[np.ndarray, ...], weight: np.ndarray) -> np.ndarray:
-    """Sums over all paths from the start to each place, per word, place and language."""
+def forward(arcs: tuple[np.ndarray, ...], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all paths from the start to each place, per word, place and language, as
+    (alpha, logs): the sum is ``alpha * exp(logs[block])`` with STEP places to a block, so
+    that no word is too long for a double."""
     word, begin, end, _, lengths = arcs
     size, langs = int(lengths.max(initial=1)) + 1, weight.shape[1]
     alpha = np.zeros((len(lengths), size, langs))
+    logs = np.zeros((len(lengths), size // STEP + 1, langs))
     alpha[:, 0] = alpha[:, 1] = 1.0  # the mark alone costs nothing
     cuts = np.searchsorted(end, np.arange(size + 1))
     for place in range(2, size):
+        block = place // STEP
+        if place % STEP == 0:
+            before = alpha[:, place - 1]
+            logs[:, block] = logs[:, block - 1] + np.log(np.where(before > 0, before, 1.0))
         own = slice(cuts[place], cuts[place + 1])
         if own.start < own.stop:
             gained = alpha[word[own], begin[own]] * weight[own]
+            if block:
+                gained *= np.exp(logs[word[own], begin[own] // STEP] - logs[word[own], block])
             for lang in range(langs):
                 alpha[:, place, lang] += np.bincount(word[own], gained[:, lang], len(lengths))
-    return alpha
+    return alpha, logs
+
+
+def word_logs(alpha: np.ndarray, logs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Log-probabilities of whole words."""
+    rows = np.arange(len(lengths))
+    return np.log(np.maximum(alpha[rows, lengths], 1e-300)) + logs[rows, lengths // STEP]
 
 
 def expected_counts(arcs: tuple[np.ndarray, ...], probability: np.ndarray, word_counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece, per language, over all cuts of all words."""
     word, begin, end, piece, lengths = arcs
     weight = probability[piece]
-    alpha = forward(arcs, weight)
-    beta = np.zeros_like(alpha)
+    alpha, logs = forward(arcs, weight)
+    beta, back = np.zeros_like(alpha), np.zeros_like(logs)
     beta[np.arange(len(lengths)), lengths] = 1.0
     order = np.argsort(begin, kind="stable")
     cuts = np.searchsorted(begin[order], np.arange(alpha.shape[1] + 1))
     for place in range(alpha.shape[1] - 1, -1, -1):
+        block = place // STEP
+        if place % STEP == STEP - 1 and place + 1 < alpha.shape[1]:
+            after = beta[:, place + 1]
+            back[:, block] = back[:, block + 1] + np.log(np.where(after > 0, after, 1.0))
         own = order[cuts[place]:cuts[place + 1]]
         if len(own):
             gained = beta[word[own], end[own]] * weight[own]
+            gained *= np.exp(back[word[own], end[own] // STEP] - back[word[own], block])
             for lang in range(weight.shape[1]):
                 beta[:, place, lang] += np.bincount(word[own], gained[:, lang], len(lengths))
-    total = np.maximum(alpha[np.arange(len(lengths)), lengths], 1e-300)
-    share = alpha[word, begin] * weight * beta[word, end] * (word_counts / total)[word]
+    scale = logs[word, begin // STEP] + back[word, end // STEP] - word_logs(alpha, logs, lengths)[word]
+    share = alpha[word, begin] * weight * beta[word, end] * np.exp(scale) * word_counts[word]
     return np.stack([np.bincount(piece, share[:, i], len(probability)) for i in range(weight.shape[1])], axis=1)
 
 
@@ -119,10 +154,17 @@ def normalised(counts: np.ndarray) -> np.ndarray:
     return counts / counts.sum(axis=0)
 
 
-def cut_words(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """Words in pieces of WORD_CHARS, and the number of each one's pieces."""
-    parts = [[w] if len(w) <= WORD_CHARS else [w[i:i + WORD_CHARS] for i in range(0, len(w), WORD_CHARS)] for w in words]
-    return [p for own in parts for p in own], np.fromiter(map(len, parts), np.int64, len(parts))
+def by_length(words: list[str], langs: int) -> Iterator[list[int]]:
+    """Rows of words of similar length, as many as CELLS sums hold; a longer word alone."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    group: list[int] = []
+    for row in np.argsort(lengths, kind="stable").tolist():
+        if group and (len(group) + 1) * int(lengths[row]) * langs > CELLS:
+            yield group
+            group = []
+        group.append(row)
+    if group:
+        yield group
 
 
 class LanguageScorer:
@@ -134,17 +176,15 @@ class LanguageScorer:
 
     def of_words(self, words: list[str]) -> np.ndarray:
         """Log-probabilities of words, one column per language."""
-        if len(self.rows) + len(words) > CACHE_WORDS:
-            self.rows, self.scores = {}, self.scores[:0]
+        if (len(self.rows) + len(words)) * (200 + 8 * len(self.langs)) > CACHE_BYTES:
+            self.rows, self.scores = {}, np.zeros((0, len(self.langs)))
         new = [w for w in words if w not in self.rows]
-        for first in range(0, len(new), 20_000):
-            part = new[first:first + 20_000]
-            cut, sizes = cut_words(part)
-            arcs = self.lattices.arcs(cut)
-            alpha = forward(arcs, self.probability[arcs[3]])
-            logs = np.log(np.maximum(alpha[np.arange(len(cut)), arcs[4]], 1e-300))
+        for group in by_length(new, len(self.langs)):
+            part = [new[row] for row in group]
+            arcs = self.lattices.arcs(part)
+            made = word_logs(*forward(arcs, self.probability[arcs[3]]), arcs[4])
             self.rows.update(zip(part, range(len(self.scores), len(self.scores) + len(part))))
-            self.scores = np.concatenate([self.scores, sums_by_text(logs, sizes)])
+            self.scores = np.concatenate([self.scores, made])
         return self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -176,7 +216,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def learn_languages(
-    labelled: DataFrame, pieces: list[str], docs_per_lang: int = DOCS_PER_LANG, max_words: int = MAX_WORDS, rounds: int = ROUNDS,
+    labelled: DataFrame, pieces: list[str], docs_per_lang: int = DOCS_PER_LANG, max_words: int | None = None, rounds: int = ROUNDS,
 ) -> dict:
     """The model from rows (doc_id, text, lang) with a language."""
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
@@ -185,25 +225,59 @@ def learn_languages(
     if not langs:
         return {"langs": [], "pieces": pieces, "probability": np.zeros((len(pieces), 0))}
     share = F.create_map(*[F.lit(x) for n in langs for x in (n, min(1.0, docs_per_lang / totals[n]))])
-    counted = word_counts(usable.where(sample_fraction(F.col("doc_id"), share[F.col("lang")])))
+    counted = word_counts(usable.where(sample_fraction(share[F.col("lang")], F.col("doc_id"), F.col("text"))))
     weight = F.create_map(*[F.lit(x) for n in langs for x in (n, 1.0 / min(totals[n], docs_per_lang))])
-    top = counted.orderBy(F.desc(F.col("n") * weight[F.col("lang")]), "word", "lang").limit(max_words).collect()
-    number = {n: i for i, n in enumerate(langs)}
-    words = sorted({r["word"] for r in top})
-    row = {w: i for i, w in enumerate(words)}
-    counts = np.zeros((len(words), len(langs)))
-    for r in top:
-        counts[row[r["word"]], number[r["lang"]]] = r["n"]
-    cut, sizes = cut_words(words)
-    counts = np.repeat(counts, sizes, axis=0)
-    arcs = Lattices(pieces).arcs(cut)
-    seen = np.stack([np.bincount(arcs[3], counts[arcs[0], i], len(pieces)) for i in range(len(langs))], axis=1)
-    probability = normalised(seen)
+    if max_words is not None:
+        counted = counted.orderBy(F.desc(F.col("n") * weight[F.col("lang")]), "word", "lang").limit(max_words)
+    scratch = Scratch(labelled.sparkSession)
+    number = F.create_map(*[F.lit(x) for i, n in enumerate(langs) for x in (n, i)])
+    words = scratch.keep(counted.groupBy("word").agg(F.collect_list(F.struct(number[F.col("lang")].alias("lang"), "n")).alias("counts")))
+    probability = normalised(piece_uses(words, pieces, len(langs), None))
     for _ in range(rounds):
-        probability = normalised(expected_counts(arcs, probability, counts))
+        probability = normalised(piece_uses(words, pieces, len(langs), probability))
+    scratch.drop(words)
     return {"langs": langs, "pieces": pieces, "probability": probability}
 
 
+def piece_uses(words: DataFrame, pieces: list[str], langs: int, probability: np.ndarray | None) -> np.ndarray:
+    """Expected uses of each piece per language over all cuts of rows (word, counts: list
+    of (lang, n)); without probabilities, how often it could be used. Tasks sum over their
+    words; the driver gets a number per piece and language. Sums are of whole numbers, in
+    parts of SHARES, so that they do not depend on the order."""
+    shared = words.sparkSession.sparkContext.broadcast({"pieces": pieces})
+
+    def run(batches):
+        used = np.zeros((len(pieces), langs))
+        for batch in batches:
+            names = batch.column("word").to_pylist()
+            lists = batch.column("counts")
+            row = np.repeat(np.arange(len(names)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            entries = lists.flatten()
+            counts = np.zeros((len(names), langs))
+            counts[row, entries.field("lang").to_numpy()] = entries.field("n").to_numpy()
+            lattices = built_once(shared.value, lattices_of)
+            for group in by_length(names, langs):
+                arcs = lattices.arcs([names[r] for r in group])
+                if probability is None:
+                    used += np.stack([np.bincount(arcs[3], counts[group][arcs[0], i], len(pieces)) for i in range(langs)], axis=1)
+                else:
+                    used += expected_counts(arcs, probability, counts[group])
+        piece, lang = np.nonzero(used)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(np.rint(used[piece, lang] * SHARES).astype(np.int64))],
+            names=["piece", "lang", "n"])
+
+    sums = words.mapInArrow(run, "piece int, lang int, n bigint").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
+    shared.unpersist()
+    made = np.zeros((len(pieces), langs))
+    made[sums["piece"], sums["lang"]] = sums["n"] / SHARES
+    return made
+
+
+def lattices_of(model: dict) -> Lattices:
+    return Lattices(model["pieces"])
+
+
 def identify(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with lang_pred and score."""
     return scored(docs, model, LanguageScorer, "lang_pred string, score double", LanguageScorer.predict)

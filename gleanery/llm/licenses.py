@@ -20,6 +20,7 @@ repeated rows and ties need no rule; other columns than those asked for are drop
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import cache
 
@@ -161,10 +162,17 @@ def suppressed(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, i
     """Survivors of detections (first, last, priority, rule). Spans are taken by priority;
     one that lies within a kept span, or holds one of higher priority, goes."""
     kept: list[tuple[int, int, int, int]] = []
+    # No kept span holds another, so both their ends ascend: of those that begin before a
+    # span the last one reaches furthest, of those that begin within it the first one least.
+    firsts: list[int] = []
+    lasts: list[int] = []
     for first, last, priority, rule in sorted(set(found), key=lambda d: (-d[2], d[0] - d[1], d[0], d[3])):
-        inside = any(a <= first and last <= b for a, b, _, _ in kept)
-        around = any(first <= a and b <= last and p > priority for a, b, p, _ in kept)
+        before, after = bisect_right(firsts, first), bisect_left(firsts, first)
+        inside = before > 0 and lasts[before - 1] >= last
+        around = after < len(firsts) and lasts[after] <= last
         if not inside and not around:
+            firsts.insert(before, first)
+            lasts.insert(before, last)
             kept.append((first, last, priority, rule))
     return sorted(kept)
 

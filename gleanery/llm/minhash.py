@@ -316,6 +316,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = grouped_rows(texts, scratch, fold=True)
     scratch.drop(texts)
     least = scratch.keep(rows.groupBy("root").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
+    scratch.sweep(rows, least)
     component = F.coalesce("least", "doc")
     public = lambda c: F.when(c != LOWEST, c)
     return rows.join(least, "root", "left").select(

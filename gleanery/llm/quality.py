@@ -209,7 +209,9 @@ def learn_quality(labelled: DataFrame, max_rows: int = MAX_ROWS) -> dict:
                 yield pa.RecordBatch.from_arrays([part.column("quality"), values], names=["quality", "features"])
 
     ship_package(labelled.sparkSession)
-    sample = usable.where(sample_fraction(F.col("doc_id"), F.lit(share))).select("text", F.col("quality").cast("int"))
+    # equal rows are sampled together and count once, or copies of one could be all of the sample
+    sample = usable.where(sample_fraction(F.lit(share), F.col("doc_id"), F.col("text"))).dropDuplicates(["doc_id", "text", "quality"])
+    sample = sample.select("text", F.col("quality").cast("int"))
     rows = sample.mapInArrow(run, "quality int, features array<float>").toPandas()  # about max_rows
     if rows.empty:
         return fit_additive(np.zeros((0, len(FEATURES))), np.zeros(0))

@@ -194,7 +194,9 @@ def learn_toxicity(labelled: DataFrame, max_rows: int = MAX_ROWS, max_voters: in
     """The scorer's state from rows (doc_id, text, toxic) with a label."""
     usable = labelled.where("toxic IS NOT NULL")
     share = min(1.0, max_rows / max(1, usable.count()))
-    sample = usable.where(sample_fraction(F.col("doc_id"), F.lit(share))).select("text", F.col("toxic").cast("int"))
+    # equal rows are sampled together and count once, or copies of one could be all of the sample
+    sample = usable.where(sample_fraction(F.lit(share), F.col("doc_id"), F.col("text"))).dropDuplicates(["doc_id", "text", "toxic"])
+    sample = sample.select("text", F.col("toxic").cast("int"))
     size = {r["t"]: r["n"] for r in sample.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = size.get(True, 0), size.get(False, 0)
     found = standing_out(feature_counts(sample), toxic, clean, max_voters) if toxic and clean else []

@@ -16,13 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gleanery.llm.common import flatten
+from gleanery.llm.common import built_once, flatten
 
 # Words that a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 SIGNS = string.punctuation
 _JOINED = 200
-_LOADED: dict[int, WordIds] = {}
 
 
 class Ids:
@@ -124,7 +123,4 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 
 def word_ids(model: str) -> WordIds:
     """The worker's own encoder of a tokenizer given as JSON text."""
-    key = hash(model)
-    if key not in _LOADED:
-        _LOADED[key] = WordIds(model)
-    return _LOADED[key]
+    return built_once(model, WordIds)

@@ -8,9 +8,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The longest stretch of letters taken as one word; longer ones are taken in pieces.
-WORD_CHARS = 24
-
 
 def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Unique lower-case words of letters, the word of each occurrence, and the number
@@ -36,6 +33,7 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
-def sample_fraction(column: Column, fraction: Column) -> Column:
-    """Whether a row is in a sample of about that share; the same rows in every run."""
-    return F.pmod(F.xxhash64(column, F.lit(20)), F.lit(1 << 20)) < fraction * (1 << 20)
+def sample_fraction(fraction: Column, *of: Column) -> Column:
+    """Whether a row is in a sample of about that share; the same rows in every run, equal
+    ones together."""
+    return F.pmod(F.xxhash64(*of, F.lit(20)), F.lit(1 << 20)) < fraction * (1 << 20)

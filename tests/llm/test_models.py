@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleanery.llm import language_id, licenses, quality, registry, toxicity
+from gleanery.llm import common, language_id, licenses, quality, registry, toxicity
 from gleanery.llm.minhash import near_duplicates
 
 SMALL = "/root/testdata/sf0.01"
@@ -36,9 +36,61 @@ class TestLanguage:
 
         words = ["ab", "aab", "abab", "xab", "bba", "q"]
         arcs = lattices.arcs(words)
-        alpha = language_id.forward(arcs, probability[arcs[3]])
+        alpha, logs = language_id.forward(arcs, probability[arcs[3]])
         for row, word in enumerate(words):
             assert np.allclose(alpha[row, len(word) + 1], brute(word, True))
+        assert np.allclose(language_id.word_logs(alpha, logs, arcs[4]), np.log([brute(w, True) for w in words]))
+
+    @staticmethod
+    def long_words():
+        """Words of 10 to 3000 letters, and runs of scripts that are written without spaces."""
+        rng = random.Random(4)
+        alphabets = ["ab", "abxyz", "的一是在不了有和人这", "กขคงจฉชซ"]
+        return ["".join(rng.choice(letters) for _ in range(n)) for letters in alphabets for n in (10, 15, 16, 17, 24, 25, 33, 64, 200, 3000)]
+
+    @staticmethod
+    def log_sums(word, pieces, probability):
+        """Forward sums in logs, place by place; pieces as a plain set of names."""
+        number, out = {name: i for i, name in enumerate(pieces)}, []
+        for lang in range(probability.shape[1]):
+            at = [0.0]
+            for end in range(1, len(word) + 1):
+                ways = []
+                for begin in range(max(0, end - 6), end):
+                    name = word[begin:end]
+                    if begin == 0 and "▁" + name in number:
+                        ways.append(np.log(probability[number["▁" + name], lang]))
+                    if name in number:
+                        ways.append(at[begin] + np.log(probability[number[name], lang]))
+                    elif len(name) == 1:
+                        ways.append(at[begin] + np.log(probability[0, lang]))
+                at.append(np.logaddexp.reduce(ways))
+            out.append(at[-1])
+        return out
+
+    def test_no_word_is_too_long(self):
+        pieces = ["", "a", "b", "ab", "ba", "bab", "abxyz", "x", "▁a", "▁ab", "的", "一是", "在不了", "▁กข", "ค"]
+        probability = np.random.default_rng(5).random((len(pieces), 3)) * 1e-4
+        words, lattices = self.long_words(), language_id.Lattices(pieces)
+        scorer = language_id.LanguageScorer({"langs": ["x", "y", "z"], "pieces": pieces, "probability": probability})
+        got = scorer.of_words(words)
+        assert np.allclose(got, [self.log_sums(w, pieces, probability) for w in words], rtol=1e-10)
+        assert np.isfinite(got).all() and sorted(sum(language_id.by_length(words, 3), [])) == list(range(len(words)))
+        # expected uses: the derivative of the log sum by the log of a piece's probability
+        for word in (words[3], words[8], words[15], words[28], words[38]):
+            arcs = lattices.arcs([word])
+            counts = language_id.expected_counts(arcs, probability, np.array([[2.0, 2.0, 2.0]]))
+            for piece in (0, 2, 3, 10, 13):
+                raised, step = probability.copy(), 1e-6
+                raised[piece] *= np.exp(step)
+                slope = (np.array(self.log_sums(word, pieces, raised)) - self.log_sums(word, pieces, probability)) / step
+                assert np.allclose(counts[piece], 2 * slope, rtol=1e-3, atol=1e-3)
+
+    def test_sums_are_held_in_groups_of_similar_length(self, monkeypatch):
+        monkeypatch.setattr(language_id, "CELLS", 300)
+        words = ["a" * n for n in (1, 2, 3, 50, 400, 4, 5)]
+        groups = list(language_id.by_length(words, 3))
+        assert [4] in groups and all(len(g) == 1 or len(g) * (max(len(words[r]) for r in g) + 2) * 3 <= 300 for g in groups)
 
     def test_held_out(self, spark):
         got = registry.QUERIES["op6_language_id"](spark, SMALL)
@@ -63,6 +115,66 @@ def _pieces():
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class TestWorkers:
+    def test_one_model_a_worker(self):
+        made = []
+
+        def build(value):
+            made.append(value)
+            return [value]
+
+        model = {"weights": np.zeros(3)}
+        first = common.built_once(model, build)
+        assert common.built_once(model, build) is first and made == [model]
+        assert common.built_once("text", str.upper) == "TEXT" and common.built_once("te" + "xt", str.upper) == "TEXT"
+        assert common.built_once(model, build) is not first and len(common._BUILT) == 3
+
+    def test_scratch_tables_go_when_swept(self, spark):
+        scratch = common.Scratch(spark)
+        kept, gone, dropped = (scratch.keep(spark.range(n)) for n in (3, 4, 5))
+        scratch.drop(dropped, dropped, None, spark.range(2))
+        scratch.sweep(kept)
+        assert kept.count() == 3 and scratch.kept == [kept._scratch_path]
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FAILED_READ_FILE|FILE_NOT_EXIST"):
+            spark.read.parquet(gone._scratch_path).count()
+
+
+class TestSamples:
+    def test_copies_of_one_row_count_once(self, spark):
+        """Rows that repeat id and text are sampled together; the sample must stay bounded."""
+        copies = spark.range(30_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("awful words here").alias("text"), F.lit(1).alias("toxic"))
+        others = spark.range(200).select("id", F.concat(F.lit("fine text "), "id"), F.lit(0))
+        rows = copies.union(others)
+        model = toxicity.learn_toxicity(rows, max_rows=100_000)
+        again = toxicity.learn_toxicity(rows.dropDuplicates(), max_rows=100_000)
+        assert model["lexicon"] == again["lexicon"] and np.allclose(model["weights"], again["weights"])
+        made = quality.learn_quality(rows.withColumnRenamed("toxic", "quality"), max_rows=100_000)
+        same = quality.learn_quality(rows.dropDuplicates().withColumnRenamed("toxic", "quality"), max_rows=100_000)
+        assert all(np.allclose(a, b) for a, b in zip(made["tables"], same["tables"]))
+
+
+class TestSuppression:
+    @staticmethod
+    def plain(found):
+        kept = []
+        for first, last, priority, rule in sorted(set(found), key=lambda d: (-d[2], d[0] - d[1], d[0], d[3])):
+            inside = any(a <= first and last <= b for a, b, _, _ in kept)
+            around = any(first <= a and b <= last and p > priority for a, b, p, _ in kept)
+            if not inside and not around:
+                kept.append((first, last, priority, rule))
+        return sorted(kept)
+
+    def test_against_all_pairs(self):
+        rng = random.Random(6)
+        for _ in range(300):
+            found = [(a := rng.randint(0, 30), a + rng.randint(0, 12), rng.randint(1, 4), rng.randint(0, 5)) for _ in range(rng.randint(0, 40))]
+            assert licenses.suppressed(found) == self.plain(found)
+
+    def test_a_million_detections(self):
+        found = [(3 * i, 3 * i + 2, 2 + i % 3, i % 50) for i in range(300_000)]
+        assert len(licenses.suppressed(found)) == 300_000
+
+
 class TestToxicity:
     def test_held_out(self, spark):
         got = registry.QUERIES["op5_toxicity"](spark, SMALL)
@@ -206,6 +318,28 @@ class TestPipeline:
         assert packed.select("doc_id").distinct().count() == docs.count()
         assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
+    def test_language_decides(self, spark):
+        """The same texts go or stay as their language is wanted; none goes otherwise."""
+        docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+        lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+        kept = corpus_pipeline.keep_languages(spark, docs, SMALL)
+        assert kept.count() == lettered.count() and kept.join(lettered, "doc_id", "left_anti").count() == 0
+        some = corpus_pipeline.keep_languages(spark, docs, SMALL, wanted=["de", "fr"])
+        assert some.columns == docs.columns
+        counts = {r.lang: r["count"] for r in some.groupBy("lang").count().collect()}
+        true = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect()}
+        assert sum(counts.get(x, 0) for x in ("en", "es")) <= 2 and all(abs(counts[x] - true[x]) <= 2 for x in ("de", "fr"))
+        assert corpus_pipeline.keep_languages(spark, docs, SMALL, lowest=1.01).count() == 0
+
+    def test_run_returns_the_last_stage(self, spark, monkeypatch):
+        seen = []
+
+        def stage(name, keep):
+            return name, lambda session, docs, sf_dir: seen.append((name, docs.count())) or docs.where(keep)
+
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [stage("a", "doc_id < 500"), stage("b", "doc_id % 2 = 0"), stage("c", "doc_id > 10")])
+        assert corpus_pipeline.run(spark, SMALL).count() == 244 and seen == [("a", 1000), ("b", 500), ("c", 250)]
+
     def test_rows_without_an_own_id(self, spark):
         rng = random.Random(10)
         words = [f"w{i}" for i in range(3000)]

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch
 from gleanery.llm.components import connected_components
@@ -125,6 +126,13 @@ class TestVectors:
         frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id bigint, vector array<double>, label int, key int").repartition(4)
         assert {r.vec_id: tuple(r)[1:] for r in near_vectors(frame).collect()} == want
 
+    @pytest.mark.parametrize("kind, labels", [("decimal(3,1)", ["1.2", "1.7"]), ("string", ["b", "c"]), ("double", ["1.25", "1.5"]), ("boolean", ["true", "false"])])
+    def test_labels_of_any_type_are_compared_as_they_are(self, spark, kind, labels):
+        rows = [(i, [1.0, 0.01 * i], labels[i % 2] if i < 6 else None) for i in range(8)]
+        frame = spark.createDataFrame(rows, "vec_id bigint, vector array<double>, label string").withColumn("label", F.col("label").cast(kind))
+        got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame).collect()}
+        assert got == {**{i: (2, i % 2) for i in range(6)}, 6: (0, 6), 7: (0, 7)}
+
     def test_edges(self, spark):
         schema = "vec_id bigint, vector array<float>, label int"
         assert near_vectors(spark.createDataFrame([], schema)).collect() == []
