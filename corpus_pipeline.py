@@ -1,5 +1,5 @@
-"""The corpus pipeline over ``documents``: drop texts of no language, drop toxic texts,
-keep one document of each near-duplicate group, pack the rest into sequences.
+"""The corpus pipeline over ``documents``: drop texts of no clear or no wanted language, drop
+toxic texts, keep one document of each near-duplicate group, pack the rest into sequences.
 
 Every stage works on all that its predecessor kept, and all but the last return the
 columns of ``documents``. Models are learned from the stage's own input, outside the
@@ -12,6 +12,7 @@ nothing could be learned, only texts without letters go: no text goes but for wh
 from __future__ import annotations
 
 import math
+from collections.abc import Collection
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,20 @@ from gleanery.llm.common import Scratch, bounded, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
+LOWEST = 0.5  # posterior below which a text has no clear language
 
 
-def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; texts without letters are rejected."""
+def keep_languages(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: Collection[str] | None = None, lowest: float = LOWEST,
+) -> DataFrame:
+    """Documents in a ``wanted`` language (all learned ones if None) whose posterior is at
+    least ``lowest``. Texts without letters have no language."""
     model = language_id.learn_from_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
     if not model["langs"]:  # then every text is undetermined
         return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     found = language_id.identify(docs.select(*COLUMNS), model)
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+    accepted = sorted(model["langs"] if wanted is None else wanted)
+    return found.where(F.col("lang_pred").isin(accepted) & (F.col("score") >= lowest)).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     scratch = Scratch(spark)
     rows = scratch.keep(docs.select(*COLUMNS, minhash.row_key()))
     first = minhash.first_rows(rows.select("id", minhash.doc_key(), bounded()), scratch)
+    scratch.sweep(rows, first)
     return rows.join(first, "id", "left_semi").select(*COLUMNS)
 
 
@@ -70,4 +77,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        scratch.sweep(docs)  # what the stage before has kept is not read again
     return STAGES[-1][1](spark, docs, sf_dir)
