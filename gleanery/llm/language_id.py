@@ -21,7 +21,6 @@ first language by name. Rows are independent; other columns are not carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -38,7 +37,6 @@ MARK = "▁"  # begins a word in the vocabulary
 DOCS_PER_LANG, ROUNDS = 1000, 4
 STEP = 16  # places between which sums are rescaled
 CELLS = 1 << 19  # sums of a group of words
-SLICE = 1 << 17  # matches read at a time
 SHARES = 1 << 20  # parts of a use that sums are whole numbers of
 SMOOTHING = 0.05
 CACHE_BYTES = 72 << 20  # of words that a worker remembers
@@ -58,17 +56,19 @@ class Lattices:
     """All pieces that occur in words, as arcs (word, begin, end, piece)."""
 
     def __init__(self, pieces: list[str]):
+        # a match is one number: its last place, then the piece's length and number
+        self.piece_bits, self.length_bits = len(pieces).bit_length(), max(map(len, pieces)).bit_length()
         self.matcher = ahocorasick.Automaton()
         for number, name in enumerate(pieces):
             if name:
-                self.matcher.add_word(name, (len(name), number))
+                self.matcher.add_word(name, len(name) << self.piece_bits | number)
         self.matcher.make_automaton()
 
-    def _matches(self, text: str) -> Iterator[np.ndarray]:
-        """Rows (last place, length, piece) of all pieces in a text."""
-        matches = ((end, *value) for end, value in self.matcher.iter(text))
-        while part := list(islice(matches, SLICE)):
-            yield np.array(part, np.int64)
+    def _matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Last place, length and number of all pieces in a text."""
+        shift = self.piece_bits + self.length_bits
+        codes = np.fromiter((last << shift | value for last, value in self.matcher.iter(text)), np.int64)
+        return codes >> shift, codes >> self.piece_bits & ((1 << self.length_bits) - 1), codes & ((1 << self.piece_bits) - 1)
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """Arcs in order of their end, and each word's length. The word's mark is part of
@@ -76,13 +76,13 @@ class Lattices:
         joined = "".join([MARK + w for w in words])
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         first = np.cumsum(lengths) - lengths
-        found = np.concatenate([np.zeros((0, 3), np.int64), *self._matches(joined)])
-        word = np.searchsorted(first, found[:, 0], side="right") - 1
-        end = found[:, 0] - first[word] + 1
-        begin, piece = end - found[:, 1], found[:, 2]
+        last, size, piece = self._matches(joined)
+        word = np.searchsorted(first, last, side="right") - 1
+        end = last - first[word] + 1
+        begin = end - size
         # letters that no piece of one letter covers are the unknown piece
         covered = np.zeros(len(joined), bool)
-        covered[found[found[:, 1] == 1, 0]] = True
+        covered[last[size == 1]] = True
         covered[first] = True
         bare = np.flatnonzero(~covered)
         of = np.searchsorted(first, bare, side="right") - 1
