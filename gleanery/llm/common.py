@@ -166,6 +166,19 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def mapped(frame: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``frame.mapInArrow(run, schema)`` whose tasks give back what they freed: workers
+    live on, and idle ones would otherwise hold the most that any task has needed."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return frame.mapInArrow(whole, schema)
+
+
 def scored(docs: DataFrame, model: object, build: Callable, add: str, score: Callable, text: str = "text") -> DataFrame:
     """``docs`` with the columns of ``add`` (a schema) that ``score(built, texts)`` returns
     for each slice of texts, null text as empty. Columns of the same names are replaced."""
@@ -182,4 +195,4 @@ def scored(docs: DataFrame, model: object, build: Callable, add: str, score: Cal
                 made = score(built, pa.compute.fill_null(part.column(text), ""))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *map(pa.array, made)], names=[*names, *added])
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return mapped(docs.select(*names), run, schema)

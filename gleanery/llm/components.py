@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch
+from gleanery.llm.common import Scratch, mapped
 
 
 class Forest:
@@ -56,10 +56,8 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     combined before the shuffle, and contracts again. Minima go to a table before they
     are joined, so that a node with very many edges can be split by a skewed join. Rounds
     grow with the logarithm of the longest chain."""
-    now = scratch.keep(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
-        .mapInArrow(_contract, "u bigint, v bigint").where("u <> v").distinct()
-    )
+    proper = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    now = scratch.keep(mapped(proper, _contract, "u bigint, v bigint").where("u <> v").distinct())
     state = _checked(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -69,7 +67,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         low = F.least("mu", "mv")
         pairs = F.array(*[F.struct(end.alias("u"), low.alias("v")) for end in (F.col("u"), F.col("v"), F.col("mu"), F.col("mv"))])
         stars = met.select(F.explode(pairs).alias("p")).select("p.*").where("u <> v")
-        after = scratch.keep(stars.mapInArrow(_contract, "u bigint, v bigint").where("u <> v").distinct())
+        after = scratch.keep(mapped(stars, _contract, "u bigint, v bigint").where("u <> v").distinct())
         scratch.drop(now, least)
         now, before, state = after, state, _checked(after)
         if state == before:

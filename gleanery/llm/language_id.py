@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, built_once, read_table, scored, ship_package
+from gleanery.llm.common import Scratch, built_once, mapped, read_table, scored, ship_package
 from gleanery.llm.words import letter_words, remainder, sample_fraction, sums_by_text
 
 UNDETERMINED = "und"
@@ -211,7 +211,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     names=["lang", "word", "n"])
 
     ship_package(docs.sparkSession)
-    made = docs.select("lang", "text").mapInArrow(run, "lang string, word string, n bigint")
+    made = mapped(docs.select("lang", "text"), run, "lang string, word string, n bigint")
     return made.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -267,7 +267,7 @@ def piece_uses(words: DataFrame, pieces: list[str], langs: int, probability: np.
             [pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(np.rint(used[piece, lang] * SHARES).astype(np.int64))],
             names=["piece", "lang", "n"])
 
-    sums = words.mapInArrow(run, "piece int, lang int, n bigint").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
+    sums = mapped(words, run, "piece int, lang int, n bigint").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
     shared.unpersist()
     made = np.zeros((len(pieces), langs))
     made[sums["piece"], sums["lang"]] = sums["n"] / SHARES

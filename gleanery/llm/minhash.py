@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, built_once, chunks, group_starts, read_table, sorted_groups
+from gleanery.llm.common import Scratch, bounded, built_once, chunks, group_starts, mapped, read_table, sorted_groups
 from gleanery.llm.components import Forest, connected_components
 
 SHINGLE, SIMILAR = 5, 75  # words; percent
@@ -142,7 +142,7 @@ def signed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
                     pa.array(sketch, pa.binary()),
                 ], names=["id", "doc", "k1", "k2", "n", "bands", "sketch"])
 
-    return docs.mapInArrow(run, SIGNED)
+    return mapped(docs, run, SIGNED)
 
 
 def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -189,12 +189,12 @@ def verified_pairs(pairs: DataFrame, signed: DataFrame, docs: DataFrame, scratch
     side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     sized = sized.where(f"100 * least(n_a, n_b) >= {SIMILAR} * greatest(n_a, n_b)").select("a", "b", "sketch_a", "sketch_b")
-    close = scratch.keep(sized.mapInArrow(_alike, "a bigint, b bigint").distinct())
+    close = scratch.keep(mapped(sized, _alike, "a bigint, b bigint").distinct())
     wanted = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = scratch.keep(docs.join(wanted, "id", "left_semi"))  # texts of candidates only
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    links = scratch.keep(close.join(left, "a").join(right, "b").mapInArrow(_verified, "a bigint, b bigint").distinct())
+    links = scratch.keep(mapped(close.join(left, "a").join(right, "b"), _verified, "a bigint, b bigint").distinct())
     scratch.drop(close, texts)
     return links
 
@@ -254,7 +254,7 @@ def links_across(banded: DataFrame, of: DataFrame, signed: DataFrame, texts: Dat
     columns = ("key", "rest", "block", "inner", "id", "component")
     rows = outer.select(*columns).unionByName(inner.select(*columns)).join(signed, "id").join(texts, "id")
     grouped = rows.repartition("key", "rest", "block").sortWithinPartitions("key", "rest", "block")
-    return grouped.mapInArrow(_across, "a bigint, b bigint")
+    return mapped(grouped, _across, "a bigint, b bigint")
 
 
 def doc_key():

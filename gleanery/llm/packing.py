@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, chunks, flatten, read_table, share_text
+from gleanery.llm.common import Scratch, bounded, chunks, flatten, mapped, read_table, share_text
 from gleanery.llm.word_tokens import word_ids
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) in order of place
@@ -239,7 +239,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -
                 ], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), bounded())
-    return texts.mapInArrow(run, PIECES)
+    return mapped(texts, run, PIECES)
 
 
 def pack_pieces(pieces: DataFrame, capacity: int, scratch: Scratch) -> DataFrame:
@@ -264,7 +264,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, scratch: Scratch) -> DataFrame
                 names=[*columns, "sequence_id", "offset"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema), "sequence_id bigint, offset bigint"])
-    return ranked.mapInArrow(run, schema)
+    return mapped(ranked, run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import chunks, read_table, scored, ship_package
+from gleanery.llm.common import chunks, mapped, read_table, scored, ship_package
 from gleanery.llm.words import letter_words, remainder, sample_fraction
 
 MAX_ROWS, MAX_VOTERS = 10_000, 400
@@ -164,7 +164,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
                      pa.array(np.bincount(voters[~toxic], minlength=len(number)))], names=["feature", "toxic", "clean"])
 
     ship_package(sample.sparkSession)
-    made = sample.mapInArrow(run, "feature string, toxic bigint, clean bigint")
+    made = mapped(sample, run, "feature string, toxic bigint, clean bigint")
     return made.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -214,7 +214,7 @@ def learn_toxicity(labelled: DataFrame, max_rows: int = MAX_ROWS, max_voters: in
                 yield pa.RecordBatch.from_arrays(
                     [part.column("toxic"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(own[order].astype(np.int32)))], names=["toxic", "voters"])
 
-    rows = sample.mapInArrow(run, "toxic int, voters array<int>").toPandas()  # about max_rows
+    rows = mapped(sample, run, "toxic int, voters array<int>").toPandas()  # about max_rows
     if not len(rows):
         return state
     rows = rows.iloc[np.argsort([",".join(map(str, (t, *v))) for t, v in zip(rows["toxic"], rows["voters"])], kind="stable")]
