@@ -12,6 +12,11 @@ Null text is the empty text; its fingerprint is 0. Rows that repeat both ``doc_i
 text count as one document, and each gets its result; a null ``doc_id`` counts as the
 smallest. Documents with one id are ordered by their text's hash. An empty table gives
 no rows; other columns are not carried.
+
+The search for all fingerprints within a radius takes as queries the documents whose
+``doc_id`` is divisible by ASKED, against all documents; ``n_near`` counts the other
+documents found, and is null for documents that do not ask. A document repeated row by
+row counts as often as it has rows.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import Scratch, bounded, read_table
 
 LANES = 32
+RADIUS = 3  # bits in which near fingerprints may differ
+ASKED = 100
+KEY_ROWS = 4096  # stored fingerprints of one key that are compared in one piece
 PAIR = 0x0000000100000001
 LOWEST = -(1 << 63)
 
@@ -60,6 +68,12 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
 
 
+def block_count(stored: int, radius: int) -> int:
+    """Blocks whose agreeing bits tell as many fingerprints as are stored apart, radius + 1
+    at least: more blocks are more tables, of longer keys."""
+    return next((n for n in range(radius + 1, 10) if 64 * (n - radius) // n >= stored.bit_length()), 10)
+
+
 def near_fingerprints(queries: DataFrame, stored: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     """Every (fingerprint, near, distance) with ``near`` among the distinct fingerprints
     of ``stored`` and at most ``radius`` bits away from a distinct one of ``queries``.
@@ -67,7 +81,9 @@ def near_fingerprints(queries: DataFrame, stored: DataFrame, radius: int, blocks
     The 64 bits form ``blocks`` blocks. At most ``radius`` of them can differ, so a match
     agrees on all the others in at least one of the permuted tables, one per choice of
     agreeing blocks. A pair is kept by the first table that holds it. Equal fingerprints
-    are one row on either side, so copies make no pairs; join them back by value."""
+    are one row on either side, so copies make no pairs; join them back by value. Only
+    keys that a query has go on, and a key of many stored fingerprints is dealt over
+    parts of about KEY_ROWS, to each of which its queries go."""
     blocks = blocks or radius + 2
     if not radius < blocks <= 16:
         raise ValueError("radius must be below blocks, at most 16")
@@ -83,14 +99,32 @@ def near_fingerprints(queries: DataFrame, stored: DataFrame, radius: int, blocks
         keys = F.array(*[F.struct(F.lit(t).alias("table"), F.col(name).bitwiseAND(literal(m)).alias("key")) for t, m in enumerate(tables)])
         return distinct.select(name, F.explode(keys).alias("k")).select(name, "k.*")
 
-    met = keyed(queries, "fingerprint").join(keyed(stored, "near"), ["table", "key"])
+    asked, held = keyed(queries, "fingerprint"), keyed(stored, "near")
+    touched = held.join(asked.select("table", "key").distinct(), ["table", "key"], "left_semi")
+    parts = touched.groupBy("table", "key").agg(F.ceil(F.count(F.lit(1)) / KEY_ROWS).cast("int").alias("parts"))
+    dealt = touched.join(parts, ["table", "key"]).withColumn("part", F.pmod(F.xxhash64("near"), "parts").cast("int")).drop("parts")
+    sent = asked.join(parts, ["table", "key"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     differ = F.col("fingerprint").bitwiseXOR(F.col("near"))
     first = reduce(
         lambda later, t: F.when(differ.bitwiseAND(literal(tables[t])) == 0, F.lit(t)).otherwise(later),
         reversed(range(len(tables))), F.lit(None),
     )
     distance = F.bit_count(differ)
-    return met.where((distance <= radius) & (first == F.col("table"))).select("fingerprint", "near", distance.alias("distance"))
+    met = sent.join(dealt, ["table", "key", "part"]).where((distance <= radius) & (first == F.col("table")))
+    return met.select("fingerprint", "near", distance.alias("distance"))
+
+
+def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(k, h, copy, n_near) of the asking rows of a table of rows (k, h, copy, f): how many
+    other rows have a fingerprint at most ``radius`` bits away."""
+    asking = prints.where((F.col("k") != LOWEST) & (F.col("k") % ASKED == 0)).select("k", "h", "copy", "f")
+    per_print = prints.groupBy("f").agg(F.count(F.lit(1)).alias("c"))
+    pairs = near_fingerprints(
+        asking.select(F.col("f").alias("fingerprint")), prints.select(F.col("f").alias("fingerprint")),
+        radius, block_count(prints.count(), radius),
+    )
+    found = pairs.join(per_print, pairs["near"] == per_print["f"]).groupBy("fingerprint").agg(F.sum("c").alias("c"))
+    return asking.join(found, asking["f"] == found["fingerprint"]).select("k", "h", "copy", (F.col("c") - 1).alias("n_near"))
 
 
 def next_documents(slim: DataFrame, scratch: Scratch) -> DataFrame:
@@ -128,9 +162,11 @@ def edited_documents(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Data
     return once.join(heads, ["k", "h"]).select("k", "h", "copy", "text", edited.alias("edited")), links
 
 
-def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark)
-    rows, links = edited_documents(read_table(spark, sf_dir, "documents"), scratch)
+def compared_documents(docs: DataFrame) -> DataFrame:
+    """Fingerprints of rows (doc_id, text) and of their edited texts, how alike these and
+    the next document's are, and the count of near documents for those that ask."""
+    scratch = Scratch(docs.sparkSession)
+    rows, links = edited_documents(docs, scratch)
     both = F.array(F.struct(F.lit(0).alias("edit"), F.col("text")), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))
     measures = rows.select(
         "k", "h", "copy", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
@@ -143,8 +179,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     after = prints.where("copy = 1").select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("f").alias("g"))
     near = links.join(after, ["next_k", "next_h"]).select("k", "h", "g")
     text_of = lambda name: F.lower(F.lpad(F.hex(name), 16, "0"))
-    return prints.join(near, ["k", "h"]).select(
+    counts = scratch.keep(near_counts(prints))  # a row per asking one
+    return prints.join(near, ["k", "h"]).join(counts, ["k", "h", "copy"], "left").select(
         F.when(F.col("k") != LOWEST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
         text_of("f").alias("fingerprint"), text_of("e").alias("edited_fingerprint"),
-        likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("g")).alias("near_next"),
+        likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("g")).alias("near_next"), "n_near",
     )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_documents(read_table(spark, sf_dir, "documents"))

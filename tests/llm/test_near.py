@@ -7,13 +7,15 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch
 from gleanery.llm.components import connected_components
 from gleanery.llm.embedding_dedup import near_vectors, table_plan
 from gleanery.llm.minhash import near_duplicates
-from gleanery.llm.simhash import edited_documents, fingerprints, near_fingerprints, next_documents
+from gleanery.llm import simhash
+from gleanery.llm.simhash import block_count, compared_documents, edited_documents, fingerprints, near_fingerprints, next_documents
 
 
 class Groups:
@@ -146,7 +148,67 @@ class TestVectors:
         assert (1 - (1 - np.arccos(0.98) / np.pi) ** signs) ** tables <= 1e-6
 
 
+def xxhash_of(text):
+    """Spark's xxhash64 of a text."""
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def voted(text):
+    """The fingerprint of a text by plain counting."""
+    words = [w for w in re.split("[ \t\n\r\f\v]", (text or "").lower()) if w]
+    pairs = list(zip(words, [*words[1:], None]))
+    votes = [0] * 64
+    total = 0
+    for a, b in pairs:
+        seed = xxhash.xxh64_intdigest(a.encode(), 42)
+        value = xxhash.xxh64_intdigest(b.encode(), seed) if b is not None else seed
+        weight = min(16, len(a) + len(b or ""))
+        total += weight
+        for j in range(64):
+            votes[j] += weight * (value >> j & 1)
+    return sum(1 << j for j in range(64) if 2 * votes[j] > total)
+
+
 class TestSimhash:
+    def test_whole_operator_against_plain_counting(self, spark):
+        rng = random.Random(4)
+        text = lambda: " ".join(f"word{rng.randrange(300)}" for _ in range(60))
+        base = [text() for _ in range(6)]
+        texts = [t for b in base for t in (b, b, b + " end", b.replace(" ", "  "), text())]
+        rows = [(i * 25, t) for i, t in enumerate(texts)] + [(0, texts[0]), (100, None), (7, ""), (None, base[0])]
+        frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, f string").repartition(4)
+        plain = sorted({(-1 if i is None else i, xxhash_of(t or ""), t or "") for i, t in rows}, reverse=True)
+        following = {x: y for x, y in zip(plain, plain[1:] + plain[:1])}
+        bits = [voted(t) for _, t in rows]
+        want = []
+        for (i, t), f in zip(rows, bits):
+            t = t or ""
+            after = following[-1 if i is None else i, xxhash_of(t), t][2]
+            edited = t[:len(t) - len(t) // 2] + after[:len(t) // 2]
+            like = lambda g, f=f: 1 - (f ^ g).bit_count() / 64
+            near = sum((f ^ g).bit_count() <= simhash.RADIUS for g in bits) - 1 if i is not None and i % 100 == 0 else None
+            want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{f:016x}", f"{voted(edited):016x}", like(voted(edited)), like(voted(after)), near))
+        got = [tuple(r) for r in compared_documents(frame).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert any(r[-1] for r in got)
+
+    def test_empty_table(self, spark):
+        assert compared_documents(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+    def test_large_keys_are_dealt_over_parts(self, spark, monkeypatch):
+        monkeypatch.setattr(simhash, "KEY_ROWS", 5)
+        values = [1 << a | 1 << b for a in range(12) for b in range(a)]  # alike in most blocks
+        frame = spark.createDataFrame([(v,) for v in values], "fingerprint bigint")
+        want = {(a, b, (a ^ b).bit_count()) for a in values for b in values if (a ^ b).bit_count() <= 2}
+        found = [tuple(r) for r in near_fingerprints(frame, frame, 2).collect()]
+        assert len(found) == len(set(found)) and set(found) == want
+
+    @pytest.mark.parametrize("stored", [0, 1, 60_000, 10**7, 10**10, 10**14])
+    def test_keys_grow_with_the_table(self, stored):
+        blocks = block_count(stored, 3)
+        assert 4 <= blocks <= 10 and (blocks == 10 or 2 ** (64 * (blocks - 3) // blocks) > stored)
+
     def test_edited_texts(self, spark, documents):
         rows, _ = edited_documents(documents, Scratch(spark))
         got = sorted((r.k, r.text, r.edited) for r in rows.collect())
