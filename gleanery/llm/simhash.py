@@ -31,6 +31,7 @@ from gleanery.llm.common import Scratch, bounded, read_table
 
 LANES = 32
 RADIUS = 3  # bits in which near fingerprints may differ
+BLOCKS = 6  # at a radius of 3: 20 tables with keys of 32 bits, the same at every size
 ASKED = 100
 KEY_ROWS = 4096  # stored fingerprints of one key that are compared in one piece
 PAIR = 0x0000000100000001
@@ -68,12 +69,6 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
 
 
-def block_count(stored: int, radius: int) -> int:
-    """Blocks whose agreeing bits tell as many fingerprints as are stored apart, radius + 1
-    at least: more blocks are more tables, of longer keys."""
-    return next((n for n in range(radius + 1, 10) if 64 * (n - radius) // n >= stored.bit_length()), 10)
-
-
 def near_fingerprints(queries: DataFrame, stored: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     """Every (fingerprint, near, distance) with ``near`` among the distinct fingerprints
     of ``stored`` and at most ``radius`` bits away from a distinct one of ``queries``.
@@ -114,15 +109,13 @@ def near_fingerprints(queries: DataFrame, stored: DataFrame, radius: int, blocks
     return met.select("fingerprint", "near", distance.alias("distance"))
 
 
-def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_counts(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(k, h, copy, n_near) of the asking rows of a table of rows (k, h, copy, f): how many
     other rows have a fingerprint at most ``radius`` bits away."""
     asking = prints.where((F.col("k") != LOWEST) & (F.col("k") % ASKED == 0)).select("k", "h", "copy", "f")
     per_print = prints.groupBy("f").agg(F.count(F.lit(1)).alias("c"))
-    pairs = near_fingerprints(
-        asking.select(F.col("f").alias("fingerprint")), prints.select(F.col("f").alias("fingerprint")),
-        radius, block_count(prints.count(), radius),
-    )
+    named = F.col("f").alias("fingerprint")
+    pairs = near_fingerprints(asking.select(named), prints.select(named), radius, blocks)
     found = pairs.join(per_print, pairs["near"] == per_print["f"]).groupBy("fingerprint").agg(F.sum("c").alias("c"))
     return asking.join(found, asking["f"] == found["fingerprint"]).select("k", "h", "copy", (F.col("c") - 1).alias("n_near"))
 

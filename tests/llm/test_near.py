@@ -15,7 +15,7 @@ from gleanery.llm.components import connected_components
 from gleanery.llm.embedding_dedup import near_vectors, table_plan
 from gleanery.llm.minhash import near_duplicates
 from gleanery.llm import simhash
-from gleanery.llm.simhash import block_count, compared_documents, edited_documents, fingerprints, near_fingerprints, next_documents
+from gleanery.llm.simhash import compared_documents, edited_documents, fingerprints, near_fingerprints, next_documents
 
 
 class Groups:
@@ -204,11 +204,6 @@ class TestSimhash:
         found = [tuple(r) for r in near_fingerprints(frame, frame, 2).collect()]
         assert len(found) == len(set(found)) and set(found) == want
 
-    @pytest.mark.parametrize("stored", [0, 1, 60_000, 10**7, 10**10, 10**14])
-    def test_keys_grow_with_the_table(self, stored):
-        blocks = block_count(stored, 3)
-        assert 4 <= blocks <= 10 and (blocks == 10 or 2 ** (64 * (blocks - 3) // blocks) > stored)
-
     def test_edited_texts(self, spark, documents):
         rows, _ = edited_documents(documents, Scratch(spark))
         got = sorted((r.k, r.text, r.edited) for r in rows.collect())
