@@ -30,6 +30,8 @@ other columns are not carried.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -199,16 +201,47 @@ def verified_pairs(pairs: DataFrame, signed: DataFrame, docs: DataFrame, scratch
     return links
 
 
+GROUP = ["key", "rest", "block"]
+
+
+def _met(table: pa.Table) -> Iterator[Iterator[tuple[int, np.ndarray]]]:
+    """For each group of two sides: rows of the inner side with those of the outer side
+    that are in other components and alike by size and sketch. Each pair is looked at in
+    the first band it shares only."""
+    sketches, bands = _sketches(table.column("sketch")), np.stack(table.column("bands").to_numpy())
+    parts, sizes, key = (table.column(c).to_numpy() for c in ("component", "n", "key"))
+    inner = table.column("inner").to_numpy().astype(bool)
+
+    def pairs(first: int, last: int) -> Iterator[tuple[int, np.ndarray]]:
+        x, y = np.flatnonzero(inner[first:last]) + first, np.flatnonzero(~inner[first:last]) + first
+        for row in x:
+            fit = y[(parts[y] != parts[row]) & (100 * np.minimum(sizes[y], sizes[row]) >= SIMILAR * np.maximum(sizes[y], sizes[row]))]
+            fit = fit[(sketches[fit] == sketches[row]).sum(axis=1) >= least_agreement()]
+            if len(fit):
+                same = bands[fit] == bands[row]
+                yield row, fit[bands[row][same.argmax(axis=1)] == key[row]]
+
+    starts = group_starts(table, GROUP)
+    for first, last in zip(starts, [*starts[1:], table.num_rows]):
+        yield pairs(first, last)
+
+
+def _meeting(batches):
+    """Rows of groups that have someone to be compared with there."""
+    for table in sorted_groups(batches, GROUP):
+        wanted = np.zeros(table.num_rows, bool)
+        for pairs in _met(table):
+            for row, fit in pairs:
+                wanted[fit] = True
+                wanted[row] |= len(fit) > 0
+        yield from table.filter(pa.array(wanted)).to_batches()
+
+
 def _across(batches):
-    """Verified links between components in groups (key, rest, block) of two sides. Each
-    pair is looked at in the first band it shares only, and not at all once the group's
-    links so far have joined its components."""
-    keys = ["key", "rest", "block"]
-    for table in sorted_groups(batches, keys):
-        sketches, ids = _sketches(table.column("sketch")), table.column("id").to_numpy()
-        bands = np.stack(table.column("bands").to_numpy())
-        parts, sizes, key = (table.column(c).to_numpy() for c in ("component", "n", "key"))
-        inner = table.column("inner").to_numpy().astype(bool)
+    """Verified links between components in groups of two sides. A pair is not looked at
+    once the group's links so far have joined its components."""
+    for table in sorted_groups(batches, GROUP):
+        ids, parts = table.column("id").to_numpy(), table.column("component").to_numpy()
         sets: dict[int, np.ndarray] = {}
 
         def shingles_of(row: int, table=table, ids=ids, sets=sets) -> np.ndarray:
@@ -217,16 +250,10 @@ def _across(batches):
             return sets[ids[row]]
 
         out = []
-        starts = group_starts(table, keys)
-        for first, last in zip(starts, [*starts[1:], table.num_rows]):
-            x, y = np.flatnonzero(inner[first:last]) + first, np.flatnonzero(~inner[first:last]) + first
+        for pairs in _met(table):
             forest = Forest()
             sets.clear()
-            for row in x:
-                fit = y[(parts[y] != parts[row]) & (100 * np.minimum(sizes[y], sizes[row]) >= SIMILAR * np.maximum(sizes[y], sizes[row]))]
-                fit = fit[(sketches[fit] == sketches[row]).sum(axis=1) >= least_agreement()]
-                same = bands[fit] == bands[row]
-                fit = fit[bands[row][same.argmax(axis=1)] == key[row]] if len(fit) else fit
+            for row, fit in pairs:
                 for other in fit:
                     a, b = int(parts[row]), int(parts[other])
                     if forest.find(a) != forest.find(b) and _similar(shingles_of(row), shingles_of(other)):
@@ -251,10 +278,14 @@ def links_across(banded: DataFrame, of: DataFrame, signed: DataFrame, texts: Dat
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     outer = members.withColumn("block", hashed("blocks")).withColumn("rest", F.explode(upto("rests"))).withColumn("inner", F.lit(False))
     inner = members.where("component <> main").withColumn("rest", hashed("rests")).withColumn("block", F.explode(upto("blocks"))).withColumn("inner", F.lit(True))
-    columns = ("key", "rest", "block", "inner", "id", "component")
-    rows = outer.select(*columns).unionByName(inner.select(*columns)).join(signed, "id").join(texts, "id")
-    grouped = rows.repartition("key", "rest", "block").sortWithinPartitions("key", "rest", "block")
-    return mapped(grouped, _across, "a bigint, b bigint")
+    columns = (*GROUP, "inner", "id", "component")
+    rows = outer.select(*columns).unionByName(inner.select(*columns)).join(signed, "id")
+    grouped = lambda frame: frame.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    # sketches go to all groups of a bucket, texts only to those where they may match
+    meeting = scratch.keep(mapped(grouped(rows), _meeting, rows.schema))
+    wanted = meeting.select("id").distinct()
+    few = texts.join(wanted, "id", "left_semi")
+    return mapped(grouped(meeting.join(few, "id")), _across, "a bigint, b bigint")
 
 
 def doc_key():
