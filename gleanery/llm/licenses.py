@@ -3,7 +3,8 @@
 Rules are regular expressions over a text's words (letters, digits and non-ASCII
 characters, A-Z lower-cased) joined by single spaces. They are written as families: each
 license has its names and versions, and a handful of forms in which licenses are cited;
-every combination is a rule, several hundred in all. A rule runs only on texts that hold
+every combination is a rule, several hundred in all. Statements are sentences of the
+licenses themselves, written one by one. A rule runs only on texts that hold
 its keyword, a word of everything it matches; one pattern over all keywords leaves most texts untouched.
 
 Rules have a priority. A detection that lies within another one is suppressed unless its
@@ -115,6 +116,176 @@ STATEMENTS = (
     ("proprietary", "proprietary", r"proprietary and confidential", 3, 0.1),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)\d\d", 1, 0.6),
     ("no-warranty", "warranty", r"provided as is without warranty of any kind", 2, 0.4),
+    # wordings of permissive licenses
+    ("mit", "substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 5, 0.02),
+    ("mit", "deal", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies", 5, 0.01),
+    ("mit", "holders", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", 5, 0.05),
+    ("x11", "consortium", r"except as contained in this notice the name of the x consortium shall not be used in advertising", 5, 0.01),
+    ("curl", "advertising", r"except as contained in this notice the name of a copyright holder shall not be used in advertising", 5, 0.02),
+    ("ncsa", "restriction", r"to deal with the software without restriction", 5, 0.05),
+    ("upl", "condition", r"subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data", 5, 0.01),
+    ("unicode", "obtaining", r"to any person obtaining a copy of (?:the unicode )?data files and any associated documentation", 5, 0.02),
+    ("hpnd", "documentation", r"permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?without fee is hereby granted", 5, 0.05),
+    ("postgresql", "agreement", r"for any purpose without fee and without a written agreement is hereby granted", 5, 0.02),
+    ("postgresql", "california", r"in no event shall the university of california be liable to any party for direct indirect special incidental or consequential damages", 5, 0.1),
+    ("isc", "disclaims", r"the software is provided as is and the author disclaims all warranties with regard to this software", 5, 0.02),
+    ("isc", "whatsoever", r"be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits", 4, 0.2),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 5, 0.02),
+    ("bsd", "reproduce", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", 5, 0.02),
+    ("bsd", "contributors", r"this software is provided by the (?:\S+ ){1,8}and contributors as is and any express or implied warranties", 5, 0.05),
+    ("bsd-2-clause-views", "conclusions", r"the views and conclusions contained in the software and documentation are those of the authors", 5, 0.02),
+    ("bsd-3-clause", "endorse", r"neither the name of (?:\S+ ){1,12}nor the names of its contributors may be used to endorse or promote products", 5, 0.02),
+    ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 5, 0.01),
+    ("apache", "basis", r"software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", 5, 0.03),
+    ("apache", "permissions", r"see the license for the specific language governing permissions and limitations under the license", 5, 0.05),
+    ("apache", "irrevocable", r"a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of", 5, 0.02),
+    ("apache", "prominent", r"you must cause any modified files to carry prominent notices stating that you changed the files", 5, 0.03),
+    ("apache", "contributor", r"licensed to the apache software foundation asf under one or more contributor license agreements", 5, 0.01),
+    ("apache-1.1", "apache", r"this product includes software developed by the apache (?:software foundation|group)", 5, 0.03),
+    ("apache-1.1", "apache", r"products derived from this software may not be called apache", 5, 0.01),
+    ("zlib", "held", r"without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", 5, 0.01),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 5, 0.02),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such", 5, 0.02),
+    ("libpng", "png", r"the png reference library is supplied as is", 5, 0.01),
+    ("bsl", "organization", r"to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 5, 0.01),
+    ("bsl", "executable", r"solely in the form of machine executable object code generated by a source language processor", 5, 0.01),
+    ("ms-pl", "contribution", r"each contributor grants you a non exclusive worldwide royalty free copyright license to reproduce its contribution", 5, 0.05),
+    ("ms-pl", "accept", r"if you use the software you accept this license if you do not accept the license do not use the software", 5, 0.05),
+    ("ms-rl", "recipients", r"you must provide recipients the source code to that file along with a copy of this license", 5, 0.02),
+    ("psf", "licensee", r"this license agreement is between the python software foundation psf and the individual or organization licensee", 5, 0.01),
+    ("psf", "beopen", r"beopen (?:com license|python open source license) agreement", 5, 0.02),
+    ("psf", "cnri", r"cnri (?:open source )?license agreement for python", 5, 0.02),
+    ("psf", "mathematisch", r"stichting mathematisch centrum amsterdam", 4, 0.1),
+    ("php", "php", r"this product includes php software freely available from", 5, 0.02),
+    ("php", "php", r"the name php must not be used to endorse or promote products derived from this software", 5, 0.01),
+    ("ruby", "verbatim", r"you may make and give away verbatim copies of the source form of the software without restriction", 5, 0.02),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project", 5, 0.02),
+    ("ssleay", "cryptographic", r"this product includes cryptographic software written by eric young", 5, 0.01),
+    ("w3c", "royalty", r"with or without modification for any purpose and without fee or royalty is hereby granted", 5, 0.03),
+    ("tcl", "authors", r"the authors hereby grant permission to use copy modify distribute and license this software and its documentation for any purpose", 5, 0.01),
+    ("ijg", "jpeg", r"this software is based in part on the work of the independent jpeg group", 5, 0.01),
+    ("ftl", "freetype", r"the freetype project license|portions of this software are copyright (?:\S+ ){1,4}the freetype project", 5, 0.02),
+    ("info-zip", "individuals", r"info zip is defined as the following set of individuals", 5, 0.01),
+    ("json", "evil", r"the software shall be used for good not evil", 5, 0.01),
+    ("beerware", "beer", r"you think this stuff is worth it you can buy me a beer in return", 5, 0.01),
+    ("vim", "charityware", r"vim is charityware", 5, 0.02),
+    ("wtfpl", "fuck", r"you just do what the fuck you want to", 5, 0.02),
+    ("wtfpl", "verbatim", r"verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", 5, 0.01),
+    ("blueoak", "oak", r"blue oak model license", 5, 0.02),
+    ("blueoak", "revoke", r"no contributor can revoke this license", 5, 0.05),
+    ("mulan", "mulan", r"mulan permissive software license", 5, 0.02),
+    ("ecl", "educational", r"educational community license", 4, 0.05),
+    ("zpl", "zope", r"zope public license", 4, 0.05),
+    ("aal", "assurance", r"attribution assurance license", 4, 0.05),
+    ("lucent", "lucent", r"lucent public license", 4, 0.05),
+    # wordings of reciprocal licenses
+    ("gnu", "hope", r"distributed in the hope that it will be useful but without any warranty", 5, 0.05),
+    ("gnu", "option", r"either version [123](?: \d)? of the license or at your option any later version", 5, 0.03),
+    ("gnu", "franklin", r"free software foundation inc 51 franklin st(?:reet)?", 4, 0.1),
+    ("gnu", "temple", r"free software foundation inc 59 temple place", 4, 0.1),
+    ("gnu", "verbatim", r"verbatim copies of this license document but changing it is not allowed", 5, 0.03),
+    ("gpl", "received", r"you should have received a copy of the gnu general public license", 5, 0.02),
+    ("lgpl", "received", r"you should have received a copy of the gnu (?:lesser|library) general public license", 5, 0.02),
+    ("agpl", "received", r"you should have received a copy of the gnu affero general public license", 5, 0.02),
+    ("gpl-2.0", "freedom", r"the licenses for most software are designed to take away your freedom to share and change it", 5, 0.02),
+    ("gpl-2.0", "activities", r"activities other than copying distribution and modification are not covered by this license", 5, 0.02),
+    ("gpl-3.0", "copyleft", r"the gnu general public license is a free copyleft license for software and other kinds of works", 5, 0.01),
+    ("gpl-3.0", "convey", r"you may convey verbatim copies of the program s source code as you receive it", 5, 0.02),
+    ("gpl-3.0", "propagate", r"to propagate a work means to do anything with it that without permission would make you", 5, 0.02),
+    ("gpl-3.0", "corresponding", r"the corresponding source for a work in object code form means all the source code needed", 5, 0.02),
+    ("gpl-linking-exception", "exception", r"as a special exception the copyright holders of this (?:library|program|file) give you permission to link", 5, 0.02),
+    ("classpath-exception", "statically", r"linking this library statically or dynamically with other modules is making a combined work", 5, 0.02),
+    ("bison-exception", "bison", r"a larger work that contains part or all of the bison parser skeleton", 5, 0.01),
+    ("gcc-exception", "gcc", r"gcc runtime library exception", 5, 0.02),
+    ("llvm-exception", "llvm", r"llvm exceptions to the apache 2 0 license", 5, 0.01),
+    ("lgpl-2.1", "derivative", r"a work that contains no derivative of any portion of the library but is designed to work with the library", 5, 0.02),
+    ("lgpl-2.1", "specially", r"applies to some specially designated software packages", 5, 0.05),
+    ("lgpl-3.0", "application", r"an application is any work that makes use of an interface provided by the library", 5, 0.02),
+    ("agpl-3.0", "remotely", r"must prominently offer all users interacting with it remotely through a computer network", 5, 0.01),
+    ("agpl-3.0", "remote", r"remote network interaction use with the gnu general public license", 5, 0.02),
+    ("gfdl", "document", r"copy distribute and or modify this document under the terms of the gnu free documentation license", 5, 0.01),
+    ("gfdl", "invariant", r"with no invariant sections no front cover texts and no back cover texts", 5, 0.02),
+    ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license", 5, 0.01),
+    ("mpl-2.0", "mpl", r"if a copy of the mpl was not distributed with this file", 5, 0.01),
+    ("mpl-2.0", "incompatible", r"incompatible with secondary licenses", 5, 0.05),
+    ("mpl", "contents", r"the contents of this file are subject to the mozilla public license", 5, 0.02),
+    ("mpl", "governing", r"see the license for the specific language governing rights and limitations under the license", 5, 0.05),
+    ("npl", "netscape", r"subject to the netscape public license", 5, 0.02),
+    ("epl", "accompanying", r"this program and the accompanying materials are made available under the terms of the eclipse public license", 5, 0.01),
+    ("epl", "accompanying", r"the accompanying program is provided under the terms of this eclipse public license", 5, 0.01),
+    ("cpl", "accompanying", r"the accompanying program is provided under the terms of this common public license", 5, 0.01),
+    ("cddl", "contents", r"the contents of this file are subject to the terms of the common development and distribution license", 5, 0.01),
+    ("cddl", "header", r"include this cddl header in each file", 5, 0.02),
+    ("cddl", "opensolaris", r"usr src opensolaris license", 5, 0.05),
+    ("artistic-1.0", "intent", r"the intent of this document is to state the conditions under which a package may be copied", 5, 0.01),
+    ("artistic-1.0", "verbatim", r"verbatim copies of the source form of the standard version of this package", 5, 0.02),
+    ("artistic-2.0", "establishes", r"this license establishes the terms under which a given free software package may be copied", 5, 0.01),
+    ("perl", "perl", r"the same terms as (?:perl itself|the perl 5 programming language system itself)", 5, 0.03),
+    ("ofl", "font", r"this font software is licensed under the sil open font license", 5, 0.01),
+    ("ofl", "font", r"neither the font software nor any of its individual components in original or modified versions may be sold by itself", 5, 0.01),
+    ("eupl", "european", r"this european union public licence the \S*eupl\S* applies to the work", 5, 0.01),
+    ("osl", "sublicensable", r"a worldwide royalty free non exclusive sublicensable license for the duration of the copyright", 5, 0.05),
+    ("sleepycat", "accompanied", r"redistributions in any form must be accompanied by information on how to obtain complete source code", 5, 0.01),
+    ("lppl", "latex", r"latex project public license", 5, 0.03),
+    ("qpl", "q", r"the q public license", 4, 0.05),
+    ("apsl", "apple", r"apple public source license", 4, 0.05),
+    ("rpl", "reciprocal", r"reciprocal public license", 4, 0.05),
+    ("cpal", "attribution", r"common public attribution license", 4, 0.05),
+    ("cecill", "cecill", r"cecill(?: b| c)? free software license agreement", 4, 0.03),
+    ("watcom", "watcom", r"sybase open watcom public license", 4, 0.03),
+    ("nasa", "nasa", r"nasa open source agreement", 4, 0.05),
+    ("parity", "parity", r"parity public license", 4, 0.05),
+    # wordings for content and data
+    ("cc", "redistribute", r"copy and redistribute the material in any medium or format", 5, 0.03),
+    ("cc-by", "commercially", r"remix transform and build upon the material for any purpose even commercially", 5, 0.05),
+    ("cc", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made", 5, 0.03),
+    ("cc-by-nc", "commercial", r"you may not use the material for commercial purposes", 5, 0.05),
+    ("cc-by-sa", "contributions", r"build upon the material you must distribute your contributions under the same license as the original", 5, 0.03),
+    ("cc-by-nd", "modified", r"build upon the material you may not distribute the modified material", 5, 0.03),
+    ("cc", "firm", r"creative commons corporation is not a law firm and does not provide legal services", 5, 0.02),
+    ("cc", "exercising", r"by exercising the licensed rights defined below you accept and agree to be bound by the terms", 5, 0.02),
+    ("cc", "commons", r"this work is licensed under a creative commons", 5, 0.05),
+    ("cc0", "waived", r"waived all copyright and related or neighboring rights", 5, 0.02),
+    ("cc0", "affirmer", r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives", 5, 0.01),
+    ("cc0", "deed", r"the person who associated a work with this deed has dedicated the work to the public domain", 5, 0.01),
+    ("odbl", "contents", r"any rights in individual contents of the database are licensed under the database contents license", 5, 0.01),
+    ("odbl", "database", r"is made available under the open database license", 5, 0.03),
+    ("odc-by", "attribution", r"open data commons attribution license", 5, 0.02),
+    ("pddl", "dedication", r"open data commons public domain dedication and licen[cs]e", 5, 0.02),
+    ("ogl", "government", r"public sector information licensed under the open government licen[cs]e", 5, 0.01),
+    ("gutenberg", "ebook", r"this ebook is for the use of anyone anywhere", 5, 0.02),
+    ("gutenberg", "gutenberg", r"the project gutenberg license included with this ebook", 5, 0.01),
+    ("arxiv", "arxiv", r"arxiv org perpetual non exclusive license", 5, 0.02),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 5, 0.01),
+    ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software", 5, 0.02),
+    ("blessing", "blessing", r"in place of a legal notice here is a blessing", 5, 0.01),
+    ("nist", "pursuant", r"pursuant to title 17 section 105 of the united states code this software is not subject to copyright protection", 5, 0.01),
+    ("us-government", "government", r"works? of the (?:united states|u s) government", 3, 0.2),
+    # wordings of restricted use
+    ("busl", "production", r"redistribute and make non production use of the licensed work", 5, 0.01),
+    ("busl", "anniversary", r"the fourth anniversary of the first publicly available distribution", 5, 0.02),
+    ("sspl", "functionality", r"make the functionality of the program or a modified version available to third parties as a service", 5, 0.01),
+    ("elastic", "hosted", r"you may not provide the software to third parties as a hosted or managed service", 5, 0.01),
+    ("elastic", "circumvent", r"you may not move change disable or circumvent the license key functionality", 5, 0.01),
+    ("commons-clause", "sell", r"the license does not grant to you the right to sell the software", 5, 0.02),
+    ("commons-clause", "clause", r"commons clause license condition", 5, 0.02),
+    ("polyform", "polyform", r"polyform (?:noncommercial|small business|shield|perimeter|strict) license", 5, 0.02),
+    ("prosperity", "prosperity", r"prosperity public license", 4, 0.05),
+    ("hippocratic", "hippocratic", r"hippocratic license", 4, 0.05),
+    ("llama", "monthly", r"greater than 700 million monthly active users", 5, 0.02),
+    ("llama", "llama", r"limited license under meta s intellectual property (?:\S+ ){1,12}llama materials", 5, 0.02),
+    ("gemma", "gemma", r"gemma is provided under and subject to the gemma terms of use", 5, 0.01),
+    ("openrail", "derivatives", r"you agree not to use the model or derivatives of the model", 5, 0.03),
+    ("openrail", "enforceable", r"must be included as an enforceable provision", 4, 0.1),
+    ("patent-grant", "patent", r"additional grant of patent rights", 4, 0.1),
+    ("eula", "decompile", r"reverse engineer decompile or disassemble", 3, 0.2),
+    ("eula", "user", r"end user licen[cs]e agreement", 3, 0.2),
+    ("proprietary", "unauthorized", r"unauthorized copying of this file via any medium is strictly prohibited", 5, 0.02),
+    ("proprietary", "reproduced", r"no part of this (?:publication|book|document|work) may be reproduced", 4, 0.1),
+    ("proprietary", "reproduction", r"reproduction in whole or in part without (?:written )?permission is prohibited", 4, 0.1),
+    ("proprietary", "confidential", r"the confidential and proprietary information of", 3, 0.1),
+    ("research-only", "research", r"for (?:academic )?research (?:use|purposes) only", 3, 0.2),
+    ("non-commercial", "commercial", r"for (?:personal and |personal )?non commercial (?:use|purposes) only", 3, 0.2),
 )
 
 

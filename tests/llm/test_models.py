@@ -258,6 +258,15 @@ class TestLicenses:
         got = licenses.Scanner(None).scan(pa.array([text]))[5][0]
         assert set(labels.split(",")) <= set(got.split(","))
 
+    def test_statements_are_found(self):
+        plain = [s for s in licenses.STATEMENTS if re.fullmatch(r"[a-z0-9 ]+", s[2])]
+        assert len(plain) > 120
+        scanner = licenses.Scanner(None)
+        for label, keyword, pattern, *_ in plain:
+            assert keyword in pattern.split(), pattern
+            found = scanner.scan(pa.array([f"Some text, then: {pattern.upper()}. And more."]))[5][0].split(",")
+            assert label in found, (pattern, found)
+
     def matching(self, parsed, rng):
         """A random text that a parsed pattern matches."""
         made = ""
