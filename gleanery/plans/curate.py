@@ -18,7 +18,7 @@ from gleanery.operators.stats import (
     selection_summary,
 )
 from gleanery.rules import DEFAULT_SCORING_CONFIG, ScoringConfig
-from gleanery.runtime import BUCKET_ROWS, ensure_checkpoint_dir, held, release
+from gleanery.runtime import PAYLOAD_ROWS, ensure_checkpoint_dir, held, release
 from gleanery.sources.annotations import prune_annotations, scan_annotations
 from gleanery.sources.dataset import read_dataset
 from gleanery.sources.positions import (
@@ -72,13 +72,13 @@ class Curated:
         files = files_of(self.offsets, [row["source_pos"] for row in positions])
         return attach_positions(only_files(self.table, files), self.offsets, "source_pos")
 
-    def aligned(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
+    def aligned(self, order: str = "draw", per_shard: int = PAYLOAD_ROWS) -> DataFrame:
         """Source columns plus ``out_pos``, ``source_pos`` and ``score``, sorted by
         ``out_pos`` within and across partitions."""
         rows, _, _ = self._gather(per_shard, order)
         return rows.select(*self.columns, "out_pos", "source_pos", F.col("_score").alias("score"))
 
-    def data(self, order: str = "draw", per_shard: int = BUCKET_ROWS) -> DataFrame:
+    def data(self, order: str = "draw", per_shard: int = PAYLOAD_ROWS) -> DataFrame:
         """The selected rows with exactly the source columns, in output order."""
         return self.shards(per_shard, order)[0]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.gather import RESERVED, gather_ordered
 from gleanery.operators.selection import Selection
-from gleanery.runtime import BUCKET_ROWS, held
+from gleanery.runtime import PAYLOAD_ROWS, held
 from gleanery.sources.dataset import read_dataset
 from gleanery.sources.positions import attach_positions, file_offsets, unfiltered
 
@@ -32,7 +32,7 @@ def checked_selection(positions: DataFrame, source_rows: int, order_col: str | N
 
 
 def gather_positions(
-    dataset: DataFrame | str, positions: DataFrame, order_col: str | None = None, per_shard: int = BUCKET_ROWS,
+    dataset: DataFrame | str, positions: DataFrame, order_col: str | None = None, per_shard: int = PAYLOAD_ROWS,
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """Rows of a folder of parquet files, or of an unfiltered parquet-backed frame, at

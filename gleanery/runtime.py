@@ -19,6 +19,9 @@ BROADCAST_BYTES = 256 << 20
 CACHE_ROWS = 50_000_000
 # Target rows of one sorted bucket or block: slim rows, some 20 MB of them.
 BUCKET_ROWS = 1 << 20
+# Rows with their payload in one sorted shard, where the caller names no number: 256 MB
+# of a task's memory at 4 KB a row.
+PAYLOAD_ROWS = 1 << 16
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

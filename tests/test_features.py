@@ -19,6 +19,7 @@ from gleanery.operators.selection import Selection
 from gleanery.operators.sketches import RANK_ERROR, approximate_distribution, merged_sketches, score_sketches
 from gleanery.operators.stats import distribution_frame, profile, score_distribution
 from gleanery.plans import job
+from gleanery.runtime import PAYLOAD_ROWS
 from gleanery.sinks import files, shards
 from gleanery.sinks.shards import pending, write_shards
 from tests.util import quality_rules, scored_frame, write_annotations, write_source
@@ -90,6 +91,21 @@ class TestKeys:
         by_key = curate(frame, notes, WR, quality_rules(), row_key="id", **options).aligned().collect()
         assert by_key == by_file and len(by_key) == 200
 
+    @pytest.mark.parametrize("row_key, cap", [(None, None)])
+    def test_no_task_holds_all_of_a_large_selection(self, spark, tmp_path, row_key, cap):
+        n = 2 * PAYLOAD_ROWS + 9
+        source = write_source(tmp_path / "s", files=3, rows=60)
+        notes = write_annotations(tmp_path / "a.parquet", [f"d{i:04d}" for i in range(180)], ["excellent"] * 180)
+        frame = spark.read.parquet(f"{source}/data")
+        with curate(frame, notes, WR, quality_rules(), n_samples=n, max_duplications=cap, row_key=row_key, spark=spark) as curated:
+            for rows in (curated.aligned(), curated.aligned("source")):
+                parts = rows.groupBy(F.spark_partition_id().alias("part")).agg(
+                    F.count(F.lit(1)).alias("rows"), F.min("out_pos").alias("low"), F.max("out_pos").alias("high"))
+                assert sorted((r["part"], r["rows"], r["low"], r["high"]) for r in parts.collect()) == [
+                    (0, PAYLOAD_ROWS, 0, PAYLOAD_ROWS - 1), (1, PAYLOAD_ROWS, PAYLOAD_ROWS, 2 * PAYLOAD_ROWS - 1),
+                    (2, 9, 2 * PAYLOAD_ROWS, n - 1)]
+            assert curated.data().rdd.getNumPartitions() == 3
+
 
 class TestOnTheWay:
     @pytest.fixture(scope="class")
