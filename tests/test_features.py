@@ -91,7 +91,7 @@ class TestKeys:
         by_key = curate(frame, notes, WR, quality_rules(), row_key="id", **options).aligned().collect()
         assert by_key == by_file and len(by_key) == 200
 
-    @pytest.mark.parametrize("row_key, cap", [(None, None), ("id", None)])
+    @pytest.mark.parametrize("row_key, cap", [(None, None), ("id", None), (None, 1000)])
     def test_no_task_holds_all_of_a_large_selection(self, spark, tmp_path, row_key, cap):
         n = 2 * PAYLOAD_ROWS + 9
         source = write_source(tmp_path / "s", files=3, rows=60)
