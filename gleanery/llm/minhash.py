@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, built_once, chunks, group_starts, mapped, read_table, sorted_groups
 from gleanery.llm.components import Forest, connected_components
+from gleanery.operators.gather import rows_at
 
 SHINGLE, SIMILAR = 5, 75  # words; percent
 PLACES, BANDS, BAND_ROWS = 1 << 22, 32, 4
@@ -192,8 +193,8 @@ def verified_pairs(pairs: DataFrame, signed: DataFrame, docs: DataFrame, scratch
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     sized = sized.where(f"100 * least(n_a, n_b) >= {SIMILAR} * greatest(n_a, n_b)").select("a", "b", "sketch_a", "sketch_b")
     close = scratch.keep(mapped(sized, _alike, "a bigint, b bigint").distinct())
-    wanted = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = scratch.keep(docs.join(wanted, "id", "left_semi"))  # texts of candidates only
+    wanted = close.select(F.explode(F.array("a", "b")).alias("id"))
+    texts = scratch.keep(rows_at(docs, wanted, "id"))  # texts of candidates only
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     links = scratch.keep(mapped(close.join(left, "a").join(right, "b"), _verified, "a bigint, b bigint").distinct())
@@ -283,8 +284,7 @@ def links_across(banded: DataFrame, of: DataFrame, signed: DataFrame, texts: Dat
     grouped = lambda frame: frame.repartition(*GROUP).sortWithinPartitions(*GROUP)
     # sketches go to all groups of a bucket, texts only to those where they may match
     meeting = scratch.keep(mapped(grouped(rows), _meeting, rows.schema))
-    wanted = meeting.select("id").distinct()
-    few = texts.join(wanted, "id", "left_semi")
+    few = rows_at(texts, meeting.select("id"), "id")
     return mapped(grouped(meeting.join(few, "id")), _across, "a bigint, b bigint")
 
 

@@ -164,6 +164,19 @@ def _near(source: DataFrame, positions: DataFrame, blocks: int, budget: int, *by
     )
 
 
+def rows_at(source: DataFrame, positions: DataFrame, at: str = "source_pos", budget: int = BROADCAST_BYTES) -> DataFrame:
+    """Source rows whose ``at``, a bigint from 0, is among ``positions`` (its only column,
+    repeats allowed). The rows are not shuffled while a bitmap of the positions fits the
+    budget: BITMAP_ROWS / 8 bytes for each block of BITMAP_ROWS that holds one."""
+    source, chosen = source.withColumnRenamed(at, "source_pos"), positions.toDF("source_pos")
+    blocks = chosen.select(_bitmap_block()).distinct().count()
+    near = _near(source, chosen, blocks, budget)
+    found = source if near is None else near
+    if blocks * (BITMAP_ROWS // 8 + RANGE_BYTES) > budget:
+        found = found.join(chosen, "source_pos", "left_semi")
+    return found.select(*source.columns).withColumnRenamed("source_pos", at)
+
+
 def shard_directory(slots: DataFrame, width: int) -> DataFrame:
     """``(_block, _starts, _shards)``: the shards of all selected positions of a block,
     ``width`` bytes each, in order of position, and where each position's list starts

@@ -16,6 +16,7 @@ from gleanery.llm.embedding_dedup import near_vectors, table_plan
 from gleanery.llm.minhash import near_duplicates
 from gleanery.llm import simhash
 from gleanery.llm.simhash import compared_documents, edited_documents, fingerprints, near_fingerprints, next_documents
+from tests.test_features import plan_of
 
 
 class Groups:
@@ -53,6 +54,11 @@ def brute_groups(rows):
     return {i: (len(sets[i]), groups.find(i), groups.find(i) == i) for i in ids}
 
 
+def moved(plan):
+    """Exchanges that carry texts."""
+    return re.findall(r"\(\d+\) \w*Exchange\n(?:Input|Output) \[\d+\]: \[[^\]]*text#[^\]]*\]", plan)
+
+
 class TestMinhash:
     def test_against_brute_force(self, spark):
         rng = random.Random(5)
@@ -73,6 +79,28 @@ class TestMinhash:
         frame = spark.createDataFrame([(i, t, 1, "n") for i, t in rows], "doc_id bigint, text string, id int, key string").repartition(5)
         assert {r.doc_id: tuple(r)[1:] for r in near_duplicates(frame).collect()} == brute_groups(rows)
 
+    @pytest.fixture
+    def joined_by_sort(self, spark):
+        """As with tables too large to be broadcast unasked."""
+        name, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set(name, "-1")
+        yield
+        spark.conf.set(name, was)
+
+    def test_texts_are_chosen_without_a_shuffle(self, spark, joined_by_sort, monkeypatch):
+        rows = [(i, f"{'a b c d e f g h i j k l m n o p q r s t u v w x y z ' * 2}{i % 9} {i % 9}") for i in range(40)]
+        plans, keep = [], Scratch.keep
+
+        def kept(scratch, df, **options):
+            if df.columns == ["id", "text"]:
+                plans.append(plan_of(df))
+            return keep(scratch, df, **options)
+
+        monkeypatch.setattr(Scratch, "keep", kept)
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        assert {r.doc_id: tuple(r)[1:] for r in near_duplicates(frame).collect()} == brute_groups(rows)
+        assert len(plans) == 1 and not moved(plans[0])
+
     def test_edges(self, spark):
         schema = "doc_id bigint, text string"
         assert near_duplicates(spark.createDataFrame([], schema)).collect() == []

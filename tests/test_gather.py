@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators.gather import _dealt, _near, check_positions, gather_ordered, gather_rows, order_source, source_order
+from gleanery.operators.gather import _dealt, _near, check_positions, gather_ordered, gather_rows, order_source, rows_at, source_order
 from gleanery.operators.ranking import bucket_counts, global_position, n_smallest, position_by_bucket
 from gleanery.operators.selection import Selection
 from gleanery.sources import read_dataset, with_source_pos
@@ -204,6 +204,16 @@ class TestGather:
         near = _near(source, chosen.rows, 4, 1 << 20)
         assert sorted(r["source_pos"] for r in near.collect()) == positions
 
+    @pytest.mark.parametrize("budget", [0, 100, 2 * 96, 1 << 20])  # none, ranges of one block, of two, bitmaps
+    def test_rows_at(self, spark, budget):
+        far = 3 << 33  # as in the third partition of monotonically increasing ids
+        rows = spark.range(40_000).union(spark.range(far, far + 200)).select(F.col("id").alias("at"), F.hex("id").alias("text"))
+        for wanted in ([0, 8, 32767, far + 1], [39_999, 7, far + 199, far, 8, 8, 7], []):
+            positions = spark.createDataFrame([(i,) for i in wanted], "a bigint")
+            got = rows_at(rows, positions, "at", budget)
+            assert got.columns == ["at", "text"]
+            assert sorted(map(tuple, got.collect())) == [(i, f"{i:X}") for i in sorted(set(wanted))]
+
     def test_source_order_positions(self, spark):
         chosen = self.selection(spark, [5, 5, 199, 0, 5])
         placed, total = source_order(chosen.rows, block_rows=3)
