@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import language_id, minhash, packing, toxicity
 from gleanery.llm.common import Scratch, bounded, read_table
+from gleanery.operators.gather import rows_at
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
@@ -53,7 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = scratch.keep(docs.select(*COLUMNS, minhash.row_key()))
     first = minhash.first_rows(rows.select("id", minhash.doc_key(), bounded()), scratch)
     scratch.sweep(rows, first)
-    return rows.join(first, "id", "left_semi").select(*COLUMNS)
+    return rows_at(rows, first, "id").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

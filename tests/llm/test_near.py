@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gleanery.llm.common import Scratch
 from gleanery.llm.components import connected_components
 from gleanery.llm.embedding_dedup import near_vectors, table_plan
@@ -101,6 +102,12 @@ class TestMinhash:
         assert {r.doc_id: tuple(r)[1:] for r in near_duplicates(frame).collect()} == brute_groups(rows)
         assert len(plans) == 1 and not moved(plans[0])
 
+    def test_pipeline_keeps_rows_without_a_shuffle(self, spark, joined_by_sort):
+        docs = spark.createDataFrame([(i, f"a b c d e f {i // 2}", "en", "s", 13) for i in range(20)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        assert not moved(plan_of(found))
+        assert sorted(r.doc_id for r in found.collect()) == list(range(0, 20, 2))
+
     def test_edges(self, spark):
         schema = "doc_id bigint, text string"
         assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
