@@ -1,9 +1,10 @@
 """Token ids of whole texts by a word-level tokenizer of the ``tokenizers`` library.
 
 White space always separates this tokenizer's words, so a text's ids are the ids of its
-words in order. Each worker keeps the ids of words it has seen; only new words go to the
-library, and of "Word!!" only "word" and "!!" if these are new. Other words, such as those
-with digits, inner signs or rarer letters, go to the library as they stand.
+words in order. Each worker keeps the ids of words it has seen, and once these are too many
+those that came again most often; only new words go to the library, and of "Word!!" only
+"word" and "!!" if these are new. Other words, such as those with digits, inner signs or
+rarer letters, go to the library as they stand.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 
 from gleanery.llm.common import built_once, flatten
 
-# Words that a worker remembers; beyond it the memory starts anew.
+# Words that a worker remembers, but for a batch with more words than these.
 CACHE_WORDS = 300_000
 SIGNS = string.punctuation
 _JOINED = 200
@@ -31,11 +32,12 @@ class Ids:
         self.rows: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int32)  # batches that had the string
 
     def add(self, names: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         base, end = len(self.rows), len(self.rows) + len(names)
         self.flat = _room(self.flat, self.used + len(flat))
-        self.starts, self.counts = _room(self.starts, end), _room(self.counts, end)
+        self.starts, self.counts, self.uses = (_room(x, end) for x in (self.starts, self.counts, self.uses))
         self.flat[self.used:self.used + len(flat)] = flat
         self.starts[base:end] = self.used + np.cumsum(counts) - counts
         self.counts[base:end] = counts
@@ -43,7 +45,21 @@ class Ids:
         self.used += len(flat)
 
     def rows_of(self, names: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))
+        """Rows of different names."""
+        rows = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))
+        self.uses[rows] += 1
+        return rows
+
+    def recurring(self, most: int) -> Ids:
+        """A copy of at most so many strings, those used most often and more than once.
+        Their uses are halved, so that what no longer comes goes in time."""
+        uses = self.uses[:len(self.rows)]
+        rows = np.argsort(-uses, kind="stable")[:max(0, most)]
+        rows = np.sort(rows[uses[rows] > 1])
+        names, kept = list(self.rows), Ids()
+        kept.add([names[i] for i in rows], *self.get(rows))
+        kept.uses[:len(rows)] = uses[rows] // 2
+        return kept
 
     def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.counts[rows]
@@ -92,8 +108,6 @@ class WordIds:
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
         words, at = coded.dictionary, coded.indices.to_numpy()
-        if len(self.parts.rows) + 2 * len(words) > CACHE_WORDS:
-            self.parts = Ids()
         # letters, then signs: the library splits there. Below U+0130 lower case and
         # composition work by single characters.
         core = pc.utf8_rtrim(words, characters=SIGNS)
@@ -103,9 +117,12 @@ class WordIds:
         of_word = pieces.indices.to_numpy()
         letters = np.zeros(len(pieces.dictionary), bool)
         letters[of_word] = simple
-        first = self._rows(pieces.dictionary, letters)[of_word]
         tailed = simple & (pc.binary_length(words).to_numpy() > pc.binary_length(core).to_numpy())
         tails = pc.extract_regex(words.filter(pa.array(tailed)), f"(?P<tail>[{re.escape(SIGNS)}]*)$").field(0).dictionary_encode()
+        room = CACHE_WORDS - len(pieces.dictionary) - len(tails.dictionary)
+        if len(self.parts.rows) > room:
+            self.parts = self.parts.recurring(room)
+        first = self._rows(pieces.dictionary, letters)[of_word]
         second = np.full(len(words), -1)
         second[tailed] = self._rows(tails.dictionary, np.zeros(len(tails.dictionary), bool))[tails.indices.to_numpy()]
         both = np.stack([first, second], axis=1)[at].ravel()

@@ -66,6 +66,24 @@ class TestTokenFiles:
         ids, counts = own.encode(pa.array(texts))
         assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
+    def test_recurring_words_outlast_a_full_memory(self, word_model, monkeypatch):
+        monkeypatch.setattr("gleanery.llm.word_tokens.CACHE_WORDS", 150)
+        own, library, asked = WordIds(open(word_model).read()), Tokenizer.from_file(word_model), []
+        by_library = own._by_library
+        monkeypatch.setattr(own, "_by_library", lambda texts: asked.append(" ".join(texts)) or by_library(texts))
+        common = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(30)]
+        letters = "klmnopqrstuvwxyz"
+        for k in range(12):
+            rare = [f"q{letters[k]}{letters[i // 10]}{letters[i % 10]}" for i in range(40)]
+            texts = [" ".join(common[::-1]) + "!", " ".join(rare + common[:5]), ""]
+            want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+            ids, counts = own.encode(pa.array(texts))
+            assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+            assert len(own.parts.rows) <= 150
+        assert sum(a.split().count("waa") for a in asked) == 1
+        many = [" ".join(rare + common + [f"z{i}" for i in range(120)])]  # more words than it keeps
+        assert own.encode(pa.array(many))[0].tolist() == library.encode(many[0], add_special_tokens=False).ids
+
     def test_files(self, spark, documents, word_model):
         library = Tokenizer.from_file(word_model)
         path = Scratch(spark).path()
