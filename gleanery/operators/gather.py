@@ -170,7 +170,7 @@ def rows_at(source: DataFrame, positions: DataFrame, at: str = "source_pos", bud
     budget: BITMAP_ROWS / 8 bytes for each block of BITMAP_ROWS that holds one."""
     source, chosen = source.withColumnRenamed(at, "source_pos"), positions.toDF("source_pos")
     blocks = chosen.select(_bitmap_block()).distinct().count()
-    near = _near(source, chosen, blocks, budget)
+    near = _near(source, chosen.distinct(), blocks, budget)  # so that no block has more rows than bits
     found = source if near is None else near
     if blocks * (BITMAP_ROWS // 8 + RANGE_BYTES) > budget:
         found = found.join(chosen, "source_pos", "left_semi")
