@@ -93,7 +93,8 @@ def bounded(text_column: str = "text"):
 
 
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold about ``limit`` characters, one row at least."""
+    """Slices of a batch that hold about ``limit`` characters, one row at least. What a
+    slice has freed goes back before the next one."""
     sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     first = 0
@@ -102,6 +103,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_CHARS)
         last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(first, last - first)
         first = last
+        release_unused()
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -159,8 +161,13 @@ def built_once(value: object, build: Callable):
 
 
 def give_back() -> None:
-    """Return what Arrow and the C library hold of freed memory to the system."""
+    """Return all freed memory to the system, that of unreachable objects too."""
     gc.collect()
+    release_unused()
+
+
+def release_unused() -> None:
+    """Return what Arrow and the C library hold of freed memory to the system."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError):  # of glibc alone
         ctypes.CDLL(None).malloc_trim(0)

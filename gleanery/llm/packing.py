@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, chunks, flatten, mapped, read_table, share_text
-from gleanery.llm.word_tokens import word_ids
+from gleanery.llm.word_tokens import SLICE_CHARS, word_ids
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) in order of place
 
@@ -221,7 +221,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -
     def run(batches):
         encoder = word_ids(model.value)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=SLICE_CHARS):
                 ids, counts = encoder.encode(part.column("text"))
                 lengths = counts + 1
                 ends = np.cumsum(lengths)

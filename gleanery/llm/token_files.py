@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, chunks, flatten, read_table, share_text
-from gleanery.llm.word_tokens import word_ids
+from gleanery.llm.word_tokens import SLICE_CHARS, word_ids
 
 FILE_SCHEMA = "doc_id bigint, shard int, place bigint, n_tokens bigint, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 32 << 20, 256 << 10
@@ -35,7 +35,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches):
         encoder, place = word_ids(model.value), 0
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=SLICE_CHARS):
                 ids, counts = encoder.encode(part.column("text"))
                 lengths = counts + 1
                 ends = np.cumsum(lengths)

@@ -22,6 +22,8 @@ from gleanery.llm.common import built_once, flatten
 # Words that a worker remembers, but for a batch with more words than these.
 CACHE_WORDS = 300_000
 SIGNS = string.punctuation
+# Characters of text that a worker encodes at a time.
+SLICE_CHARS = 1 << 20
 _JOINED = 200
 
 

@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from gleanery.llm import common
 from gleanery.llm.byte_bpe import ByteBpe, decode_ids, encode_texts, round_trip
-from gleanery.llm.common import Scratch
+from gleanery.llm.common import Scratch, chunks
 from gleanery.llm.packing import Remaining, best_fit, pack_documents, plan_packing, reduce_dominated
 from gleanery.llm.token_files import checksums, read_token_files, token_starts, write_token_files
 from gleanery.llm.word_tokens import WordIds
@@ -84,6 +85,14 @@ class TestTokenFiles:
         many = [" ".join(rare + common + [f"z{i}" for i in range(120)])]  # more words than it keeps
         assert own.encode(pa.array(many))[0].tolist() == library.encode(many[0], add_special_tokens=False).ids
 
+    def test_slices_give_memory_back(self, monkeypatch):
+        released = []
+        monkeypatch.setattr(common, "release_unused", lambda: released.append(1), raising=False)
+        batch = pa.RecordBatch.from_pydict({"text": ["a" * 6, "b" * 6, "c" * 30, None, "d"]})
+        held = [(part.column("text").to_pylist(), len(released)) for part in chunks(batch, limit=12)]
+        assert held == [(["a" * 6, "b" * 6], 0), (["c" * 30], 1), ([None, "d"], 2)]
+        assert len(released) == 3
+
     def test_files(self, spark, documents, word_model):
         library = Tokenizer.from_file(word_model)
         path = Scratch(spark).path()
