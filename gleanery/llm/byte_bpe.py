@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bounded, chunks, flatten, read_table, share_text, ship_package
+from gleanery.llm.common import bounded, byte_alphabet, chunks, flatten, read_table, share_text, ship_package
 from gleanery.llm.word_tokens import Ids
 
 # Pieces that a worker remembers; beyond it the memory starts anew. Stretches of LONG bytes go piece by piece.
@@ -43,14 +43,6 @@ STRETCH = r"([^\s\x0b\x1c-\x1f\x{85}\p{Z}])([ \t\n\r\f])"
 _LOADED: dict[int, ByteBpe] = {}
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-in of each byte in vocabulary files of this kind: a printable
-    Latin-1 character is itself, the others follow from U+0100 on."""
-    kept = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
-    rest = [b for b in range(256) if b not in kept]
-    return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class ByteBpe:
     """Tables of one vocabulary. Ids of merged tokens ascend in the order of merges."""
 

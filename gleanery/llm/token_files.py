@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, chunks, flatten, read_table, share_text
+from gleanery.llm.common import Scratch, bounded, chunks, read_table, share_text
 from gleanery.llm.word_tokens import SLICE_CHARS, word_ids
 
 FILE_SCHEMA = "doc_id bigint, shard int, place bigint, n_tokens bigint, ids array<int>"
@@ -39,8 +39,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 ids, counts = encoder.encode(part.column("text"))
                 lengths = counts + 1
                 ends = np.cumsum(lengths)
-                flat = np.full(int(lengths.sum()), end_id, np.int32)
-                flat[flatten(ends - lengths, counts)] = ids
+                flat, own = np.full(int(lengths.sum()), end_id, np.int32), np.ones(int(lengths.sum()), bool)
+                own[ends - 1] = False
+                flat[own] = ids
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("shard"), pa.array(np.arange(place, place + n)),

@@ -4,27 +4,34 @@ White space always separates this tokenizer's words, so a text's ids are the ids
 words in order. Each worker keeps the ids of words it has seen, and once these are too many
 those that came again most often; only new words go to the library, and of "Word!!" only
 "word" and "!!" if these are new. Other words, such as those with digits, inner signs or
-rarer letters, go to the library as they stand.
+rarer letters, go to the library as they stand. Lower-case words of letters, which the
+tokenizer's normalizer and splitter leave as they are, go to the library's model at once.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import string
+import unicodedata
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gleanery.llm.common import built_once, flatten
+from gleanery.llm.common import built_once, byte_alphabet, flatten
 
 # Words that a worker remembers, but for a batch with more words than these.
 CACHE_WORDS = 300_000
 SIGNS = string.punctuation
 # Characters of text that a worker encodes at a time.
 SLICE_CHARS = 1 << 20
-_JOINED = 200
+# Below U+0130 lower case and composition work by single characters.
+_LETTERS = [c for c in map(chr, range(0x130)) if unicodedata.category(c)[0] == "L"]
+_LOWER = re.compile(f"[{''.join(c for c in _LETTERS if c.lower() == c)}]+")
+_BYTES_ALONE = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
 
 
 class Ids:
@@ -47,10 +54,8 @@ class Ids:
         self.used += len(flat)
 
     def rows_of(self, names: list[str]) -> np.ndarray:
-        """Rows of different names."""
-        rows = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))
-        self.uses[rows] += 1
-        return rows
+        """Rows of different names, -1 for those that are new."""
+        return np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
 
     def recurring(self, most: int) -> Ids:
         """A copy of at most so many strings, those used most often and more than once.
@@ -68,6 +73,18 @@ class Ids:
         return self.flat[flatten(self.starts[rows], counts)], counts
 
 
+def only_spells(model: dict) -> bool:
+    """Whether all that a tokenizer does to a lower-case word of letters, before its model,
+    is to spell its bytes in the signs of ``byte_alphabet``."""
+    steps = (model["normalizer"] or {}).get("normalizers", [])
+    split = (model["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if len(split) != 2 or model["post_processor"]:
+        return False
+    kept = all(step["type"] in ("NFC", "Lowercase") or step.get("pattern") == {"Regex": "\\s+"} for step in steps)
+    whole = split[0].get("invert") and "|[\\p{L}]+|" in split[0].get("pattern", {}).get("Regex", "")
+    return kept and whole and _BYTES_ALONE.items() <= split[1].items()
+
+
 class WordIds:
     def __init__(self, model: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -76,33 +93,34 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
+        self.spelled = {byte: sign for sign, byte in byte_alphabet().items()} if only_spells(json.loads(model)) else None
         self.parts = Ids()
 
     def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found: list[list[int]] = [[]] * len(texts)
+        others, tokenize = [], self.tokenizer.model.tokenize
+        for i, text in enumerate(texts):
+            if self.spelled is None or not _LOWER.fullmatch(text):
+                others.append(i)
+            else:  # the model knows bytes by signs, which are the letters themselves in ASCII
+                signs = text if text.isascii() else text.encode().decode("latin-1").translate(self.spelled)
+                found[i] = [token.id for token in tokenize(signs)]
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
+            found[i] = e.ids
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
-
-    def _learn_parts(self, plain: list[str], odd: list[str]) -> None:
-        """``plain`` holds single words of letters; several go as one text, and ids that
-        close a word tell them apart."""
-        if plain:
-            flat, _ = self._by_library([" ".join(plain[i:i + _JOINED]) for i in range(0, len(plain), _JOINED)])
-            ends = np.flatnonzero(self.closes[flat]) + 1
-            self.parts.add(plain, flat, np.diff(ends, prepend=0))
-        if odd:
-            self.parts.add(odd, *self._by_library(odd))
-
-    def _rows(self, pieces: pa.Array, simple: np.ndarray) -> np.ndarray:
-        """Rows of ``parts`` for unique pieces; ``simple`` marks words of letters."""
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+    def _rows(self, pieces: pa.Array) -> np.ndarray:
+        """Rows of ``parts`` for unique pieces."""
         names = pieces.to_numpy(zero_copy_only=False).tolist()
-        known = self.parts.rows
-        new = [(n, s) for n, s in zip(names, simple.tolist()) if n not in known]
-        self._learn_parts([n for n, s in new if s], [n for n, s in new if not s])
-        return self.parts.rows_of(names)
+        rows = self.parts.rows_of(names)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            rows[new] = np.arange(len(self.parts.rows), len(self.parts.rows) + len(new))
+            unknown = [names[i] for i in new]
+            self.parts.add(unknown, *self._by_library(unknown))
+        self.parts.uses[rows] += 1
+        return rows
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of each text's."""
@@ -110,23 +128,19 @@ class WordIds:
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
         words, at = coded.dictionary, coded.indices.to_numpy()
-        # letters, then signs: the library splits there. Below U+0130 lower case and
-        # composition work by single characters.
+        # letters, then signs: the library splits there
         core = pc.utf8_rtrim(words, characters=SIGNS)
         simple = pc.and_(pc.utf8_is_alpha(core), pc.match_substring_regex(core, "^[\\x{00}-\\x{12F}]*$"))
         pieces = pc.if_else(simple, pc.utf8_lower(core), words).dictionary_encode()
         simple = simple.to_numpy(zero_copy_only=False)
-        of_word = pieces.indices.to_numpy()
-        letters = np.zeros(len(pieces.dictionary), bool)
-        letters[of_word] = simple
         tailed = simple & (pc.binary_length(words).to_numpy() > pc.binary_length(core).to_numpy())
         tails = pc.extract_regex(words.filter(pa.array(tailed)), f"(?P<tail>[{re.escape(SIGNS)}]*)$").field(0).dictionary_encode()
         room = CACHE_WORDS - len(pieces.dictionary) - len(tails.dictionary)
         if len(self.parts.rows) > room:
             self.parts = self.parts.recurring(room)
-        first = self._rows(pieces.dictionary, letters)[of_word]
+        first = self._rows(pieces.dictionary)[pieces.indices.to_numpy()]
         second = np.full(len(words), -1)
-        second[tailed] = self._rows(tails.dictionary, np.zeros(len(tails.dictionary), bool))[tails.indices.to_numpy()]
+        second[tailed] = self._rows(tails.dictionary)[tails.indices.to_numpy()]
         both = np.stack([first, second], axis=1)[at].ravel()
         ids, counts = self.parts.get(both[both >= 0])
         ends = np.concatenate([[0], np.cumsum(counts)])

@@ -1,6 +1,7 @@
 """Operators 4, 9 and 2: against the tokenizers library, round trips, exact packings."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -85,6 +86,32 @@ class TestTokenFiles:
         many = [" ".join(rare + common + [f"z{i}" for i in range(120)])]  # more words than it keeps
         assert own.encode(pa.array(many))[0].tolist() == library.encode(many[0], add_special_tokens=False).ids
 
+    def test_lower_case_words_go_to_the_model_at_once(self, word_model):
+        own, library, asked = WordIds(open(word_model).read()), Tokenizer.from_file(word_model), []
+
+        class Seen:
+            model = own.tokenizer.model
+
+            def encode_batch_fast(self, texts, **options):
+                asked.extend(texts)
+                return library.encode_batch_fast(texts, **options)
+
+        own.tokenizer, rng = Seen(), random.Random(5)
+        letters = [c for c in map(chr, range(0x20, 0x140)) if c.isalpha()]
+        texts = [" ".join("".join(rng.choices(letters if k % 2 else letters[:52], k=rng.randint(1, 9))) for _ in range(40)) for k in range(100)]
+        texts += ["weiß don't Straße, ª º µ x1 naïve!!", "e\u0301 \u0130x \u0138a <|endoftext|>"]
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        ids, counts = own.encode(pa.array(texts))
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+        assert {"don't", "x1", "e\u0301", "<|endoftext|>"} <= set(asked)
+        assert not {"weiß", "straße", "naïve", "µ"} & {w for a in asked for w in a.split()}
+
+    def test_another_tokenizer_gets_all_words_itself(self, word_model):
+        spec = json.loads(open(word_model).read())
+        spec["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "a"}, "content": "o"})
+        own, library = WordIds(json.dumps(spec)), Tokenizer.from_str(json.dumps(spec))
+        assert own.encode(pa.array(["banana split"]))[0].tolist() == library.encode("banana split", add_special_tokens=False).ids
+
     def test_slices_give_memory_back(self, monkeypatch):
         released = []
         monkeypatch.setattr(common, "release_unused", lambda: released.append(1), raising=False)
