@@ -23,6 +23,7 @@ from gleanery.runtime import ensure_checkpoint_dir
 
 # Characters of text that a task holds as Python objects at a time.
 CHUNK_CHARS = 4 << 20
+SMALL_BYTES = 1 << 20
 
 
 class Scratch:
@@ -183,13 +184,23 @@ def release_unused() -> None:
 
 def mapped(frame: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``frame.mapInArrow(run, schema)`` whose tasks give back what they freed: workers
-    live on, and idle ones would otherwise hold the most that any task has needed."""
+    live on, and idle ones would otherwise hold the most that any task has needed. What a
+    task of less than SMALL_BYTES held is left to the next one."""
 
     def whole(batches):
+        read = 0
+
+        def counted():
+            nonlocal read
+            for batch in batches:
+                read += batch.nbytes
+                yield batch
+
         try:
-            yield from run(batches)
+            yield from run(counted())
         finally:
-            give_back()
+            if read >= SMALL_BYTES:
+                give_back()
 
     return frame.mapInArrow(whole, schema)
 

@@ -188,16 +188,16 @@ def _verified(batches):
 
 
 def verified_pairs(pairs: DataFrame, signed: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) that are similar on their full shingle sets."""
+    """Those of the different pairs (a, b) that are similar on their full shingle sets."""
     side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     sized = sized.where(f"100 * least(n_a, n_b) >= {SIMILAR} * greatest(n_a, n_b)").select("a", "b", "sketch_a", "sketch_b")
-    close = scratch.keep(mapped(sized, _alike, "a bigint, b bigint").distinct())
+    close = scratch.keep(mapped(sized, _alike, "a bigint, b bigint"))
     wanted = close.select(F.explode(F.array("a", "b")).alias("id"))
     texts = scratch.keep(rows_at(docs, wanted, "id"))  # texts of candidates only
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    links = scratch.keep(mapped(close.join(left, "a").join(right, "b"), _verified, "a bigint, b bigint").distinct())
+    links = scratch.keep(mapped(close.join(left, "a").join(right, "b"), _verified, "a bigint, b bigint"))
     scratch.drop(close, texts)
     return links
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gleanery.llm.common import Scratch
+from gleanery.llm import components
 from gleanery.llm.components import connected_components
 from gleanery.llm.embedding_dedup import near_vectors, table_plan
 from gleanery.llm.minhash import near_duplicates
@@ -144,6 +145,20 @@ def test_components(spark):
     assert connected_components(frame.limit(0), Scratch(spark)).collect() == []
 
 
+@pytest.mark.parametrize("few", [1, 1 << 16])
+def test_few_edges_need_no_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few, raising=False)
+    scratch, groups = Scratch(spark), Groups(range(400))
+    edges = [(i, i + 1) for i in range(0, 300, 2)] + [(i, i + 1) for i in range(1, 250, 2)] + [(7, 7), (350, 351), (351, 350)]
+    for a, b in edges:
+        groups.join(a, b)
+    frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+    got = components.connected_components(frame, scratch).collect()
+    assert len(got) == len(dict(map(tuple, got)))
+    assert dict(map(tuple, got)) == {n: groups.find(n) for a, b in edges if a != b for n in (a, b)}
+    assert (scratch.made == 2) == (few > 1)
+
+
 class TestVectors:
     def test_against_brute_force(self, spark):
         rng = np.random.default_rng(1)
